@@ -10,8 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
 from reelframe.oracle import PARAMS as P
+from reelframe.plans import film
+from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
 from reelframe.sources.catalog import Catalog
 
@@ -65,7 +69,58 @@ def _sql_form() -> dict[str, Query]:
             "q6_sql": q6, "q7_sql": q7, "q7_clean": q7c, "q8_sql": q8, "q9_sql": q9}
 
 
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return build_from_catalog(Catalog(spark, d))
+
+
+def _nested_form() -> dict[str, Query]:
+    def q1(spark, d):
+        out = N.q1_filmography(_docs(spark, d), P["q1_name"])
+        return out.select("movie_id", "title", "year", F.array_join("genres", ", ").alias("genres"),
+                          F.col("rating.average").alias("rating_average"),
+                          F.col("rating.votes").alias("rating_votes"))
+
+    def q2(spark, d):
+        y0, y1 = P["q2_years"]
+        out = N.q2_top_films(_docs(spark, d), P["q2_genre"], y0, y1, P["q2_n"])
+        return out.select("title", "year", F.col("rating.average").alias("rating_average"),
+                          F.col("rating.votes").alias("rating_votes"))
+
+    return {
+        "q1_nest": q1,
+        "q2_nest": q2,
+        "q3_nest": lambda spark, d: N.q3_multi_role(_docs(spark, d)),
+        "q4_nest": lambda spark, d: N.q4_collaborations(_docs(spark, d), P["q4_name"]),
+        "q5_nest": lambda spark, d: N.q5_popular_genres(_docs(spark, d), P["q5_min_rating"],
+                                                        P["q5_min_count"]),
+        "q6_nest": lambda spark, d: N.q6_career(_docs(spark, d), P["q6_name"]),
+        "q7_nest": lambda spark, d: N.q7_top_per_genre(_docs(spark, d), P["q7_n"]),
+        "q8_nest": lambda spark, d: N.q8_breakthrough(_docs(spark, d), P["q8_threshold"]),
+        "q9_nest": lambda spark, d: N.q9_prolific_directors(_docs(spark, d), P["q9_min_films"]),
+    }
+
+
+def _film_flat(spark: SparkSession, d: str) -> DataFrame:
+    c = Catalog(spark, d)
+    return film.film_full_flat(c.movies, c.ratings, c.genres, c.persons, c.directors,
+                               c.principals, c.characters, c.writers, P["film_title"])
+
+
+def _documents() -> dict[str, Query]:
+    return {
+        "movies_complete": lambda spark, d: render_documents(_docs(spark, d)),
+        "sample_document": lambda spark, d: sample_document(_docs(spark, d), P["sample_min_votes"]),
+        "film_full_flat": lambda spark, d: render_documents(_film_flat(spark, d)),
+        "film_full_nested": lambda spark, d: render_documents(
+            film.film_full_nested(_docs(spark, d), P["film_title"])),
+        "film_compare": lambda spark, d: film.compare_documents(
+            _film_flat(spark, d), film.film_full_nested(_docs(spark, d), P["film_title"])),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_sql_form())
+    out.update(_nested_form())
+    out.update(_documents())
     return out

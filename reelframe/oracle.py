@@ -260,9 +260,95 @@ ORDER BY d.movie_id LIMIT 1""",
     }
 
 
+def _people_matching(pattern: str) -> str:
+    return f"(SELECT person_id FROM persons WHERE regexp_matches(name, '{pattern}', 'i'))"
+
+
+def _collection_form() -> dict[str, str]:
+    y0, y1 = P["q2_years"]
+    t = P["q8_threshold"]
+    return {
+        "q1_pipe": f"""
+WITH gl AS (SELECT movie_id, '[' || string_agg(genre, ', ' ORDER BY genre) || ']' AS s
+            FROM genres GROUP BY movie_id)
+SELECT p.movie_id, m.primary_title AS titre, m.start_year AS annee,
+       string_agg(COALESCE(gl.s, '[]'), ', ') AS genres, r.average_rating AS note
+FROM principals p
+JOIN movies m ON m.movie_id = p.movie_id
+LEFT JOIN gl ON gl.movie_id = p.movie_id
+LEFT JOIN ratings r ON r.movie_id = p.movie_id
+WHERE p.person_id IN {_people_matching(P["q1_name"])}
+GROUP BY p.movie_id, m.primary_title, m.start_year, r.average_rating
+ORDER BY annee DESC, p.movie_id LIMIT 100""",
+        "q2_pipe": f"""
+SELECT m.primary_title AS titre, m.start_year AS annee, r.average_rating AS note, r.num_votes AS votes
+FROM genres g JOIN movies m ON m.movie_id = g.movie_id JOIN ratings r ON r.movie_id = g.movie_id
+WHERE g.genre = '{P["q2_genre"]}' AND m.start_year BETWEEN {y0} AND {y1} AND r.num_votes > 0
+ORDER BY r.average_rating DESC, r.num_votes DESC, m.movie_id LIMIT {P["q2_n"]}""",
+        "q3_pipe": """
+SELECT pe.name AS acteur, m.primary_title AS film, x.nombre_roles
+FROM (SELECT person_id, movie_id, COUNT(*) AS nombre_roles FROM characters
+      GROUP BY person_id, movie_id HAVING COUNT(*) > 1) x
+JOIN persons pe ON pe.person_id = x.person_id JOIN movies m ON m.movie_id = x.movie_id
+ORDER BY x.nombre_roles DESC, x.person_id, x.movie_id LIMIT 100""",
+        "q4_pipe": f"""
+SELECT dp.name AS realisateur, COUNT(*) AS nombre_films
+FROM principals p
+JOIN directors d ON d.movie_id = p.movie_id
+JOIN persons dp ON dp.person_id = d.person_id
+WHERE p.person_id IN {_people_matching(P["q4_name"])}
+GROUP BY d.person_id, dp.name ORDER BY nombre_films DESC, d.person_id LIMIT 50""",
+        "q5_pipe": f"""
+SELECT g.genre, AVG(r.average_rating) AS note_moyenne, COUNT(*) AS nombre_films
+FROM genres g JOIN ratings r ON r.movie_id = g.movie_id
+GROUP BY g.genre HAVING AVG(r.average_rating) > {P["q5_min_rating"]} AND COUNT(*) > {P["q5_min_count"]}""",
+        "q6_pipe": f"""
+SELECT CAST(decade AS VARCHAR) || 's' AS decennie, COUNT(*) AS nombre_films,
+       AVG(average_rating) AS note_moyenne
+FROM (SELECT CAST(floor(m.start_year / 10) * 10 AS BIGINT) AS decade, r.average_rating
+      FROM principals p JOIN movies m ON m.movie_id = p.movie_id
+      LEFT JOIN ratings r ON r.movie_id = p.movie_id
+      WHERE p.person_id IN {_people_matching(P["q6_name"])}) t
+WHERE decade > 0 GROUP BY decade""",
+        "q7_pipe": f"""
+WITH genre_rows AS (
+  SELECT g.genre, m.movie_id, m.primary_title AS titre, m.start_year AS annee, r.average_rating AS note
+  FROM genres g JOIN movies m ON m.movie_id = g.movie_id JOIN ratings r ON r.movie_id = g.movie_id),
+first_genres AS (SELECT DISTINCT genre FROM genre_rows ORDER BY genre LIMIT 50)
+SELECT genre, "position", titre, annee, note FROM (
+  SELECT genre, titre, annee, note,
+         CAST(ROW_NUMBER() OVER (PARTITION BY genre ORDER BY movie_id) AS INTEGER) AS "position"
+  FROM genre_rows WHERE genre IN (SELECT genre FROM first_genres)) x
+WHERE "position" <= {P["q7_n"]}""",
+        "q8_pipe": f"""
+SELECT pe.person_id, pe.name AS acteur,
+       COUNT(*) FILTER (WHERE r.num_votes <= {t}) AS films_avant,
+       COUNT(*) FILTER (WHERE r.num_votes > {t}) AS films_apres,
+       MAX(r.num_votes) AS max_votes,
+       MAX(CASE WHEN r.num_votes > {t} THEN r.average_rating ELSE 0.0 END) AS max_note
+FROM persons pe JOIN principals p ON p.person_id = pe.person_id JOIN ratings r ON r.movie_id = p.movie_id
+GROUP BY pe.person_id, pe.name
+HAVING COUNT(*) FILTER (WHERE r.num_votes <= {t}) > 0 AND COUNT(*) FILTER (WHERE r.num_votes > {t}) > 0
+   AND MAX(r.num_votes) > {t}
+ORDER BY max_votes DESC, pe.person_id LIMIT 50""",
+        "q9_pipe": f"""
+SELECT pe.name AS realisateur, COUNT(*) AS nombre_films, AVG(r.average_rating) AS note_moyenne,
+       MIN(r.average_rating) AS note_min, MAX(r.average_rating) AS note_max,
+       CAST(SUM(COALESCE(gc.n, 0)) AS BIGINT) AS genres_explores
+FROM directors d
+JOIN movies m ON m.movie_id = d.movie_id
+JOIN persons pe ON pe.person_id = d.person_id
+JOIN ratings r ON r.movie_id = d.movie_id
+LEFT JOIN (SELECT movie_id, COUNT(*) AS n FROM genres GROUP BY movie_id) gc ON gc.movie_id = d.movie_id
+GROUP BY d.person_id, pe.name HAVING COUNT(*) >= {P["q9_min_films"]}
+ORDER BY nombre_films DESC, d.person_id LIMIT 30""",
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     raw: dict[str, str] = {}
     raw.update(_sql_form())
+    raw.update(_collection_form())
     raw.update(_nested_form())
     raw.update(_documents())
     return {key: with_views(sql, DOC_VIEWS) for key, sql in raw.items()}

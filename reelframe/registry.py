@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
 from reelframe.oracle import PARAMS as P
+from reelframe.plans import collection_form as C
 from reelframe.plans import film
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
@@ -118,9 +119,61 @@ def _documents() -> dict[str, Query]:
     }
 
 
+def _render_nested_lists(col: str):
+    """``[[a, b], [a, b]]`` -> ``'[a, b], [a, b]'``."""
+    return F.array_join(F.transform(col, lambda g: F.concat(F.lit("["), F.array_join(g, ", "),
+                                                            F.lit("]"))), ", ")
+
+
+def _collection_form() -> dict[str, Query]:
+    def q1(spark, d):
+        c = Catalog(spark, d)
+        out = C.q1_filmography(c.persons, c.principals, c.movies, c.genres, c.ratings, P["q1_name"])
+        return out.select("movie_id", "titre", "annee", _render_nested_lists("genres").alias("genres"),
+                          "note")
+
+    def q2(spark, d):
+        c = Catalog(spark, d)
+        y0, y1 = P["q2_years"]
+        return C.q2_top_films(c.genres, c.movies, c.ratings, P["q2_genre"], y0, y1, P["q2_n"])
+
+    def q3(spark, d):
+        c = Catalog(spark, d)
+        return C.q3_multi_role(c.characters, c.persons, c.movies)
+
+    def q4(spark, d):
+        c = Catalog(spark, d)
+        return C.q4_collaborations(c.persons, c.principals, c.directors, P["q4_name"])
+
+    def q5(spark, d):
+        c = Catalog(spark, d)
+        return C.q5_popular_genres(c.genres, c.ratings, P["q5_min_rating"], P["q5_min_count"])
+
+    def q6(spark, d):
+        c = Catalog(spark, d)
+        return C.q6_career(c.persons, c.principals, c.movies, c.ratings, P["q6_name"])
+
+    def q7(spark, d):
+        c = Catalog(spark, d)
+        return C.q7_top_per_genre(c.genres, c.movies, c.ratings, P["q7_n"])
+
+    def q8(spark, d):
+        c = Catalog(spark, d)
+        return C.q8_breakthrough(c.persons, c.principals, c.ratings, P["q8_threshold"])
+
+    def q9(spark, d):
+        c = Catalog(spark, d)
+        return C.q9_prolific_directors(c.directors, c.movies, c.persons, c.ratings, c.genres,
+                                       P["q9_min_films"])
+
+    return {"q1_pipe": q1, "q2_pipe": q2, "q3_pipe": q3, "q4_pipe": q4, "q5_pipe": q5,
+            "q6_pipe": q6, "q7_pipe": q7, "q8_pipe": q8, "q9_pipe": q9}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_sql_form())
+    out.update(_collection_form())
     out.update(_nested_form())
     out.update(_documents())
     return out

@@ -10,6 +10,7 @@ ids exactly as in the Spark plans.
 from __future__ import annotations
 
 from reelframe.sources.catalog import with_views
+from reelframe.sources.raw_views import RAW_VIEW_SQL
 
 # Parameters of the registered queries (fixed values, chosen so each question
 # is non-empty on the test tables and the formulations disagree where they should).
@@ -345,10 +346,107 @@ ORDER BY nombre_films DESC, d.person_id LIMIT 30""",
     }
 
 
+# First failed rule per raw row, in rule order (a failed or unknown check rejects).
+REASON_SQL = {
+    "persons": """CASE
+  WHEN NOT COALESCE(birth_year IS NULL OR death_year IS NULL OR birth_year <= death_year, FALSE)
+    THEN 'death_before_birth'
+  WHEN person_id IS NULL THEN 'person_id_missing'
+  WHEN name IS NULL THEN 'name_missing' END""",
+    "movies": """CASE
+  WHEN NOT COALESCE(runtime_minutes IS NULL OR runtime_minutes > 0, FALSE) THEN 'runtime_not_positive'
+  WHEN NOT COALESCE(end_year IS NULL OR start_year <= end_year, FALSE) THEN 'end_before_start'
+  WHEN movie_id IS NULL THEN 'movie_id_missing'
+  WHEN title_type IS NULL THEN 'title_type_missing'
+  WHEN primary_title IS NULL THEN 'primary_title_missing'
+  WHEN start_year IS NULL THEN 'start_year_missing' END""",
+    "ratings": """CASE
+  WHEN NOT COALESCE(average_rating >= 1.0 AND average_rating <= 10.0, FALSE) THEN 'rating_out_of_range'
+  WHEN NOT COALESCE(num_votes IS NULL OR num_votes >= 0, FALSE) THEN 'negative_votes'
+  WHEN movie_id IS NULL THEN 'movie_id_missing'
+  WHEN num_votes IS NULL THEN 'num_votes_missing' END""",
+    "episodes": """CASE
+  WHEN NOT COALESCE(season_number IS NOT NULL AND season_number > 0, FALSE) THEN 'season_number_not_positive'
+  WHEN NOT COALESCE(episode_number IS NOT NULL AND episode_number > 0, FALSE)
+    THEN 'episode_number_not_positive'
+  WHEN movie_id IS NULL THEN 'movie_id_missing'
+  WHEN parent_movie_id IS NULL THEN 'parent_movie_id_missing' END""",
+    "professions": """CASE
+  WHEN job_name IS NULL THEN 'job_name_missing'
+  WHEN person_id IS NULL THEN 'person_id_missing' END""",
+    "characters": """CASE
+  WHEN name IS NULL THEN 'name_missing'
+  WHEN movie_id IS NULL THEN 'movie_id_missing'
+  WHEN person_id IS NULL THEN 'person_id_missing' END""",
+    "principals": """CASE
+  WHEN movie_id IS NULL THEN 'movie_id_missing'
+  WHEN ordering IS NULL THEN 'ordering_missing'
+  WHEN person_id IS NULL THEN 'person_id_missing'
+  WHEN category IS NULL THEN 'category_missing' END""",
+}
+CLEAN_KEYS = {
+    "persons": ["person_id"], "movies": ["movie_id"], "ratings": ["movie_id"],
+    "episodes": ["movie_id"], "professions": ["person_id", "job_name"],
+    "characters": ["movie_id", "person_id", "name"],
+    "principals": ["movie_id", "ordering", "person_id"],
+}
+
+
+def _clean_ctes(table: str) -> str:
+    pk = ", ".join(CLEAN_KEYS[table])
+    return f"""
+tagged_{table} AS (SELECT *, {REASON_SQL[table]} AS reject_reason FROM raw_{table}),
+passed_{table} AS (SELECT * EXCLUDE (reject_reason) FROM tagged_{table} WHERE reject_reason IS NULL),
+conflicts_{table} AS (SELECT {pk} FROM passed_{table} GROUP BY {pk} HAVING count(*) > 1)"""
+
+
+def _key_text(table: str) -> str:
+    parts = [f"COALESCE(CAST({k} AS VARCHAR), '')" for k in CLEAN_KEYS[table]]
+    return "concat_ws('|', " + ", ".join(parts) + ")"
+
+
+def _cleaning() -> dict[str, str]:
+    out = {}
+    for t in CLEAN_KEYS:
+        if t == "characters":
+            body = f"SELECT DISTINCT * FROM passed_{t}"
+        else:
+            body = f"SELECT * FROM passed_{t} ANTI JOIN conflicts_{t} USING ({', '.join(CLEAN_KEYS[t])})"
+        out[f"clean_{t}"] = f"WITH {_clean_ctes(t)}\n{body}"
+    rejected, report = [], []
+    for t in CLEAN_KEYS:
+        key = _key_text(t)
+        rejected.append(f"SELECT '{t}' AS table_name, {key} AS record_key, reject_reason "
+                        f"FROM tagged_{t} WHERE reject_reason IS NOT NULL")
+        if t == "characters":
+            rejected.append(
+                f"SELECT '{t}' AS table_name, {key} AS record_key, 'duplicate_row' AS reject_reason FROM ("
+                f"SELECT *, unnest(range(n - 1)) AS i FROM (SELECT movie_id, person_id, name, count(*) AS n "
+                f"FROM passed_{t} GROUP BY ALL HAVING count(*) > 1) g) x")
+            kept = f"(SELECT count(*) FROM (SELECT DISTINCT * FROM passed_{t}))"
+        else:
+            rejected.append(
+                f"SELECT '{t}' AS table_name, {key} AS record_key, 'duplicate_key' AS reject_reason "
+                f"FROM passed_{t} SEMI JOIN conflicts_{t} USING ({', '.join(CLEAN_KEYS[t])})")
+            kept = (f"(SELECT count(*) FROM passed_{t} ANTI JOIN conflicts_{t} "
+                    f"USING ({', '.join(CLEAN_KEYS[t])}))")
+        report.append(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM raw_{t}) AS rows_read, "
+                      f"{kept} AS rows_kept")
+    ctes = ",".join(_clean_ctes(t) for t in CLEAN_KEYS)
+    out["quarantine"] = f"WITH {ctes}\n" + "\nUNION ALL\n".join(rejected)
+    out["load_report"] = (f"WITH {ctes}\nSELECT table_name, rows_read, rows_kept, "
+                          f"rows_read - rows_kept AS rows_dropped FROM (\n"
+                          + "\nUNION ALL\n".join(report) + ") r")
+    return out
+
+
 def oracle_queries() -> dict[str, str]:
     raw: dict[str, str] = {}
     raw.update(_sql_form())
     raw.update(_collection_form())
     raw.update(_nested_form())
     raw.update(_documents())
-    return {key: with_views(sql, DOC_VIEWS) for key, sql in raw.items()}
+    raw.update(_cleaning())
+    extra = dict(DOC_VIEWS)
+    extra.update(RAW_VIEW_SQL)
+    return {key: with_views(sql, extra) for key, sql in raw.items()}

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelframe.operators import cleaning
 from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
 from reelframe.oracle import PARAMS as P
 from reelframe.plans import collection_form as C
@@ -19,6 +20,7 @@ from reelframe.plans import film
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
 from reelframe.sources.catalog import Catalog
+from reelframe.sources.raw_views import RawCatalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,10 +172,31 @@ def _collection_form() -> dict[str, Query]:
             "q6_pipe": q6, "q7_pipe": q7, "q8_pipe": q8, "q9_pipe": q9}
 
 
+CLEANED = ["persons", "movies", "ratings", "episodes", "professions", "characters", "principals"]
+
+
+def _raw_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    raw = RawCatalog(Catalog(spark, d))
+    return {t: raw.table(t) for t in CLEANED}
+
+
+def _cleaning() -> dict[str, Query]:
+    def valid(table):
+        def run(spark, d):
+            return cleaning.clean_table(table, RawCatalog(Catalog(spark, d)).table(table))[0]
+        return run
+
+    out: dict[str, Query] = {f"clean_{t}": valid(t) for t in CLEANED}
+    out["quarantine"] = lambda spark, d: cleaning.quarantine(_raw_tables(spark, d))
+    out["load_report"] = lambda spark, d: cleaning.load_report(_raw_tables(spark, d))
+    return out
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_sql_form())
     out.update(_collection_form())
     out.update(_nested_form())
     out.update(_documents())
+    out.update(_cleaning())
     return out

@@ -440,6 +440,78 @@ def _cleaning() -> dict[str, str]:
     return out
 
 
+MOVIE_CHILDREN = ["principals", "genres", "ratings", "directors", "writers", "characters"]
+PERSON_CHILDREN = ["principals", "directors", "writers", "characters"]
+ALL_TABLES = ["persons", "movies", "ratings", "genres", "titles", "professions", "principals",
+              "directors", "writers", "characters", "knownformovies", "episodes"]
+PKS = {"persons": ["person_id"], "movies": ["movie_id"], "ratings": ["movie_id"],
+       "genres": ["movie_id", "genre"], "titles": ["movie_id", "ordering"],
+       "professions": ["person_id", "job_name"], "principals": ["movie_id", "ordering", "person_id"],
+       "directors": ["movie_id", "person_id"], "writers": ["movie_id", "person_id"],
+       "characters": ["movie_id", "person_id", "name"], "knownformovies": ["person_id", "movie_id"],
+       "episodes": ["movie_id"]}
+
+
+def _audit_ctes() -> str:
+    parts = [_clean_ctes(t) for t in CLEAN_KEYS]
+    for t in ALL_TABLES:
+        if t == "characters":
+            body = f"SELECT DISTINCT * FROM passed_{t}"
+        elif t in CLEAN_KEYS:
+            body = f"SELECT * FROM passed_{t} ANTI JOIN conflicts_{t} USING ({', '.join(CLEAN_KEYS[t])})"
+        else:
+            body = f"SELECT * FROM {t}"
+        parts.append(f"\naudit_{t} AS ({body})")
+    return "WITH " + ",".join(parts) + "\n"
+
+
+def _orphans(parent: str, key: str, children: list[str], suffix: str) -> str:
+    rows = []
+    for c in children:
+        rows.append(
+            f"SELECT '{c}_orphaned_{suffix}' AS check_name, '{c}' AS table_name, count(*) AS referenced_ids, "
+            f"count(*) FILTER (WHERE p.k IS NULL) AS orphaned_count, "
+            f"CAST(COALESCE(sum(c.n) FILTER (WHERE p.k IS NULL), 0) AS BIGINT) AS orphaned_rows "
+            f"FROM (SELECT {key} AS k, count(*) AS n FROM audit_{c} GROUP BY {key}) c "
+            f"LEFT JOIN (SELECT DISTINCT {key} AS k FROM audit_{parent}) p ON c.k = p.k")
+    return ("SELECT *, CASE WHEN orphaned_count = 0 THEN 'OK' ELSE 'PROBLEM' END AS status FROM (\n"
+            + "\nUNION ALL\n".join(rows) + ") o")
+
+
+def _integrity() -> dict[str, str]:
+    w = _audit_ctes()
+    refs = " UNION ".join(f"SELECT movie_id FROM audit_{c}" for c in MOVIE_CHILDREN)
+    without = f"SELECT movie_id, primary_title, start_year FROM audit_movies WHERE movie_id NOT IN ({refs})"
+    pairs = ("SELECT DISTINCT movie_id, person_id FROM audit_characters "
+             "ANTI JOIN audit_principals USING (movie_id, person_id)")
+    dup_rows = []
+    for t in ALL_TABLES:
+        src = f"raw_{t}" if t in CLEAN_KEYS else t
+        pk = ", ".join(PKS[t])
+        dup_rows.append(f"SELECT '{t}' AS table_name, CAST(COALESCE(sum(n), 0) AS BIGINT) AS total_rows, "
+                        f"count(*) AS distinct_keys FROM (SELECT {pk}, count(*) AS n FROM {src} GROUP BY {pk}) k")
+    checks = (f"SELECT check_name, orphaned_count FROM ({_orphans('movies', 'movie_id', MOVIE_CHILDREN, 'movies')}) a"
+              f"\nUNION ALL SELECT check_name, orphaned_count FROM "
+              f"({_orphans('persons', 'person_id', PERSON_CHILDREN, 'persons')}) b"
+              f"\nUNION ALL SELECT 'films_without_data', count(*) FROM ({without}) c"
+              f"\nUNION ALL SELECT 'characters_orphaned', count(*) FROM ({pairs}) d")
+    return {
+        "pk_duplicates": ("SELECT table_name, total_rows, distinct_keys, total_rows - distinct_keys AS duplicates "
+                          "FROM (\n" + "\nUNION ALL\n".join(dup_rows) + ") x"),
+        "orphan_movies": w + _orphans("movies", "movie_id", MOVIE_CHILDREN, "movies"),
+        "orphan_persons": w + _orphans("persons", "person_id", PERSON_CHILDREN, "persons"),
+        "films_without_data": w + without,
+        "coverage": w + "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS table_name, count(DISTINCT movie_id) AS films FROM audit_{c}"
+            for c in MOVIE_CHILDREN),
+        "orphan_characters": w + pairs,
+        "integrity_summary": w + (
+            f"SELECT check_name, orphaned_count, CASE WHEN orphaned_count = 0 THEN 'OK' ELSE 'PROBLEM' END "
+            f"AS status FROM (SELECT check_name, CAST(orphaned_count AS BIGINT) AS orphaned_count FROM ({checks}) u"
+            f"\nUNION ALL SELECT 'total', CAST(sum(orphaned_count) AS BIGINT) FROM ({checks}) t) s"),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     raw: dict[str, str] = {}
     raw.update(_sql_form())
@@ -447,6 +519,7 @@ def oracle_queries() -> dict[str, str]:
     raw.update(_nested_form())
     raw.update(_documents())
     raw.update(_cleaning())
+    raw.update(_integrity())
     extra = dict(DOC_VIEWS)
     extra.update(RAW_VIEW_SQL)
     return {key: with_views(sql, extra) for key, sql in raw.items()}

@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.operators import cleaning
+from reelframe.operators import cleaning, integrity
 from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
 from reelframe.oracle import PARAMS as P
 from reelframe.plans import collection_form as C
 from reelframe.plans import film
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
-from reelframe.sources.catalog import Catalog
+from reelframe.sources.catalog import CATALOG_TABLES, Catalog
 from reelframe.sources.raw_views import RawCatalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,52 @@ def _cleaning() -> dict[str, Query]:
     return out
 
 
+def _audited_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The catalog after cleaning: rejected parents leave orphaned children behind."""
+    cat = Catalog(spark, d)
+    raw = RawCatalog(cat)
+    tables = {name: cat.table(name) for name in CATALOG_TABLES}
+    for name in CLEANED:
+        tables[name] = cleaning.clean_table(name, raw.table(name))[0]
+    return tables
+
+
+def _integrity() -> dict[str, Query]:
+    from reelframe.schema import AUDITED_MOVIE_CHILDREN as MC
+    from reelframe.schema import AUDITED_PERSON_CHILDREN as PC
+
+    def raw_tables(spark, d):
+        raw = RawCatalog(Catalog(spark, d))
+        return {name: raw.table(name) for name in CATALOG_TABLES}
+
+    def om(spark, d):
+        t = _audited_tables(spark, d)
+        return integrity.orphan_movies(t["movies"], {c: t[c] for c in MC})
+
+    def op(spark, d):
+        t = _audited_tables(spark, d)
+        return integrity.orphan_persons(t["persons"], {c: t[c] for c in PC})
+
+    def fw(spark, d):
+        t = _audited_tables(spark, d)
+        return integrity.films_without_data(t["movies"], {c: t[c] for c in MC})
+
+    def cov(spark, d):
+        t = _audited_tables(spark, d)
+        return integrity.coverage({c: t[c] for c in MC})
+
+    def oc(spark, d):
+        t = _audited_tables(spark, d)
+        return integrity.orphan_pairs(t["characters"], t["principals"])
+
+    return {
+        "pk_duplicates": lambda spark, d: integrity.pk_duplicates(raw_tables(spark, d)),
+        "orphan_movies": om, "orphan_persons": op, "films_without_data": fw, "coverage": cov,
+        "orphan_characters": oc,
+        "integrity_summary": lambda spark, d: integrity.integrity_summary(_audited_tables(spark, d)),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_sql_form())
@@ -199,4 +245,5 @@ def all_queries() -> dict[str, Query]:
     out.update(_nested_form())
     out.update(_documents())
     out.update(_cleaning())
+    out.update(_integrity())
     return out

@@ -512,6 +512,96 @@ def _integrity() -> dict[str, str]:
     }
 
 
+# Columns of the raw tables with their Spark type names (fixed values).
+RAW_COLUMNS = {
+    "persons": [("person_id", "bigint"), ("name", "string"), ("birth_year", "int"), ("death_year", "int")],
+    "movies": [("movie_id", "bigint"), ("title_type", "string"), ("primary_title", "string"),
+               ("is_adult", "int"), ("start_year", "int"), ("end_year", "int"), ("runtime_minutes", "int")],
+    "ratings": [("movie_id", "bigint"), ("average_rating", "double"), ("num_votes", "bigint")],
+    "genres": [("movie_id", "bigint"), ("genre", "string")],
+    "titles": [("movie_id", "bigint"), ("ordering", "int"), ("title", "string"), ("language", "string")],
+    "professions": [("person_id", "bigint"), ("job_name", "string")],
+    "principals": [("movie_id", "bigint"), ("ordering", "int"), ("person_id", "bigint"),
+                   ("category", "string"), ("job", "string")],
+    "directors": [("movie_id", "bigint"), ("person_id", "bigint")],
+    "writers": [("movie_id", "bigint"), ("person_id", "bigint")],
+    "characters": [("movie_id", "bigint"), ("person_id", "bigint"), ("name", "string")],
+    "knownformovies": [("person_id", "bigint"), ("movie_id", "bigint")],
+    "episodes": [("movie_id", "bigint"), ("parent_movie_id", "bigint"), ("season_number", "int"),
+                 ("episode_number", "bigint")],
+}
+
+
+def _pct(part: str, total: str) -> str:
+    return f"CASE WHEN {total} <> 0 THEN CAST({part} AS DOUBLE) * 100.0 / {total} END"
+
+
+def _src(t: str) -> str:
+    return f"raw_{t}" if t in CLEAN_KEYS else t
+
+
+def _summary(values_sql: str) -> str:
+    return (f"SELECT count(*) AS count, min(value) AS min, max(value) AS max, avg(value) AS mean, "
+            f"quantile_cont(value, 0.5) AS median, stddev_samp(value) AS std FROM ({values_sql}) v")
+
+
+def _histogram(values_sql: str, edges: list[float]) -> str:
+    inner = " + ".join(f"CAST(value >= {float(e)} AS INTEGER)" for e in edges[1:-1])
+    bucket = f"CASE WHEN value >= {float(edges[0])} AND value <= {float(edges[-1])} THEN {inner} + 1 END"
+    bins = " UNION ALL ".join(
+        f"SELECT {i + 1} AS bin, CAST({float(lo)} AS DOUBLE) AS lower, CAST({float(hi)} AS DOUBLE) AS upper"
+        for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])))
+    return f"""
+WITH counted AS (SELECT {bucket} AS bin, count(*) AS count FROM ({values_sql}) v GROUP BY 1),
+shared AS (SELECT bin, count, {_pct("count", "sum(count) OVER ()")} AS pct FROM counted)
+SELECT b.bin, b.lower, b.upper, COALESCE(s.count, 0) AS count, COALESCE(s.pct, 0.0) AS pct
+FROM ({bins}) b LEFT JOIN shared s ON s.bin = b.bin"""
+
+
+def _profiling() -> dict[str, str]:
+    prof, desc = [], []
+    for t, cols in RAW_COLUMNS.items():
+        src = _src(t)
+        for c, dtype in cols:
+            empty = f"count(*) FILTER (WHERE {c} = '')" if dtype == "string" else "CAST(0 AS BIGINT)"
+            prof.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{dtype}' AS dtype, total_rows, missing, "
+                f"{_pct('missing', 'total_rows')} AS missing_pct, empty, {_pct('empty', 'total_rows')} AS empty_pct, "
+                f"unique_values, {_pct('unique_values', 'total_rows')} AS unique_pct FROM ("
+                f"SELECT count(*) AS total_rows, count(*) FILTER (WHERE {c} IS NULL) AS missing, "
+                f"{empty} AS empty, count(DISTINCT {c}) AS unique_values FROM {src}) s")
+            if dtype != "string":
+                x = f"CAST({c} AS DOUBLE)"
+                desc.append(
+                    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS count, avg({x}) AS mean, "
+                    f"stddev_samp({x}) AS std, min({x}) AS min, quantile_cont({x}, 0.25) AS p25, "
+                    f"quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75, max({x}) AS max FROM {src}")
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+                                for t in ALL_TABLES)
+    years = "SELECT TRY_CAST(start_year AS DOUBLE) AS value FROM raw_movie_years WHERE TRY_CAST(start_year AS DOUBLE) IS NOT NULL"
+    ratings = ("SELECT TRY_CAST(average_rating AS DOUBLE) AS value FROM raw_ratings "
+               "WHERE average_rating IS NOT NULL")
+    credits = ("SELECT CAST(count(*) AS DOUBLE) AS value FROM principals WHERE movie_id IS NOT NULL "
+               "GROUP BY movie_id")
+    return {
+        "table_counts": f"WITH c AS ({counts}) SELECT * FROM c UNION ALL "
+                        f"SELECT 'TOTAL', CAST(sum(row_count) AS BIGINT) FROM c",
+        "profile_columns": "\nUNION ALL\n".join(prof),
+        "profile_numeric": "\nUNION ALL\n".join(desc),
+        "year_stats": _summary(years),
+        "films_per_decade": (f"SELECT decade, films, {_pct('films', 'sum(films) OVER ()')} AS pct FROM ("
+                             f"SELECT CAST(floor(value / 10) * 10 AS BIGINT) AS decade, count(*) AS films "
+                             f"FROM ({years}) v GROUP BY 1) d"),
+        "top_genres": (f"SELECT genre, count, pct FROM (SELECT genre, count(*) AS count, "
+                       f"{_pct('count(*)', 'sum(count(*)) OVER ()')} AS pct FROM genres GROUP BY genre) g "
+                       f"WHERE genre IS NOT NULL ORDER BY count DESC, genre LIMIT 10"),
+        "rating_stats": _summary(ratings),
+        "rating_histogram": _histogram(ratings, [0, 2, 4, 6, 8, 10]),
+        "credits_stats": _summary(credits),
+        "credits_histogram": _histogram(credits, [0, 5, 10, 15, 20, 50, 100, 1000]),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     raw: dict[str, str] = {}
     raw.update(_sql_form())
@@ -520,6 +610,7 @@ def oracle_queries() -> dict[str, str]:
     raw.update(_documents())
     raw.update(_cleaning())
     raw.update(_integrity())
+    raw.update(_profiling())
     extra = dict(DOC_VIEWS)
     extra.update(RAW_VIEW_SQL)
     return {key: with_views(sql, extra) for key, sql in raw.items()}

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.operators import cleaning, integrity
+from reelframe.operators import cleaning, distributions, integrity, profiling
 from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
 from reelframe.oracle import PARAMS as P
 from reelframe.plans import collection_form as C
@@ -238,6 +238,32 @@ def _integrity() -> dict[str, Query]:
     }
 
 
+def _profiling() -> dict[str, Query]:
+    def raw_all(spark, d):
+        raw = RawCatalog(Catalog(spark, d))
+        return {name: raw.table(name) for name in CATALOG_TABLES}
+
+    def cat(spark, d):
+        return Catalog(spark, d)
+
+    def raw(spark, d):
+        return RawCatalog(Catalog(spark, d))
+
+    D = distributions
+    return {
+        "table_counts": lambda spark, d: profiling.table_counts(cat(spark, d).tables()),
+        "profile_columns": lambda spark, d: profiling.profile_tables(raw_all(spark, d)),
+        "profile_numeric": lambda spark, d: profiling.describe_tables(raw_all(spark, d)),
+        "year_stats": lambda spark, d: D.year_stats(raw(spark, d).movie_years),
+        "films_per_decade": lambda spark, d: D.films_per_decade(raw(spark, d).movie_years),
+        "top_genres": lambda spark, d: D.top_genres(cat(spark, d).genres),
+        "rating_stats": lambda spark, d: D.rating_stats(raw(spark, d).ratings),
+        "rating_histogram": lambda spark, d: D.rating_histogram(raw(spark, d).ratings),
+        "credits_stats": lambda spark, d: D.credits_stats(cat(spark, d).principals),
+        "credits_histogram": lambda spark, d: D.credits_histogram(cat(spark, d).principals),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_sql_form())
@@ -246,4 +272,5 @@ def all_queries() -> dict[str, Query]:
     out.update(_documents())
     out.update(_cleaning())
     out.update(_integrity())
+    out.update(_profiling())
     return out

@@ -71,7 +71,18 @@ class RawCatalog:
 
     @cached_property
     def principals(self) -> DataFrame:
-        return self.cat.principals
+        return self.cat.source("lineitem").select(
+            F.col("l_orderkey").alias("movie_id"), F.col("l_linenumber").alias("ordering"),
+            F.col("l_suppkey").alias("person_id"), F.col("l_returnflag").alias("category"),
+            F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.col("l_linestatus")).alias("job"))
+
+    @cached_property
+    def movie_years(self) -> DataFrame:
+        """Start years as raw text, some unparsable (tolerant conversion input)."""
+        return self.cat.source("orders").select(
+            F.col("o_orderkey").alias("movie_id"),
+            F.when(F.col("o_orderstatus") == "P", F.lit("x"))
+            .otherwise(F.year("o_orderdate").cast("string")).alias("start_year"))
 
 
 RAW_TABLES = ["persons", "movies", "ratings", "episodes", "professions", "characters", "principals"]
@@ -96,5 +107,9 @@ RAW_VIEW_SQL = {
     "raw_characters": ("SELECT l_orderkey AS movie_id, l_suppkey AS person_id, "
                        "CASE WHEN l_returnflag <> 'N' THEN p_name END AS name "
                        "FROM lineitem JOIN part ON l_partkey = p_partkey"),
-    "raw_principals": "SELECT * FROM principals",
+    "raw_principals": ("SELECT l_orderkey AS movie_id, l_linenumber AS ordering, l_suppkey AS person_id, "
+                       "l_returnflag AS category, "
+                       "CASE WHEN l_returnflag = 'N' THEN '' ELSE l_linestatus END AS job FROM lineitem"),
+    "raw_movie_years": ("SELECT o_orderkey AS movie_id, CASE WHEN o_orderstatus = 'P' THEN 'x' "
+                        "ELSE CAST(year(o_orderdate) AS VARCHAR) END AS start_year FROM orders"),
 }

@@ -18,6 +18,7 @@ from reelframe.functions import decade_floor, histogram_bucket, pct
 # Fixed bin edges of the exploration step.
 RATING_EDGES = [0, 2, 4, 6, 8, 10]
 CREDIT_EDGES = [0, 5, 10, 15, 20, 50, 100, 1000]
+STD_DECIMALS = 6
 
 
 def numeric_values(df: DataFrame, column: str) -> DataFrame:
@@ -27,11 +28,15 @@ def numeric_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def summary(values: DataFrame, exact: bool = True) -> DataFrame:
-    """count, min, max, mean, median, sample std of a ``value`` column."""
+    """count, min, max, mean, median, sample std of a ``value`` column.
+
+    The standard deviation is reported to ``STD_DECIMALS`` places: engines
+    accumulate the moments differently and disagree in the last bits."""
     v = F.col("value")
     median = F.percentile(v, 0.5) if exact else F.percentile_approx(v, 0.5, 100000).cast("double")
     return values.agg(F.count(F.lit(1)).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
-                      F.avg(v).alias("mean"), median.alias("median"), F.stddev_samp(v).alias("std"))
+                      F.avg(v).alias("mean"), median.alias("median"),
+                      F.round(F.stddev_samp(v), STD_DECIMALS).alias("std"))
 
 
 def year_stats(years: DataFrame, column: str = "start_year", exact: bool = True) -> DataFrame:

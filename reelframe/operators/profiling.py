@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from reelframe.functions import pct
 
+STD_DECIMALS = 6  # moments are accumulated differently across engines; last bits differ
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -83,7 +84,7 @@ def describe(name: str, df: DataFrame, columns: list[str] | None = None, exact:
         F.lit(c).alias("column_name"),
         F.count(c).alias("count"),
         F.avg(F.col(c).cast("double")).alias("mean"),
-        F.stddev_samp(F.col(c).cast("double")).alias("std"),
+        F.round(F.stddev_samp(F.col(c).cast("double")), STD_DECIMALS).alias("std"),
         F.min(F.col(c).cast("double")).alias("min"),
         quart(c).alias("q"),
         F.max(F.col(c).cast("double")).alias("max")) for c in cols]).alias("stats"))

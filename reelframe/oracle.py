@@ -542,7 +542,7 @@ def _src(t: str) -> str:
 
 def _summary(values_sql: str) -> str:
     return (f"SELECT count(*) AS count, min(value) AS min, max(value) AS max, avg(value) AS mean, "
-            f"quantile_cont(value, 0.5) AS median, stddev_samp(value) AS std FROM ({values_sql}) v")
+            f"quantile_cont(value, 0.5) AS median, round(stddev_samp(value), 6) AS std FROM ({values_sql}) v")
 
 
 def _histogram(values_sql: str, edges: list[float]) -> str:
@@ -574,7 +574,7 @@ def _profiling() -> dict[str, str]:
                 x = f"CAST({c} AS DOUBLE)"
                 desc.append(
                     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS count, avg({x}) AS mean, "
-                    f"stddev_samp({x}) AS std, min({x}) AS min, quantile_cont({x}, 0.25) AS p25, "
+                    f"round(stddev_samp({x}), 6) AS std, min({x}) AS min, quantile_cont({x}, 0.25) AS p25, "
                     f"quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75, max({x}) AS max FROM {src}")
     counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
                                 for t in ALL_TABLES)

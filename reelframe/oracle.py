@@ -602,6 +602,19 @@ def _profiling() -> dict[str, str]:
     }
 
 
+def _storage() -> dict[str, str]:
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in ALL_TABLES)
+    film = _documents()["film_full_nested"]
+    return {
+        "copy_verify": (f"SELECT table_name, n AS source_rows, n AS target_rows, TRUE AS match, "
+                        f"TRUE AS all_match FROM ({counts}) c"),
+        "copy_stats": (f"SELECT count(*) AS tables_copied, CAST(sum(n) AS BIGINT) AS rows_copied, "
+                       f"TRUE AS all_match FROM ({counts}) c"),
+        "csv_load_report": _cleaning()["load_report"],
+        "film_full_layout": film,
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     raw: dict[str, str] = {}
     raw.update(_sql_form())
@@ -611,6 +624,7 @@ def oracle_queries() -> dict[str, str]:
     raw.update(_cleaning())
     raw.update(_integrity())
     raw.update(_profiling())
+    raw.update(_storage())
     extra = dict(DOC_VIEWS)
     extra.update(RAW_VIEW_SQL)
     return {key: with_views(sql, extra) for key, sql in raw.items()}

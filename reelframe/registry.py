@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.operators import cleaning, distributions, integrity, profiling
+from reelframe.operators import cleaning, distributions, integrity, profiling, transfer
 from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
 from reelframe.oracle import PARAMS as P
 from reelframe.plans import collection_form as C
@@ -20,7 +20,9 @@ from reelframe.plans import film
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
 from reelframe.sources.catalog import CATALOG_TABLES, Catalog
+from reelframe.sources import csv_ingest, sinks
 from reelframe.sources.raw_views import RawCatalog
+from reelframe.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -264,6 +266,65 @@ def _profiling() -> dict[str, Query]:
     }
 
 
+def _scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the shared checkpoint directory (never machine-local on a cluster)."""
+    import uuid
+
+    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _storage() -> dict[str, Query]:
+    def copied(spark, d):
+        cat = Catalog(spark, d)
+        paths = transfer.copy_tables(cat.tables(), _scratch(spark, "copy"))
+        return cat.tables(), transfer.read_tables(spark, paths), paths
+
+    def verify(spark, d):
+        source, target, _ = copied(spark, d)
+        return transfer.copy_verify(source, target)
+
+    def stats(spark, d):
+        source, target, _ = copied(spark, d)
+        return transfer.copy_stats(transfer.copy_verify(source, target))
+
+    def storage(spark, d):
+        _, _, paths = copied(spark, d)
+        root = _scratch(spark, "nested")
+        sinks.overwrite_table(_docs(spark, d), root, "movies_complete")
+        paths["movies_complete"] = sinks.table_path(root, "movies_complete")
+        return transfer.storage_stats(spark, paths)
+
+    def compare(spark, d):
+        _, _, paths = copied(spark, d)
+        root = _scratch(spark, "nested")
+        sinks.overwrite_table(_docs(spark, d), root, "movies_complete")
+        flat = transfer.storage_stats(spark, paths)
+        nested = transfer.storage_stats(spark, {"movies_complete": sinks.table_path(root, "movies_complete")})
+        return transfer.storage_compare(flat, nested)
+
+    def csv_report(spark, d):
+        root = _scratch(spark, "csv")
+        for name, df in _raw_tables(spark, d).items():
+            csv_ingest.export_csv(df, f"{root}/{name}.csv")
+        loaded = csv_ingest.read_catalog_csv(spark, root, CLEANED)
+        return cleaning.load_report(loaded)
+
+    def inventory(spark, d):
+        root = _scratch(spark, "csv")
+        for name, df in _raw_tables(spark, d).items():
+            csv_ingest.export_csv(df.coalesce(1), f"{root}/{name}")
+        return csv_ingest.file_inventory(spark, root)
+
+    def layout(spark, d):
+        path = _scratch(spark, "layout")
+        sinks.write_layout(_docs(spark, d), path, sort_by=["title"])
+        return render_documents(film.film_full_nested(spark.read.parquet(path), P["film_title"]))
+
+    return {"copy_verify": verify, "copy_stats": stats, "storage_stats": storage,
+            "storage_compare": compare, "csv_load_report": csv_report, "file_inventory": inventory,
+            "film_full_layout": layout}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_sql_form())
@@ -273,4 +334,5 @@ def all_queries() -> dict[str, Query]:
     out.update(_cleaning())
     out.update(_integrity())
     out.update(_profiling())
+    out.update(_storage())
     return out

@@ -3,336 +3,226 @@
 Every callable reads the driver's tables through the catalog views (work grows
 with the input) and returns flat columns only (arrays/structs are rendered to
 text with a fixed order) so results can be compared with the SQL oracle.
+
+The questions are defined over a catalog object (``Catalog`` over the source
+tables or ``StoredCatalog`` over materialised tables), so the benchmark runs
+the very same plans on stored tables.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelframe.operators import cleaning, distributions, integrity, profiling, transfer
-from reelframe.operators.nesting import build_from_catalog, render_documents, sample_document
+from reelframe.operators.nesting import render_documents, sample_document
 from reelframe.oracle import PARAMS as P
 from reelframe.plans import collection_form as C
 from reelframe.plans import film
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
-from reelframe.sources.catalog import CATALOG_TABLES, Catalog
+from reelframe.schema import AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN
+from reelframe.session import checkpoint_root
 from reelframe.sources import csv_ingest, sinks
+from reelframe.sources.catalog import CATALOG_TABLES, Catalog
 from reelframe.sources.raw_views import RawCatalog
-from reelframe.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
+CatalogQuery = Callable[[object], DataFrame]
 
+Y0, Y1 = P["q2_years"]
 
-def _sql_form() -> dict[str, Query]:
-    def q1(spark, d):
-        c = Catalog(spark, d)
-        return S.q1_filmography(c.movies, c.principals, c.persons, c.genres, c.ratings, P["q1_name"])
-
-    def q2(spark, d):
-        c = Catalog(spark, d)
-        y0, y1 = P["q2_years"]
-        return S.q2_top_films(c.movies, c.genres, c.ratings, P["q2_genre"], y0, y1, P["q2_n"])
-
-    def q3(spark, d):
-        c = Catalog(spark, d)
-        return S.q3_multi_role(c.characters, c.persons, c.movies)
-
-    def q4(spark, d):
-        c = Catalog(spark, d)
-        return S.q4_collaborations(c.directors, c.principals, c.persons, P["q4_name"])
-
-    def q5(spark, d):
-        c = Catalog(spark, d)
-        return S.q5_popular_genres(c.genres, c.ratings, P["q5_min_rating"], P["q5_min_count"])
-
-    def q6(spark, d):
-        c = Catalog(spark, d)
-        return S.q6_career(c.movies, c.principals, c.persons, c.ratings, P["q6_name"])
-
-    def q7(spark, d):
-        c = Catalog(spark, d)
-        return S.q7_top_per_genre(c.genres, c.ratings, c.movies, P["q7_n"])
-
-    def q7c(spark, d):
-        c = Catalog(spark, d)
-        return S.q7_top_per_genre_clean(c.genres, c.ratings, c.movies, P["q7_n"])
-
-    def q8(spark, d):
-        c = Catalog(spark, d)
-        return S.q8_breakthrough(c.principals, c.persons, c.ratings, c.movies, P["q8_threshold"])
-
-    def q9(spark, d):
-        c = Catalog(spark, d)
-        return S.q9_prolific_directors(c.directors, c.persons, c.movies, c.ratings, c.genres,
-                                       P["q9_min_films"])
 
-    return {"q1_sql": q1, "q2_sql": q2, "q3_sql": q3, "q4_sql": q4, "q5_sql": q5,
-            "q6_sql": q6, "q7_sql": q7, "q7_clean": q7c, "q8_sql": q8, "q9_sql": q9}
-
-
-def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return build_from_catalog(Catalog(spark, d))
+def _nested_lists(col: str):
+    """``[[a, b], [a, b]]`` -> ``'[a, b], [a, b]'``."""
+    return F.array_join(F.transform(col, lambda g: F.concat(F.lit("["), F.array_join(g, ", "), F.lit("]"))),
+                        ", ")
 
 
-def _nested_form() -> dict[str, Query]:
-    def q1(spark, d):
-        out = N.q1_filmography(_docs(spark, d), P["q1_name"])
-        return out.select("movie_id", "title", "year", F.array_join("genres", ", ").alias("genres"),
-                          F.col("rating.average").alias("rating_average"),
-                          F.col("rating.votes").alias("rating_votes"))
+def _rating_cols():
+    return [F.col("rating.average").alias("rating_average"), F.col("rating.votes").alias("rating_votes")]
 
-    def q2(spark, d):
-        y0, y1 = P["q2_years"]
-        out = N.q2_top_films(_docs(spark, d), P["q2_genre"], y0, y1, P["q2_n"])
-        return out.select("title", "year", F.col("rating.average").alias("rating_average"),
-                          F.col("rating.votes").alias("rating_votes"))
 
+def questions() -> dict[str, CatalogQuery]:
+    """The nine questions x three formulations (+ q7_clean), over a catalog ``c``."""
     return {
-        "q1_nest": q1,
-        "q2_nest": q2,
-        "q3_nest": lambda spark, d: N.q3_multi_role(_docs(spark, d)),
-        "q4_nest": lambda spark, d: N.q4_collaborations(_docs(spark, d), P["q4_name"]),
-        "q5_nest": lambda spark, d: N.q5_popular_genres(_docs(spark, d), P["q5_min_rating"],
-                                                        P["q5_min_count"]),
-        "q6_nest": lambda spark, d: N.q6_career(_docs(spark, d), P["q6_name"]),
-        "q7_nest": lambda spark, d: N.q7_top_per_genre(_docs(spark, d), P["q7_n"]),
-        "q8_nest": lambda spark, d: N.q8_breakthrough(_docs(spark, d), P["q8_threshold"]),
-        "q9_nest": lambda spark, d: N.q9_prolific_directors(_docs(spark, d), P["q9_min_films"]),
+        # relational form
+        "q1_sql": lambda c: S.q1_filmography(c.movies, c.principals, c.persons, c.genres, c.ratings,
+                                             P["q1_name"]),
+        "q2_sql": lambda c: S.q2_top_films(c.movies, c.genres, c.ratings, P["q2_genre"], Y0, Y1, P["q2_n"]),
+        "q3_sql": lambda c: S.q3_multi_role(c.characters, c.persons, c.movies),
+        "q4_sql": lambda c: S.q4_collaborations(c.directors, c.principals, c.persons, P["q4_name"]),
+        "q5_sql": lambda c: S.q5_popular_genres(c.genres, c.ratings, P["q5_min_rating"], P["q5_min_count"]),
+        "q6_sql": lambda c: S.q6_career(c.movies, c.principals, c.persons, c.ratings, P["q6_name"]),
+        "q7_sql": lambda c: S.q7_top_per_genre(c.genres, c.ratings, c.movies, P["q7_n"]),
+        "q7_clean": lambda c: S.q7_top_per_genre_clean(c.genres, c.ratings, c.movies, P["q7_n"]),
+        "q8_sql": lambda c: S.q8_breakthrough(c.principals, c.persons, c.ratings, c.movies, P["q8_threshold"]),
+        "q9_sql": lambda c: S.q9_prolific_directors(c.directors, c.persons, c.movies, c.ratings, c.genres,
+                                                    P["q9_min_films"]),
+        # flat document collections
+        "q1_pipe": lambda c: C.q1_filmography(c.persons, c.principals, c.movies, c.genres, c.ratings,
+                                              P["q1_name"]).select(
+            "movie_id", "titre", "annee", _nested_lists("genres").alias("genres"), "note"),
+        "q2_pipe": lambda c: C.q2_top_films(c.genres, c.movies, c.ratings, P["q2_genre"], Y0, Y1, P["q2_n"]),
+        "q3_pipe": lambda c: C.q3_multi_role(c.characters, c.persons, c.movies),
+        "q4_pipe": lambda c: C.q4_collaborations(c.persons, c.principals, c.directors, P["q4_name"]),
+        "q5_pipe": lambda c: C.q5_popular_genres(c.genres, c.ratings, P["q5_min_rating"], P["q5_min_count"]),
+        "q6_pipe": lambda c: C.q6_career(c.persons, c.principals, c.movies, c.ratings, P["q6_name"]),
+        "q7_pipe": lambda c: C.q7_top_per_genre(c.genres, c.movies, c.ratings, P["q7_n"]),
+        "q8_pipe": lambda c: C.q8_breakthrough(c.persons, c.principals, c.ratings, P["q8_threshold"]),
+        "q9_pipe": lambda c: C.q9_prolific_directors(c.directors, c.movies, c.persons, c.ratings, c.genres,
+                                                     P["q9_min_films"]),
+        # nested documents
+        "q1_nest": lambda c: N.q1_filmography(c.docs, P["q1_name"]).select(
+            "movie_id", "title", "year", F.array_join("genres", ", ").alias("genres"), *_rating_cols()),
+        "q2_nest": lambda c: N.q2_top_films(c.docs, P["q2_genre"], Y0, Y1, P["q2_n"]).select(
+            "title", "year", *_rating_cols()),
+        "q3_nest": lambda c: N.q3_multi_role(c.docs),
+        "q4_nest": lambda c: N.q4_collaborations(c.docs, P["q4_name"]),
+        "q5_nest": lambda c: N.q5_popular_genres(c.docs, P["q5_min_rating"], P["q5_min_count"]),
+        "q6_nest": lambda c: N.q6_career(c.docs, P["q6_name"]),
+        "q7_nest": lambda c: N.q7_top_per_genre(c.docs, P["q7_n"]),
+        "q8_nest": lambda c: N.q8_breakthrough(c.docs, P["q8_threshold"]),
+        "q9_nest": lambda c: N.q9_prolific_directors(c.docs, P["q9_min_films"]),
     }
 
 
-def _film_flat(spark: SparkSession, d: str) -> DataFrame:
-    c = Catalog(spark, d)
+def _film_flat(c) -> DataFrame:
     return film.film_full_flat(c.movies, c.ratings, c.genres, c.persons, c.directors,
                                c.principals, c.characters, c.writers, P["film_title"])
 
 
-def _documents() -> dict[str, Query]:
+def documents() -> dict[str, CatalogQuery]:
     return {
-        "movies_complete": lambda spark, d: render_documents(_docs(spark, d)),
-        "sample_document": lambda spark, d: sample_document(_docs(spark, d), P["sample_min_votes"]),
-        "film_full_flat": lambda spark, d: render_documents(_film_flat(spark, d)),
-        "film_full_nested": lambda spark, d: render_documents(
-            film.film_full_nested(_docs(spark, d), P["film_title"])),
-        "film_compare": lambda spark, d: film.compare_documents(
-            _film_flat(spark, d), film.film_full_nested(_docs(spark, d), P["film_title"])),
+        "movies_complete": lambda c: render_documents(c.docs),
+        "sample_document": lambda c: sample_document(c.docs, P["sample_min_votes"]),
+        "film_full_flat": lambda c: render_documents(_film_flat(c)),
+        "film_full_nested": lambda c: render_documents(film.film_full_nested(c.docs, P["film_title"])),
+        "film_compare": lambda c: film.compare_documents(_film_flat(c),
+                                                         film.film_full_nested(c.docs, P["film_title"])),
     }
 
 
-def _render_nested_lists(col: str):
-    """``[[a, b], [a, b]]`` -> ``'[a, b], [a, b]'``."""
-    return F.array_join(F.transform(col, lambda g: F.concat(F.lit("["), F.array_join(g, ", "),
-                                                            F.lit("]"))), ", ")
-
-
-def _collection_form() -> dict[str, Query]:
-    def q1(spark, d):
-        c = Catalog(spark, d)
-        out = C.q1_filmography(c.persons, c.principals, c.movies, c.genres, c.ratings, P["q1_name"])
-        return out.select("movie_id", "titre", "annee", _render_nested_lists("genres").alias("genres"),
-                          "note")
-
-    def q2(spark, d):
-        c = Catalog(spark, d)
-        y0, y1 = P["q2_years"]
-        return C.q2_top_films(c.genres, c.movies, c.ratings, P["q2_genre"], y0, y1, P["q2_n"])
-
-    def q3(spark, d):
-        c = Catalog(spark, d)
-        return C.q3_multi_role(c.characters, c.persons, c.movies)
-
-    def q4(spark, d):
-        c = Catalog(spark, d)
-        return C.q4_collaborations(c.persons, c.principals, c.directors, P["q4_name"])
-
-    def q5(spark, d):
-        c = Catalog(spark, d)
-        return C.q5_popular_genres(c.genres, c.ratings, P["q5_min_rating"], P["q5_min_count"])
-
-    def q6(spark, d):
-        c = Catalog(spark, d)
-        return C.q6_career(c.persons, c.principals, c.movies, c.ratings, P["q6_name"])
-
-    def q7(spark, d):
-        c = Catalog(spark, d)
-        return C.q7_top_per_genre(c.genres, c.movies, c.ratings, P["q7_n"])
-
-    def q8(spark, d):
-        c = Catalog(spark, d)
-        return C.q8_breakthrough(c.persons, c.principals, c.ratings, P["q8_threshold"])
-
-    def q9(spark, d):
-        c = Catalog(spark, d)
-        return C.q9_prolific_directors(c.directors, c.movies, c.persons, c.ratings, c.genres,
-                                       P["q9_min_films"])
-
-    return {"q1_pipe": q1, "q2_pipe": q2, "q3_pipe": q3, "q4_pipe": q4, "q5_pipe": q5,
-            "q6_pipe": q6, "q7_pipe": q7, "q8_pipe": q8, "q9_pipe": q9}
-
+# -- data-quality operators over raw / cleaned inputs -----------------------------
 
 CLEANED = ["persons", "movies", "ratings", "episodes", "professions", "characters", "principals"]
 
 
-def _raw_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    raw = RawCatalog(Catalog(spark, d))
+def _raw_tables(raw: RawCatalog) -> dict[str, DataFrame]:
     return {t: raw.table(t) for t in CLEANED}
 
 
-def _cleaning() -> dict[str, Query]:
-    def valid(table):
-        def run(spark, d):
-            return cleaning.clean_table(table, RawCatalog(Catalog(spark, d)).table(table))[0]
-        return run
-
-    out: dict[str, Query] = {f"clean_{t}": valid(t) for t in CLEANED}
-    out["quarantine"] = lambda spark, d: cleaning.quarantine(_raw_tables(spark, d))
-    out["load_report"] = lambda spark, d: cleaning.load_report(_raw_tables(spark, d))
-    return out
-
-
-def _audited_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def _audited_tables(raw: RawCatalog) -> dict[str, DataFrame]:
     """The catalog after cleaning: rejected parents leave orphaned children behind."""
-    cat = Catalog(spark, d)
-    raw = RawCatalog(cat)
-    tables = {name: cat.table(name) for name in CATALOG_TABLES}
+    tables = {name: raw.cat.table(name) for name in CATALOG_TABLES}
     for name in CLEANED:
         tables[name] = cleaning.clean_table(name, raw.table(name))[0]
     return tables
 
 
-def _integrity() -> dict[str, Query]:
-    from reelframe.schema import AUDITED_MOVIE_CHILDREN as MC
-    from reelframe.schema import AUDITED_PERSON_CHILDREN as PC
-
-    def raw_tables(spark, d):
-        raw = RawCatalog(Catalog(spark, d))
-        return {name: raw.table(name) for name in CATALOG_TABLES}
-
-    def om(spark, d):
-        t = _audited_tables(spark, d)
-        return integrity.orphan_movies(t["movies"], {c: t[c] for c in MC})
-
-    def op(spark, d):
-        t = _audited_tables(spark, d)
-        return integrity.orphan_persons(t["persons"], {c: t[c] for c in PC})
-
-    def fw(spark, d):
-        t = _audited_tables(spark, d)
-        return integrity.films_without_data(t["movies"], {c: t[c] for c in MC})
-
-    def cov(spark, d):
-        t = _audited_tables(spark, d)
-        return integrity.coverage({c: t[c] for c in MC})
-
-    def oc(spark, d):
-        t = _audited_tables(spark, d)
-        return integrity.orphan_pairs(t["characters"], t["principals"])
-
-    return {
-        "pk_duplicates": lambda spark, d: integrity.pk_duplicates(raw_tables(spark, d)),
-        "orphan_movies": om, "orphan_persons": op, "films_without_data": fw, "coverage": cov,
-        "orphan_characters": oc,
-        "integrity_summary": lambda spark, d: integrity.integrity_summary(_audited_tables(spark, d)),
-    }
-
-
-def _profiling() -> dict[str, Query]:
-    def raw_all(spark, d):
-        raw = RawCatalog(Catalog(spark, d))
-        return {name: raw.table(name) for name in CATALOG_TABLES}
-
-    def cat(spark, d):
-        return Catalog(spark, d)
+def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
+    MC, PC = AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN
+    D = distributions
 
-    def raw(spark, d):
-        return RawCatalog(Catalog(spark, d))
+    def valid(table):
+        return lambda raw: cleaning.clean_table(table, raw.table(table))[0]
+
+    def audited(fn):
+        return lambda raw: fn(_audited_tables(raw))
+
+    out: dict[str, Callable[[RawCatalog], DataFrame]] = {f"clean_{t}": valid(t) for t in CLEANED}
+    out.update({
+        "quarantine": lambda raw: cleaning.quarantine(_raw_tables(raw)),
+        "load_report": lambda raw: cleaning.load_report(_raw_tables(raw)),
+        "pk_duplicates": lambda raw: integrity.pk_duplicates({n: raw.table(n) for n in CATALOG_TABLES}),
+        "orphan_movies": audited(lambda t: integrity.orphan_movies(t["movies"], {c: t[c] for c in MC})),
+        "orphan_persons": audited(lambda t: integrity.orphan_persons(t["persons"], {c: t[c] for c in PC})),
+        "films_without_data": audited(lambda t: integrity.films_without_data(t["movies"],
+                                                                              {c: t[c] for c in MC})),
+        "coverage": audited(lambda t: integrity.coverage({c: t[c] for c in MC})),
+        "orphan_characters": audited(lambda t: integrity.orphan_pairs(t["characters"], t["principals"])),
+        "integrity_summary": audited(integrity.integrity_summary),
+        "table_counts": lambda raw: profiling.table_counts(raw.cat.tables()),
+        "profile_columns": lambda raw: profiling.profile_tables({n: raw.table(n) for n in CATALOG_TABLES}),
+        "profile_numeric": lambda raw: profiling.describe_tables({n: raw.table(n) for n in CATALOG_TABLES}),
+        "year_stats": lambda raw: D.year_stats(raw.movie_years),
+        "films_per_decade": lambda raw: D.films_per_decade(raw.movie_years),
+        "top_genres": lambda raw: D.top_genres(raw.cat.genres),
+        "rating_stats": lambda raw: D.rating_stats(raw.ratings),
+        "rating_histogram": lambda raw: D.rating_histogram(raw.ratings),
+        "credits_stats": lambda raw: D.credits_stats(raw.cat.principals),
+        "credits_histogram": lambda raw: D.credits_histogram(raw.cat.principals),
+    })
+    return out
 
-    D = distributions
-    return {
-        "table_counts": lambda spark, d: profiling.table_counts(cat(spark, d).tables()),
-        "profile_columns": lambda spark, d: profiling.profile_tables(raw_all(spark, d)),
-        "profile_numeric": lambda spark, d: profiling.describe_tables(raw_all(spark, d)),
-        "year_stats": lambda spark, d: D.year_stats(raw(spark, d).movie_years),
-        "films_per_decade": lambda spark, d: D.films_per_decade(raw(spark, d).movie_years),
-        "top_genres": lambda spark, d: D.top_genres(cat(spark, d).genres),
-        "rating_stats": lambda spark, d: D.rating_stats(raw(spark, d).ratings),
-        "rating_histogram": lambda spark, d: D.rating_histogram(raw(spark, d).ratings),
-        "credits_stats": lambda spark, d: D.credits_stats(cat(spark, d).principals),
-        "credits_histogram": lambda spark, d: D.credits_histogram(cat(spark, d).principals),
-    }
 
+# -- storage: copies, CSV round trip, layout (these write into the shared folder) --
 
-def _scratch(spark: SparkSession, label: str) -> str:
+def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint directory (never machine-local on a cluster)."""
-    import uuid
-
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def _storage() -> dict[str, Query]:
+def storage() -> dict[str, Query]:
     def copied(spark, d):
         cat = Catalog(spark, d)
-        paths = transfer.copy_tables(cat.tables(), _scratch(spark, "copy"))
-        return cat.tables(), transfer.read_tables(spark, paths), paths
+        paths = transfer.copy_tables(cat.tables(), scratch(spark, "copy"))
+        return cat, transfer.read_tables(spark, paths), paths
 
     def verify(spark, d):
-        source, target, _ = copied(spark, d)
-        return transfer.copy_verify(source, target)
+        cat, target, _ = copied(spark, d)
+        return transfer.copy_verify(cat.tables(), target)
 
     def stats(spark, d):
-        source, target, _ = copied(spark, d)
-        return transfer.copy_stats(transfer.copy_verify(source, target))
-
-    def storage(spark, d):
-        _, _, paths = copied(spark, d)
-        root = _scratch(spark, "nested")
-        sinks.overwrite_table(_docs(spark, d), root, "movies_complete")
-        paths["movies_complete"] = sinks.table_path(root, "movies_complete")
+        cat, target, _ = copied(spark, d)
+        return transfer.copy_stats(transfer.copy_verify(cat.tables(), target))
+
+    def stored_docs(spark, cat) -> str:
+        root = scratch(spark, "nested")
+        sinks.overwrite_table(cat.docs, root, "movies_complete")
+        return sinks.table_path(root, "movies_complete")
+
+    def storage_stats(spark, d):
+        cat, _, paths = copied(spark, d)
+        paths["movies_complete"] = stored_docs(spark, cat)
         return transfer.storage_stats(spark, paths)
 
-    def compare(spark, d):
-        _, _, paths = copied(spark, d)
-        root = _scratch(spark, "nested")
-        sinks.overwrite_table(_docs(spark, d), root, "movies_complete")
-        flat = transfer.storage_stats(spark, paths)
-        nested = transfer.storage_stats(spark, {"movies_complete": sinks.table_path(root, "movies_complete")})
-        return transfer.storage_compare(flat, nested)
+    def storage_compare(spark, d):
+        cat, _, paths = copied(spark, d)
+        nested = {"movies_complete": stored_docs(spark, cat)}
+        return transfer.storage_compare(transfer.storage_stats(spark, paths),
+                                        transfer.storage_stats(spark, nested))
 
     def csv_report(spark, d):
-        root = _scratch(spark, "csv")
-        for name, df in _raw_tables(spark, d).items():
+        root = scratch(spark, "csv")
+        for name, df in _raw_tables(RawCatalog(Catalog(spark, d))).items():
             csv_ingest.export_csv(df, f"{root}/{name}.csv")
-        loaded = csv_ingest.read_catalog_csv(spark, root, CLEANED)
-        return cleaning.load_report(loaded)
+        return cleaning.load_report(csv_ingest.read_catalog_csv(spark, root, CLEANED))
 
     def inventory(spark, d):
-        root = _scratch(spark, "csv")
-        for name, df in _raw_tables(spark, d).items():
+        root = scratch(spark, "csv")
+        for name, df in _raw_tables(RawCatalog(Catalog(spark, d))).items():
             csv_ingest.export_csv(df.coalesce(1), f"{root}/{name}")
         return csv_ingest.file_inventory(spark, root)
 
     def layout(spark, d):
-        path = _scratch(spark, "layout")
-        sinks.write_layout(_docs(spark, d), path, sort_by=["title"])
+        path = scratch(spark, "layout")
+        sinks.write_layout(Catalog(spark, d).docs, path, sort_by=["title"])
         return render_documents(film.film_full_nested(spark.read.parquet(path), P["film_title"]))
 
-    return {"copy_verify": verify, "copy_stats": stats, "storage_stats": storage,
-            "storage_compare": compare, "csv_load_report": csv_report, "file_inventory": inventory,
-            "film_full_layout": layout}
+    return {"copy_verify": verify, "copy_stats": stats, "storage_stats": storage_stats,
+            "storage_compare": storage_compare, "csv_load_report": csv_report,
+            "file_inventory": inventory, "film_full_layout": layout}
 
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(_sql_form())
-    out.update(_collection_form())
-    out.update(_nested_form())
-    out.update(_documents())
-    out.update(_cleaning())
-    out.update(_integrity())
-    out.update(_profiling())
-    out.update(_storage())
+    for key, fn in {**questions(), **documents()}.items():
+        out[key] = (lambda f: lambda spark, d: f(Catalog(spark, d)))(fn)
+    for key, fn in data_quality().items():
+        out[key] = (lambda f: lambda spark, d: f(RawCatalog(Catalog(spark, d))))(fn)
+    out.update(storage())
     return out

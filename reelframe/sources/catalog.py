@@ -47,6 +47,13 @@ class Catalog:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in CATALOG_TABLES}
 
+    @cached_property
+    def docs(self) -> DataFrame:
+        """The nested documents, built from the views."""
+        from reelframe.operators.nesting import build_from_catalog
+
+        return build_from_catalog(self)
+
     # -- views ------------------------------------------------------------
     @cached_property
     def persons(self) -> DataFrame:
@@ -140,6 +147,43 @@ class Catalog:
                 .distinct())
 
 
+class StoredCatalog:
+    """The catalog tables (and optionally the documents) as written Parquet tables.
+
+    ``materialize`` writes every view once (the load step); later questions read
+    the stored tables, which also cuts the lineage back to the source tables.
+    Exposes the same attributes as ``Catalog``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in CATALOG_TABLES}
+
+    @property
+    def docs(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/movies_complete")
+
+    @staticmethod
+    def materialize(catalog: Catalog, root: str, with_docs: bool = True) -> "StoredCatalog":
+        stored = StoredCatalog(catalog.spark, root)
+        for name in CATALOG_TABLES:
+            catalog.table(name).write.mode("overwrite").parquet(f"{stored.root}/{name}")
+        if with_docs:
+            from reelframe.operators.nesting import build_from_catalog
+
+            build_from_catalog(stored).write.mode("overwrite").parquet(f"{stored.root}/movies_complete")
+        return stored
+
+
+for _name in CATALOG_TABLES:
+    setattr(StoredCatalog, _name, property(lambda self, n=_name: self.table(n)))
+
+
 # The same views as SQL text, for the DuckDB oracle (fixed definitions).
 VIEW_SQL: dict[str, str] = {
     "persons": "SELECT s_suppkey AS person_id, s_name AS name FROM supplier",

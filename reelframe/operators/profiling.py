@@ -36,6 +36,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return counts.unionByName(total)
 
 
+def dataset_summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and columns per table, plus a total row (sizes: ``transfer.storage_stats``)."""
+    per_table = _union([df.agg(F.count(F.lit(1)).alias("rows"))
+                        .select(F.lit(name).alias("table_name"), "rows",
+                                F.lit(len(df.columns)).cast("bigint").alias("columns"))
+                        for name, df in tables.items()])
+    total = per_table.agg(F.sum("rows").cast("bigint").alias("rows"),
+                          F.sum("columns").cast("bigint").alias("columns")) \
+        .select(F.lit("TOTAL").alias("table_name"), "rows", "columns")
+    return per_table.unionByName(total)
+
+
 def profile_columns(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
     """One row per column — type, rows, missing, empty strings, distinct values
     (nulls excluded), each with its percentage of the rows."""

@@ -586,6 +586,10 @@ def _profiling() -> dict[str, str]:
     return {
         "table_counts": f"WITH c AS ({counts}) SELECT * FROM c UNION ALL "
                         f"SELECT 'TOTAL', CAST(sum(row_count) AS BIGINT) FROM c",
+        "dataset_summary": ("WITH s AS (" + " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS rows, CAST({len(cols)} AS BIGINT) AS columns FROM {_src(t)}"
+            for t, cols in RAW_COLUMNS.items()) + ") SELECT * FROM s UNION ALL "
+            "SELECT 'TOTAL', CAST(sum(rows) AS BIGINT), CAST(sum(columns) AS BIGINT) FROM s"),
         "profile_columns": "\nUNION ALL\n".join(prof),
         "profile_numeric": "\nUNION ALL\n".join(desc),
         "year_stats": _summary(years),
@@ -611,6 +615,12 @@ def _storage() -> dict[str, str]:
         "copy_stats": (f"SELECT count(*) AS tables_copied, CAST(sum(n) AS BIGINT) AS rows_copied, "
                        f"TRUE AS all_match FROM ({counts}) c"),
         "csv_load_report": _cleaning()["load_report"],
+        "stream_clean_movies": (f"WITH {_clean_ctes('movies')}\nSELECT CAST(movie_id AS VARCHAR) AS movie_id, "
+                                f"title_type, primary_title, is_adult, start_year, end_year, runtime_minutes "
+                                f"FROM passed_movies"),
+        "stream_clean_characters": (f"WITH {_clean_ctes('characters')}\nSELECT DISTINCT "
+                                    f"CAST(movie_id AS VARCHAR) AS movie_id, CAST(person_id AS VARCHAR) AS person_id, "
+                                    f"name FROM passed_characters"),
         "film_full_layout": film,
     }
 

@@ -29,6 +29,7 @@ from reelframe.session import checkpoint_root
 from reelframe.sources import csv_ingest, sinks
 from reelframe.sources.catalog import CATALOG_TABLES, Catalog
 from reelframe.sources.raw_views import RawCatalog
+from reelframe.streaming import clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 CatalogQuery = Callable[[object], DataFrame]
@@ -146,6 +147,7 @@ def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
         "orphan_characters": audited(lambda t: integrity.orphan_pairs(t["characters"], t["principals"])),
         "integrity_summary": audited(integrity.integrity_summary),
         "table_counts": lambda raw: profiling.table_counts(raw.cat.tables()),
+        "dataset_summary": lambda raw: profiling.dataset_summary({n: raw.table(n) for n in CATALOG_TABLES}),
         "profile_columns": lambda raw: profiling.profile_tables({n: raw.table(n) for n in CATALOG_TABLES}),
         "profile_numeric": lambda raw: profiling.describe_tables({n: raw.table(n) for n in CATALOG_TABLES}),
         "year_stats": lambda raw: D.year_stats(raw.movie_years),
@@ -213,7 +215,18 @@ def storage() -> dict[str, Query]:
         sinks.write_layout(Catalog(spark, d).docs, path, sort_by=["title"])
         return render_documents(film.film_full_nested(spark.read.parquet(path), P["film_title"]))
 
-    return {"copy_verify": verify, "copy_stats": stats, "storage_stats": storage_stats,
+    def streamed(table):
+        def run(spark, d):
+            raw = RawCatalog(Catalog(spark, d)).table(table)
+            root = scratch(spark, f"stream-{table}")
+            csv_ingest.export_csv(raw, f"{root}/in")
+            query = clean_stream.start(spark, f"{root}/in", raw.columns, table, f"{root}/out", f"{root}/ckpt")
+            query.awaitTermination()
+            return clean_stream.valid_rows(spark, f"{root}/out")
+        return run
+
+    return {"stream_clean_movies": streamed("movies"), "stream_clean_characters": streamed("characters"),
+            "copy_verify": verify, "copy_stats": stats, "storage_stats": storage_stats,
             "storage_compare": storage_compare, "csv_load_report": csv_report,
             "file_inventory": inventory, "film_full_layout": layout}
 

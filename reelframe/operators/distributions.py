@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelframe.functions import decade_floor, histogram_bucket, pct
+from reelframe.operators.profiling import exact_quantile_columns, quantiles
 
 # Fixed bin edges of the exploration step.
 RATING_EDGES = [0, 2, 4, 6, 8, 10]
@@ -33,7 +34,7 @@ def summary(values: DataFrame, exact: bool = True) -> DataFrame:
     The standard deviation is reported to ``STD_DECIMALS`` places: engines
     accumulate the moments differently and disagree in the last bits."""
     v = F.col("value")
-    median = F.percentile(v, 0.5) if exact else F.percentile_approx(v, 0.5, 100000).cast("double")
+    median = quantiles("value", [0.5], "value" in exact_quantile_columns(values, ["value"], exact))[0]
     return values.agg(F.count(F.lit(1)).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
                       F.avg(v).alias("mean"), median.alias("median"),
                       F.round(F.stddev_samp(v), STD_DECIMALS).alias("std"))
@@ -70,9 +71,18 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def top_genres(genres: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent genres with their share of *all* genre rows."""
-    # the null group stays in the denominator, then leaves the ranking
-    counts = share(genres.groupBy("genre").agg(F.count(F.lit(1)).alias("count")), "count")
-    return counts.filter(F.col("genre").isNotNull()).orderBy(F.desc("count"), "genre").limit(k)
+    counts = genres.groupBy("genre").agg(F.count(F.lit(1)).alias("count"))
+    top = (counts.filter(F.col("genre").isNotNull()).orderBy(F.desc("count"), "genre").limit(k)
+           .withColumn("_total", F.lit(False)))
+    # the denominator counts every genre row (nulls included): one extra row, so the
+    # window below runs over k + 1 rows however many genres exist
+    total = counts.agg(F.sum("count").cast("bigint").alias("count")) \
+        .select(F.lit(None).cast("string").alias("genre"), "count", F.lit(True).alias("_total"))
+    both = top.unionByName(total)
+    denominator = F.max(F.when(F.col("_total"), F.col("count"))).over(Window.partitionBy())
+    return (both.withColumn("pct", pct("count", denominator))
+            .filter(~F.col("_total")).drop("_total")
+            .orderBy(F.desc("count"), "genre"))
 
 
 def rating_stats(ratings: DataFrame, exact: bool = True) -> DataFrame:

@@ -16,6 +16,11 @@ from pyspark.sql import types as T
 from reelframe.functions import pct
 
 STD_DECIMALS = 6  # moments are accumulated differently across engines; last bits differ
+# Exact quantiles keep one counter per distinct value in the final merge; above
+# this many distinct values (HyperLogLog estimate) a column switches to
+# percentile_approx with a 1e-6 relative rank error, so no task holds more.
+EXACT_QUANTILE_LIMIT = 1_000_000
+APPROX_ACCURACY = 1_000_000
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -81,16 +86,33 @@ def profile_columns(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
         "unique_values", pct("unique_values", "total_rows").alias("unique_pct"))
 
 
+def exact_quantile_columns(df: DataFrame, columns: list[str], exact: bool = True) -> set[str]:
+    """Columns whose exact quantiles have a bounded buffer (size check: one
+    HyperLogLog pass over the columns, bounded memory)."""
+    if not exact or not columns:
+        return set()
+    est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
+    return {c for c in columns if est[c] <= EXACT_QUANTILE_LIMIT / 1.2}
+
+
+def quantiles(col: str, probs: list[float], exact: bool) -> F.Column:
+    """Linear-interpolation quantiles (exact) or approximate ones, as doubles."""
+    x = F.col(col).cast("double")
+    p = F.array(*[F.lit(float(q)) for q in probs])
+    if exact:
+        return F.percentile(x, p)
+    return F.transform(F.percentile_approx(x, p, APPROX_ACCURACY), lambda v: v.cast("double"))
+
+
 def describe(name: str, df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (linear interpolation), max
-    for each numeric column, as doubles."""
+    for each numeric column, as doubles.  Quantiles are exact for columns with a
+    bounded number of distinct values (see ``EXACT_QUANTILE_LIMIT``)."""
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+    exact_cols = exact_quantile_columns(df, cols, exact)
 
     def quart(c):
-        x = F.col(c).cast("double")
-        if exact:
-            return F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        return F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 100000)
+        return quantiles(c, [0.25, 0.5, 0.75], c in exact_cols)
 
     rows = df.agg(F.array(*[F.struct(
         F.lit(c).alias("column_name"),

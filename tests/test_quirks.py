@@ -317,3 +317,14 @@ def test_histogram_total_counts_every_value(spark, edges):
     got = distributions.histogram(values, edges).collect()
     in_range = values.filter((F.col("value") >= edges[0]) & (F.col("value") <= edges[-1])).count()
     assert sum(r["count"] for r in got) == in_range
+
+
+def test_quantiles_switch_to_approximate_above_the_distinct_limit(spark, monkeypatch):
+    from reelframe.operators import profiling
+
+    values = spark.range(0, 1001).select(F.col("id").cast("double").alias("x"))
+    exact = profiling.describe("t", values).first()
+    assert (exact.p25, exact.p50, exact.p75) == (250.0, 500.0, 750.0)
+    monkeypatch.setattr(profiling, "EXACT_QUANTILE_LIMIT", 10)
+    approx = profiling.describe("t", values).first()
+    assert abs(approx.p50 - 500.0) <= 1.0 and abs(approx.p75 - 750.0) <= 1.0

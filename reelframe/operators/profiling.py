@@ -91,8 +91,22 @@ def exact_quantile_columns(df: DataFrame, columns: list[str], exact: bool = True
     HyperLogLog pass over the columns, bounded memory)."""
     if not exact or not columns:
         return set()
-    est = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
-    return {c for c in columns if est[c] <= EXACT_QUANTILE_LIMIT / 1.2}
+    return exact_quantile_columns_many({"_": (df, columns)})["_"]
+
+
+def exact_quantile_columns_many(tables: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, set[str]]:
+    """The same size check for several tables in one job: one row per column
+    (table, column, estimated distinct values) comes back to the driver."""
+    parts = [df.agg(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                       F.approx_count_distinct(c, 0.05).alias("est")) for c in cols])
+                    .alias("e")).select(F.lit(name).alias("table_name"), F.inline("e"))
+             for name, (df, cols) in tables.items() if cols]
+    out: dict[str, set[str]] = {name: set() for name in tables}
+    if parts:
+        for r in _union(parts).collect():
+            if r.est <= EXACT_QUANTILE_LIMIT / 1.2:
+                out[r.table_name].add(r.column_name)
+    return out
 
 
 def quantiles(col: str, probs: list[float], exact: bool) -> F.Column:
@@ -104,12 +118,18 @@ def quantiles(col: str, probs: list[float], exact: bool) -> F.Column:
     return F.transform(F.percentile_approx(x, p, APPROX_ACCURACY), lambda v: v.cast("double"))
 
 
-def describe(name: str, df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+def _numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+
+
+def describe(name: str, df: DataFrame, columns: list[str] | None = None, exact: bool = True,
+             exact_cols: set[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (linear interpolation), max
     for each numeric column, as doubles.  Quantiles are exact for columns with a
     bounded number of distinct values (see ``EXACT_QUANTILE_LIMIT``)."""
-    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
-    exact_cols = exact_quantile_columns(df, cols, exact)
+    cols = columns or _numeric_columns(df)
+    if exact_cols is None:
+        exact_cols = exact_quantile_columns(df, cols, exact)
 
     def quart(c):
         return quantiles(c, [0.25, 0.5, 0.75], c in exact_cols)
@@ -132,8 +152,7 @@ def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFram
 
 
 def describe_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    parts = []
-    for n, df in tables.items():
-        if any(isinstance(f.dataType, NUMERIC) for f in df.schema.fields):
-            parts.append(describe(n, df, exact=exact))
-    return _union(parts)
+    numeric = {n: (df, _numeric_columns(df)) for n, df in tables.items() if _numeric_columns(df)}
+    exact_cols = (exact_quantile_columns_many(numeric) if exact
+                  else {n: set() for n in numeric})
+    return _union([describe(n, df, cols, exact, exact_cols[n]) for n, (df, cols) in numeric.items()])

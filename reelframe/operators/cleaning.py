@@ -131,3 +131,24 @@ def load_report(tables: dict[str, DataFrame]) -> DataFrame:
     return (out.groupBy("table_name")
             .agg(F.max("rows_read").alias("rows_read"), F.max("rows_kept").alias("rows_kept"))
             .withColumn("rows_dropped", F.col("rows_read") - F.col("rows_kept")))
+
+
+def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) -> dict[str, DataFrame]:
+    """S7 + S8 + C1-C8: clean every table (parent-first order of ``tables``), write the
+    valid rows to ``root/<table>`` and the rejected rows with their reason to
+    ``root/_rejected/<table>``, and return the stored tables.
+
+    Reading the written tables back cuts the lineage: later audits and
+    questions scan Parquet instead of re-deriving the cleaning.  Overwrite per
+    directory keeps a re-run after a failure idempotent."""
+    root = root.rstrip("/")
+    out: dict[str, DataFrame] = {}
+    for name, df in tables.items():
+        if clean:
+            valid, rejected = clean_table(name, df)
+            rejected.write.mode("overwrite").parquet(f"{root}/_rejected/{name}")
+        else:
+            valid = df
+        valid.write.mode("overwrite").parquet(f"{root}/{name}")
+        out[name] = df.sparkSession.read.parquet(f"{root}/{name}")
+    return out

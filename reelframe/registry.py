@@ -117,10 +117,12 @@ def _raw_tables(raw: RawCatalog) -> dict[str, DataFrame]:
 
 
 def _audited_tables(raw: RawCatalog) -> dict[str, DataFrame]:
-    """The catalog after cleaning: rejected parents leave orphaned children behind."""
-    tables = {name: raw.cat.table(name) for name in CATALOG_TABLES}
-    for name in CLEANED:
-        tables[name] = cleaning.clean_table(name, raw.table(name))[0]
+    """The catalog after the load step (cleaned tables written, then read back):
+    rejected parents leave orphaned children behind."""
+    root = scratch(raw.cat.spark, "load")
+    tables = cleaning.load_tables({name: raw.table(name) for name in CLEANED}, root)
+    others = [name for name in CATALOG_TABLES if name not in CLEANED]
+    tables.update(cleaning.load_tables({name: raw.cat.table(name) for name in others}, root, clean=False))
     return tables
 
 

@@ -165,15 +165,16 @@ def q8_breakthrough(principals: DataFrame, persons: DataFrame, ratings: DataFram
     carrying their highest vote count above it (one row per credit), top 50."""
     t = threshold_votes
     pairs = (principals.groupBy("person_id", "movie_id").agg(F.count(F.lit(1)).alias("n_credits"))
-             .join(persons.select("person_id", F.col("name").alias("acteur")), "person_id")
              .join(ratings.select("movie_id", "num_votes", "average_rating"), "movie_id"))
-    career = (pairs.groupBy("person_id", "acteur")
+    # persons only filters and names people: joined after the per-person aggregate
+    career = (pairs.groupBy("person_id")
               .agg(F.count_if(F.col("num_votes") <= t).alias("films_avant"),
                    F.count_if(F.col("num_votes") > t).alias("films_apres"),
                    F.max(F.when(F.col("num_votes") > t, F.col("num_votes"))).alias("max_votes_apres"))
-              .filter((F.col("films_avant") > 0) & (F.col("films_apres") > 0)))
+              .filter((F.col("films_avant") > 0) & (F.col("films_apres") > 0))
+              .join(persons.select("person_id", F.col("name").alias("acteur")), "person_id"))
     # equi-join on (person, votes): the credits carrying the person's top vote count
-    best = career.select("person_id", "films_avant", "films_apres",
+    best = career.select("person_id", "acteur", "films_avant", "films_apres",
                          F.col("max_votes_apres").alias("num_votes"))
     hits = (pairs.join(best, ["person_id", "num_votes"])
             .join(movies.select("movie_id", F.col("primary_title").alias("film_percee")), "movie_id")

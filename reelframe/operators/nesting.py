@@ -74,7 +74,7 @@ def hot_titles(directors: DataFrame, principals: DataFrame, writers: DataFrame,
             .select("movie_id", F.ceil(F.col("_n") / F.lit(max_people_per_part)).cast("int").alias("_parts")))
 
 
-def build_movies_complete(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
+def build_documents(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
                           persons: DataFrame, directors: DataFrame, principals: DataFrame,
                           characters: DataFrame, writers: DataFrame,
                           max_people_per_part: int = MAX_PEOPLE_PER_PART) -> DataFrame:
@@ -158,7 +158,7 @@ def build_movies_complete(movies: DataFrame, ratings: DataFrame, genres: DataFra
 
 
 def build_from_catalog(cat, max_people_per_part: int = MAX_PEOPLE_PER_PART) -> DataFrame:
-    return build_movies_complete(cat.movies, cat.ratings, cat.genres, cat.persons, cat.directors,
+    return build_documents(cat.movies, cat.ratings, cat.genres, cat.persons, cat.directors,
                                  cat.principals, cat.characters, cat.writers, max_people_per_part)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.operators.nesting import build_movies_complete, render_documents
+from reelframe.operators.nesting import build_documents, render_documents
 from reelframe.plans.nested_form import film_by_title
 
 
@@ -25,7 +25,7 @@ def film_full_flat(movies: DataFrame, ratings: DataFrame, genres: DataFrame, per
     def only(df: DataFrame) -> DataFrame:
         return df.join(ids, "movie_id", "left_semi")
 
-    return build_movies_complete(chosen, only(ratings), only(genres), persons, only(directors),
+    return build_documents(chosen, only(ratings), only(genres), persons, only(directors),
                                  only(principals), only(characters), only(writers))
 
 

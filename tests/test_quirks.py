@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelframe.functions import decade_floor, decade_intdiv, name_contains, name_matches
 from reelframe.operators import cleaning, distributions
-from reelframe.operators.nesting import build_movies_complete
+from reelframe.operators.nesting import build_documents
 from reelframe.plans import collection_form as C
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
@@ -40,7 +40,7 @@ class Tables:
 
     @property
     def docs(self):
-        return build_movies_complete(self.movies, self.ratings, self.genres, self.persons,
+        return build_documents(self.movies, self.ratings, self.genres, self.persons,
                                      self.directors, self.principals, self.characters, self.writers)
 
 

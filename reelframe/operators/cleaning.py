@@ -134,9 +134,10 @@ def load_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) -> dict[str, DataFrame]:
-    """S7 + S8 + C1-C8: clean every table (parent-first order of ``tables``), write the
-    valid rows to ``root/<table>`` and the rejected rows with their reason to
-    ``root/_rejected/<table>``, and return the stored tables.
+    """S7 + S8 + C1-C8: clean every table (parent-first order of ``tables``) and write
+    valid and rejected rows in one job to ``root/<table>``, partitioned by
+    ``status`` (``valid`` / ``rejected``, with ``reject_reason``); return the stored
+    valid rows (a partition-pruned read).
 
     Reading the written tables back cuts the lineage: later audits and
     questions scan Parquet instead of re-deriving the cleaning.  Overwrite per
@@ -146,9 +147,16 @@ def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) ->
     for name, df in tables.items():
         if clean:
             valid, rejected = clean_table(name, df)
-            rejected.write.mode("overwrite").parquet(f"{root}/_rejected/{name}")
+            both = (valid.withColumn(REASON, F.lit(None).cast("string")).withColumn("status", F.lit("valid"))
+                    .unionByName(rejected.withColumn("status", F.lit("rejected"))))
         else:
-            valid = df
-        valid.write.mode("overwrite").parquet(f"{root}/{name}")
-        out[name] = df.sparkSession.read.parquet(f"{root}/{name}")
+            both = df.withColumn(REASON, F.lit(None).cast("string")).withColumn("status", F.lit("valid"))
+        both.write.mode("overwrite").partitionBy("status").parquet(f"{root}/{name}")
+        out[name] = stored_rows(df.sparkSession, root, name)
     return out
+
+
+def stored_rows(spark, root: str, table: str, status: str = "valid") -> DataFrame:
+    """Valid (or rejected) rows of a table written by ``load_tables``."""
+    rows = spark.read.parquet(f"{root.rstrip('/')}/{table}").filter(F.col("status") == status).drop("status")
+    return rows.drop(REASON) if status == "valid" else rows

@@ -82,5 +82,5 @@ def test_load_tables_writes_valid_and_rejected(spark):
     raw = spark.createDataFrame([("r1", 0.5, 1), ("r2", 5.0, 2)], "movie_id string, average_rating double, num_votes bigint")
     stored = cleaning.load_tables({"ratings": raw}, root)
     assert [r.movie_id for r in stored["ratings"].collect()] == ["r2"]
-    rejected = spark.read.parquet(f"{root}/_rejected/ratings").collect()
+    rejected = cleaning.stored_rows(spark, root, "ratings", "rejected").collect()
     assert [(r.movie_id, r.reject_reason) for r in rejected] == [("r1", "rating_out_of_range")]

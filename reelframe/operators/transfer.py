@@ -67,6 +67,14 @@ def storage_stats(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
             .withColumn("size_mb", F.col("bytes") / (1024.0 * 1024.0)))
 
 
+def largest_tables(stats: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` largest stored tables with their share of the total bytes."""
+    total = F.sum("bytes").over(Window.partitionBy())  # one row per stored table
+    return (stats.withColumn("share_pct", F.when(total != 0, F.col("bytes") * 100.0 / total))
+            .orderBy(F.desc("bytes"), "table_name").limit(k)
+            .select("table_name", "bytes", "size_mb", "rows", "share_pct"))
+
+
 def storage_compare(flat: DataFrame, nested: DataFrame) -> DataFrame:
     """Total bytes of the flat tables vs the nested collection, difference and
     variation in percent of the flat size."""

@@ -200,6 +200,10 @@ def storage() -> dict[str, Query]:
         return transfer.storage_compare(transfer.storage_stats(spark, paths),
                                         transfer.storage_stats(spark, nested))
 
+    def largest(spark, d):
+        _, _, paths = copied(spark, d)
+        return transfer.largest_tables(transfer.storage_stats(spark, paths))
+
     def csv_report(spark, d):
         root = scratch(spark, "csv")
         for name, df in _raw_tables(RawCatalog(Catalog(spark, d))).items():
@@ -229,7 +233,7 @@ def storage() -> dict[str, Query]:
 
     return {"stream_clean_movies": streamed("movies"), "stream_clean_characters": streamed("characters"),
             "copy_verify": verify, "copy_stats": stats, "storage_stats": storage_stats,
-            "storage_compare": storage_compare, "csv_load_report": csv_report,
+            "storage_compare": storage_compare, "storage_largest": largest, "csv_load_report": csv_report,
             "file_inventory": inventory, "film_full_layout": layout}
 
 

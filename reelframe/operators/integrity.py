@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.schema import AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN, PRIMARY_KEYS
+from reelframe.schema import (AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN, FOREIGN_KEYS, PRIMARY_KEYS,
+                              ForeignKey)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -58,6 +59,31 @@ def orphan_check(parent: DataFrame, parent_key: str, children: dict[str, DataFra
     return _union(parts).withColumn("status", _status("orphaned_count"))
 
 
+def fk_audit(tables: dict[str, DataFrame], specs: list[ForeignKey] | None = None) -> DataFrame:
+    """Every declared foreign key (SQL semantics: a null child key is not a
+    violation): referenced ids, ids missing from the parent, child rows carrying
+    them, status.  One row per key spec; specs whose tables are absent are skipped."""
+    parts = []
+    for fk in specs or FOREIGN_KEYS:
+        if fk.child not in tables or fk.parent not in tables:
+            continue
+        child_key, parent_key = fk.columns[0], fk.parent_key()[0]
+        known = (tables[fk.parent].select(F.col(parent_key).alias("_k")).distinct()
+                 .withColumn("_known", F.lit(True)))
+        ids = (tables[fk.child].filter(F.col(child_key).isNotNull())
+               .groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_rows")))
+        missing = F.col("_known").isNull()
+        parts.append(ids.join(known, "_k", "left")
+                     .agg(F.count(F.lit(1)).alias("referenced_ids"),
+                          F.count_if(missing).alias("orphaned_count"),
+                          F.coalesce(F.sum(F.when(missing, F.col("_rows"))), F.lit(0))
+                          .cast("bigint").alias("orphaned_rows"))
+                     .select(F.lit(fk.name).alias("check_name"), F.lit(fk.child).alias("table_name"),
+                             F.lit(child_key).alias("column_name"), F.lit(fk.parent).alias("parent_table"),
+                             "referenced_ids", "orphaned_count", "orphaned_rows"))
+    return _union(parts).withColumn("status", _status("orphaned_count"))
+
+
 def orphan_movies(movies: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
     return orphan_check(movies, "movie_id", children, "movie_id", "movies")
 

@@ -495,7 +495,29 @@ def _integrity() -> dict[str, str]:
               f"({_orphans('persons', 'person_id', PERSON_CHILDREN, 'persons')}) b"
               f"\nUNION ALL SELECT 'films_without_data', count(*) FROM ({without}) c"
               f"\nUNION ALL SELECT 'characters_orphaned', count(*) FROM ({pairs}) d")
+    # declared foreign keys (child, column, parent, parent column) — fixed values
+    fks = [("ratings", "movie_id", "movies", "movie_id"), ("genres", "movie_id", "movies", "movie_id"),
+           ("titles", "movie_id", "movies", "movie_id"), ("professions", "person_id", "persons", "person_id"),
+           ("principals", "movie_id", "movies", "movie_id"), ("principals", "person_id", "persons", "person_id"),
+           ("directors", "movie_id", "movies", "movie_id"), ("directors", "person_id", "persons", "person_id"),
+           ("writers", "movie_id", "movies", "movie_id"), ("writers", "person_id", "persons", "person_id"),
+           ("characters", "movie_id", "movies", "movie_id"), ("characters", "person_id", "persons", "person_id"),
+           ("knownformovies", "person_id", "persons", "person_id"),
+           ("knownformovies", "movie_id", "movies", "movie_id"),
+           ("episodes", "movie_id", "movies", "movie_id"),
+           ("episodes", "parent_movie_id", "movies", "movie_id")]
+    fk_rows = []
+    for child, col, parent, pcol in fks:
+        fk_rows.append(
+            f"SELECT '{child}_{col}_to_{parent}' AS check_name, '{child}' AS table_name, '{col}' AS column_name, "
+            f"'{parent}' AS parent_table, count(*) AS referenced_ids, "
+            f"count(*) FILTER (WHERE p.k IS NULL) AS orphaned_count, "
+            f"CAST(COALESCE(sum(c.n) FILTER (WHERE p.k IS NULL), 0) AS BIGINT) AS orphaned_rows "
+            f"FROM (SELECT {col} AS k, count(*) AS n FROM audit_{child} WHERE {col} IS NOT NULL GROUP BY {col}) c "
+            f"LEFT JOIN (SELECT DISTINCT {pcol} AS k FROM audit_{parent}) p ON c.k = p.k")
     return {
+        "fk_audit": w + ("SELECT *, CASE WHEN orphaned_count = 0 THEN 'OK' ELSE 'PROBLEM' END AS status FROM (\n"
+                         + "\nUNION ALL\n".join(fk_rows) + ") f"),
         "pk_duplicates": ("SELECT table_name, total_rows, distinct_keys, total_rows - distinct_keys AS duplicates "
                           "FROM (\n" + "\nUNION ALL\n".join(dup_rows) + ") x"),
         "orphan_movies": w + _orphans("movies", "movie_id", MOVIE_CHILDREN, "movies"),

@@ -148,6 +148,7 @@ def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
         "coverage": audited(lambda t: integrity.coverage({c: t[c] for c in MC})),
         "orphan_characters": audited(lambda t: integrity.orphan_pairs(t["characters"], t["principals"])),
         "integrity_summary": audited(integrity.integrity_summary),
+        "fk_audit": audited(integrity.fk_audit),
         "table_counts": lambda raw: profiling.table_counts(raw.cat.tables()),
         "dataset_summary": lambda raw: profiling.dataset_summary({n: raw.table(n) for n in CATALOG_TABLES}),
         "profile_columns": lambda raw: profiling.profile_tables({n: raw.table(n) for n in CATALOG_TABLES}),

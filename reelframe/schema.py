@@ -73,9 +73,8 @@ class ForeignKey:
 
     @property
     def name(self) -> str:
-        target = "movies" if self.parent == "movies" else "persons"
-        return f"{self.child}_orphaned_{target}" if self.parent in ("movies", "persons") \
-            else f"{self.child}_orphaned_{self.parent}"
+        """``genres_movie_id_to_movies``, ``episodes_parent_movie_id_to_movies``."""
+        return f"{self.child}_{'_'.join(self.columns)}_to_{self.parent}"
 
     def parent_key(self) -> tuple[str, ...]:
         return self.parent_columns or self.columns

@@ -100,6 +100,11 @@ def films_without_data(movies: DataFrame, children: dict[str, DataFrame]) -> Dat
             .orderBy("movie_id"))
 
 
+def films_without_data_examples(movies: DataFrame, children: dict[str, DataFrame], k: int = 5) -> DataFrame:
+    """The first ``k`` films without data (by id), as shown next to their count."""
+    return films_without_data(movies, children).limit(k)
+
+
 def coverage(children: dict[str, DataFrame]) -> DataFrame:
     """I4: distinct films per child table."""
     return _union([c.select("movie_id").distinct().agg(F.count(F.lit(1)).alias("films"))

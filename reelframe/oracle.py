@@ -523,6 +523,7 @@ def _integrity() -> dict[str, str]:
         "orphan_movies": w + _orphans("movies", "movie_id", MOVIE_CHILDREN, "movies"),
         "orphan_persons": w + _orphans("persons", "person_id", PERSON_CHILDREN, "persons"),
         "films_without_data": w + without,
+        "films_without_data_examples": w + without + " ORDER BY movie_id LIMIT 5",
         "coverage": w + "\nUNION ALL\n".join(
             f"SELECT '{c}' AS table_name, count(DISTINCT movie_id) AS films FROM audit_{c}"
             for c in MOVIE_CHILDREN),

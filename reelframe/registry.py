@@ -145,6 +145,8 @@ def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
         "orphan_persons": audited(lambda t: integrity.orphan_persons(t["persons"], {c: t[c] for c in PC})),
         "films_without_data": audited(lambda t: integrity.films_without_data(t["movies"],
                                                                               {c: t[c] for c in MC})),
+        "films_without_data_examples": audited(lambda t: integrity.films_without_data_examples(
+            t["movies"], {c: t[c] for c in MC})),
         "coverage": audited(lambda t: integrity.coverage({c: t[c] for c in MC})),
         "orphan_characters": audited(lambda t: integrity.orphan_pairs(t["characters"], t["principals"])),
         "integrity_summary": audited(integrity.integrity_summary),

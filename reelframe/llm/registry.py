@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelframe.llm import chat, mixing, sql, tokenizing
+from reelframe.llm import chat, embeddings, mixing, quality, sql, tokenizing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_warc": warc.op1_warc,
+        "op2_quality": quality.op2_quality,
         "op3_chat": chat.op3_chat,
         "op5_mixing": mixing.op5_mixing,
         "op8_sentencepiece": tokenizing.op8_sentencepiece,
+        "op10_embeddings": embeddings.op10_embeddings,
     }
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op3_chat": sql.OP3, "op5_mixing": sql.OP5}
+    return {"op1_warc": sql.OP1, "op3_chat": sql.OP3, "op5_mixing": sql.OP5}

@@ -56,3 +56,13 @@ b AS (
 m AS (SELECT *, copies + CASE WHEN nth = 1 THEN 1 ELSE 0 END AS n FROM b)
 SELECT doc_id, size, source_size, target, CAST(size * n AS BIGINT) AS taken FROM m
 """
+
+OP1 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""

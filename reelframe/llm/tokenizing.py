@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from reelframe.llm.common import per_worker, table
 
 MARK = "▁"  # the word mark that stands for a space
-MEMO_SEGMENTS = 400_000  # segments kept per worker; the memo restarts beyond it
-MEMO_PAIRS = 500_000
+MEMO_SEGMENTS = 400_000  # segments of a generation of the memo; two are kept per worker
+MEMO_PAIRS = 1_000_000
 
 
 class PrefixTableEncoder:
@@ -43,97 +43,147 @@ class PrefixTableEncoder:
         self.prefix = bool(norm.add_dummy_prefix)
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.end = self.processor.eos_id()
-        self.score: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.bytes: dict[int, int] = {}
-        self.auto = ahocorasick.Automaton()
+        scores: list[float] = []
         for i, piece in enumerate(proto.pieces):
+            scores.append(piece.score)
             if piece.type == 6:
                 self.bytes[int(piece.piece[1:-1], 16)] = i
             elif piece.type == 1:
-                self.score[piece.piece], self.ids[piece.piece] = piece.score, i
-                self.auto.add_word(piece.piece, piece.piece)
+                self.ids[piece.piece] = i
             elif piece.type in (4, 5):
                 raise ValueError("user-defined or unused pieces are not supported")
         self.unknown = self.processor.unk_id()
+        self.size = len(scores)
+        self.piece = [p.piece for p in proto.pieces]
+        self.length = [len(p) for p in self.piece]
+        self.score = scores
+        # the last merge of each piece, and the place of that merge in the order of merges
+        order = sorted(self.ids.values(), key=lambda i: -scores[i])
+        tied = {i for i, j in zip(order, order[1:]) if scores[i] == scores[j]}
+        tied |= {j for i, j in zip(order, order[1:]) if scores[i] == scores[j]}
+        rank = {i: at for at, i in enumerate(order)}
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.formed = [-1] * self.size
+        self.auto = ahocorasick.Automaton()
+        for text, i in self.ids.items():
+            parts, last = self._merge(text)
+            if parts != [text]:
+                continue  # no text ever yields it
+            self.auto.add_word(text, i)
+            if last:
+                self.halves[i] = last
+                self.formed[i] = rank[i]
         self.auto.make_automaton()
+        # pieces whose order of merging the ranks alone don't settle: tied scores, or
+        # made of a piece that merges later than they do
+        self.slow = set(tied)
+        for i in order:
+            if i in self.halves and any(self.formed[h] > self.formed[i] or h in self.slow for h in self.halves[i]):
+                self.slow.add(i)
         # a cut before a mark is safe if no piece has a mark after another character
         self.cut = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.segment = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, tuple[list[int], str]] = {}
-
-    def _merge(self, text: str) -> list[str]:
-        """Merge the characters of a short string: best score first, leftmost on
-        ties.  Only for the strings of a pair test (at most two pieces long)."""
-        parts = list(text)
+        self.pairs: dict[int, bool] = {}
+        self.memo: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.decimal = [str(i) for i in range(self.size)]
+
+    def _merge(self, text: str) -> tuple[list[str], tuple[int, int] | None]:
+        """Merge the characters of a short string (at most two pieces long): best
+        score first, leftmost on ties.  Also the halves of the last merge."""
+        ids, score = self.ids, self.score
+        parts, last = list(text), None
         while len(parts) > 1:
             best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
+            for k in range(len(parts) - 1):
+                i = ids.get(parts[k] + parts[k + 1])
+                if i is not None and (best is None or score[i] > best):
+                    best, at = score[i], k
             if at < 0:
                 break
+            last = ids.get(parts[at], -1), ids.get(parts[at + 1], -1)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def compatible(self, left: str, right: str) -> bool:
-        """Whether the two tokens side by side stay two tokens."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= MEMO_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._merge(left + right) == [left, right]
-        return known
-
-    def reachable(self, token: str) -> bool:
-        """Whether the token is its own encoding (else no text ever yields it)."""
-        known = self.pairs.get(("", token))
-        if known is None:
-            known = self.pairs["", token] = self._merge(token) == [token]
-        return known
-
-    def tokens(self, text: str) -> list[str]:
-        """Tokens of a segment by the prefix table; a character without a piece
-        stands for itself and never merges."""
-        n = len(text)
-        ends: list[list[str]] = [[] for _ in range(n)]
-        for end, piece in self.auto.iter(text):
-            ends[end].append(piece)
-        table: list[str] = [""] * (n + 1)  # the last token of each prefix
-        for i in range(1, n + 1):
-            found = None
-            for piece in sorted(ends[i - 1], key=len, reverse=True):
-                before = i - len(piece)
-                if self.reachable(piece) and (not before or table[before] not in self.ids
-                                              or self.compatible(table[before], piece)):
-                    found = piece
-                    break
-            table[i] = text[i - 1] if found is None else found
-        out, i = [], n
-        while i:
-            out.append(table[i])
-            i -= len(table[i])
-        return out[::-1]
-
-    def segment_ids(self, text: str) -> tuple[list[int], str]:
-        known = self.memo.get(text)
+        return parts, last
+
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side stay two tokens.
+
+        The merges are undone from the last one backwards; at each step the two
+        pieces that touch the boundary must not merge before the undone merge
+        (nor at the same rank if they lie left of it).
+        """
+        ids, piece, formed = self.ids, self.piece, self.formed
+        ends = [piece[left], piece[right]]
+        if left in self.slow or right in self.slow:
+            return self._merge("".join(ends))[0] == ends
+        limit = self.size
+        while True:
+            whole = ids.get(piece[left] + piece[right])
+            if whole is not None:
+                if whole in self.slow:
+                    return self._merge("".join(ends))[0] == ends
+                if formed[whole] < limit:
+                    return False
+            if formed[left] > formed[right]:
+                limit = formed[left]
+                left = self.halves[left][1]
+            elif formed[right] >= 0:
+                limit = formed[right] + 1
+                right = self.halves[right][0]
+            else:
+                return True
+
+    def tokens(self, text: str) -> tuple[int, ...]:
+        """Ids of a segment by the prefix table."""
+        length, pairs, size = self.length, self.pairs, self.size
+        # the last token of each prefix; -1: a character without a piece, which never merges
+        table = [-1] * (len(text) + 1)
+        done = -1
+        for end, i in self.auto.iter(text):  # longest first at each end
+            if end == done:
+                continue
+            before = end + 1 - length[i]
+            left = table[before]
+            if before and left >= 0:
+                known = pairs.get(left * size + i)
+                if known is None:
+                    if len(pairs) >= MEMO_PAIRS:
+                        pairs.clear()
+                    known = pairs[left * size + i] = self.compatible(left, i)
+                if not known:
+                    continue
+            table[end + 1] = i
+            done = end
+        out, at = [], len(text)
+        while at:
+            i = table[at]
+            if i >= 0:
+                out.append(i)
+                at -= length[i]
+            else:
+                at -= 1
+                out += self.fallback(text[at])
+        out.reverse()
+        return tuple(out)
+
+    def fallback(self, char: str) -> list[int]:
+        """Ids of a character without a piece, last first."""
+        if not self.bytes:
+            return [self.unknown]
+        return [self.bytes[b] for b in reversed(char.encode("utf-8"))]
+
+    def learn(self, text: str) -> tuple[tuple[int, ...], str]:
+        """Ids of a segment and their decimals, kept in a memo of two generations."""
+        known = self.older.get(text)
         if known is None:
-            ids: list[int] = []
-            for token in self.tokens(text):
-                i = self.ids.get(token)
-                if i is not None:
-                    ids.append(i)
-                elif self.bytes:
-                    ids.extend(self.bytes[b] for b in token.encode("utf-8"))
-                else:
-                    ids.append(self.unknown)
-            known = ids, " ".join(map(str, ids))
-            if len(text) <= 64:
-                if len(self.memo) >= MEMO_SEGMENTS:
-                    self.memo.clear()
-                self.memo[text] = known
+            ids = self.tokens(text)
+            known = ids, " ".join([self.decimal[i] for i in ids])
+        if len(text) <= 64:
+            if len(self.memo) >= MEMO_SEGMENTS:
+                self.older, self.memo = self.memo, {}
+            self.memo[text] = known
         return known
 
     def encode(self, text: str) -> tuple[list[int], str]:
@@ -144,10 +194,14 @@ class PrefixTableEncoder:
             marked = text.replace(" ", MARK)
             if self.prefix:
                 marked = MARK + marked
+            known = self.memo.get
             for part in self.segment.findall(marked) if self.cut else [marked]:
-                i, s = self.segment_ids(part)
-                ids += i
-                said.append(s)
+                found = known(part)
+                if found is None:
+                    found = self.learn(part)
+                    known = self.memo.get
+                ids += found[0]
+                said.append(found[1])
         ids.append(self.end)
         said.append(str(self.end))
         return ids, " ".join(said)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelframe.llm import chat, embeddings, mixing, quality, sql, tokenizing, warc
+from reelframe.llm import (chat, embeddings, fingerprints, mixing, quality, secrets, sql, tokenizing,
+                           warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +18,9 @@ def llm_queries() -> dict[str, Query]:
         "op2_quality": quality.op2_quality,
         "op3_chat": chat.op3_chat,
         "op5_mixing": mixing.op5_mixing,
+        "op7_secrets": secrets.op7_secrets,
         "op8_sentencepiece": tokenizing.op8_sentencepiece,
+        "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_embeddings": embeddings.op10_embeddings,
     }
 

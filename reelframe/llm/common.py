@@ -36,6 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BROADCAST_ROWS = 100_000  # narrow rows only: a few MB
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join that broadcasts ``small`` (narrow rows) only if its counted rows are
+    few, and shuffles both sides otherwise."""
+    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+
+
 def digest_pair(*cols: Column | str) -> list[Column]:
     """A 128-bit key of the given values as two longs (nulls are skipped by the
     hash, so pass an ``isNull`` flag where null and empty must differ)."""

@@ -19,11 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm.common import scratch, stored, table
+from reelframe.llm.common import join_checked, scratch, stored, table
 
 REVISIT_BYTES = 100  # smaller payloads are always written in full
 RECORDS_PER_FILE = 4000
-BROADCAST_ROWS = 100_000
 CRLF = "\r\n"
 MAX_HEADER = 1 << 16
 READ_SCHEMA = ("path string, offset long, length long, kind string, reason string, record_type string, "
@@ -31,11 +30,6 @@ READ_SCHEMA = ("path string, offset long, length long, kind string, reason strin
                "payload_bytes long, payload binary")
 
 
-def _join_small(big: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
-    """Broadcast ``small`` only if its counted rows are few; shuffle otherwise."""
-    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
-
-
 def with_revisits(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, refers_to (null:
     written in full).  Of equal payloads of at least 100 bytes the smallest
@@ -52,7 +46,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         "refers_to IS NOT NULL AND NOT page_id <=> refers_to").distinct().select(
         F.col("page_id").alias("c_id"), F.col("payload_digest").alias("c_digest"), "refers_to"), "revisits")
     on = (p.payload_digest == copies.c_digest) & p.page_id.eqNullSafe(copies.c_id)
-    return _join_small(p, copies, on, "left").drop("c_id", "c_digest")
+    return join_checked(p, copies, on, "left").drop("c_id", "c_digest")
 
 
 def _header(name: str, value: Column) -> Column:

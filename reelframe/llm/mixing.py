@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from reelframe.llm.common import WORD, stored, table
+from reelframe.llm.common import WORD, row_digest, stored, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -57,7 +57,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP) -> D
                      - F.coalesce(F.sum("most").over(before), F.lit(0)))
     s = s.withColumn("level", F.col("left") / F.sum("weight").over(after))
     s = s.withColumn("free", F.col("most") >= F.col("level") * F.col("weight"))
-    s = s.withColumn("water", F.min(F.when(F.col("free"), F.col("level"))).over(whole))
+    # the first level that leaves its own source below the cap; later ones are lower
+    s = s.withColumn("water", F.max(F.when(F.col("free"), F.col("level"))).over(whole))
     target = F.least(F.col("most").cast("double"),
                      F.coalesce(F.col("water") * F.col("weight"), F.col("most").cast("double")))
     return s.select("source", "source_size", "kind", target.alias("target"))
@@ -84,9 +85,11 @@ def demand_time(c: Column, kind: Column, schedules=SCHEDULES) -> Column:
     return out
 
 
-def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, schedules=SCHEDULES) -> DataFrame:
-    """Per row of ``docs`` (doc_id, source, size): source_size, target, copies,
-    taken and the training ``positions`` of the copies (ascending).
+def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, schedules=SCHEDULES,
+                keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs`` (doc_id, source, size, and ``keys`` passed through):
+    source_size, target, copies, taken and the training ``positions`` of the copies
+    (ascending).
 
     Whole documents are taken in source order, pass after pass, while they fit
     the target; one more document per source, the one whose size is nearest to
@@ -94,7 +97,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, schedule
     never taken; a null source is a source of its own; a null id is ordered like
     an empty one; equal rows are interchangeable.  An empty table gives no rows.
     """
-    d = docs.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"))
+    d = docs.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"), *keys)
     d = d.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
     d = d.withColumn("bucket", F.substring("h", 1, 3))
     src = stored(source_targets(d, weights, share, cap), "mix-sources")
@@ -132,7 +135,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, schedule
                      lambda e: F.when(e < F.col("copies"), demand_time(place(e), F.col("kind"), schedules)))
     positions = F.when(F.col("copies") > 0, F.array_compact(at)).otherwise(F.array().cast("array<double>"))
     return d.select("doc_id", "source", "size", "source_size", "target", "copies", "taken",
-                    positions.alias("positions"), "h")
+                    positions.alias("positions"), "h", *keys)
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -148,6 +151,24 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position", "h").sortWithinPartitions("position", "h")
 
 
+def mix_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (doc_id, text, source, ...) with every document as often as the mix
+    takes it, range-sorted by training position; the columns stay as they are.
+    Rows equal in id and text are as many documents to the mix."""
+    others = [docs[c] for c in docs.columns]
+    keyed = docs.select(F.struct(*others).alias("row"), *row_digest(docs))
+    sized = stored(docs.select("doc_id", "source", word_count("text").alias("size"), *row_digest(docs)), "mix-sizes")
+    mixed = mix_sources(sized, keys=("k1", "k2"), **options).where("copies > 0")
+    wanted = mixed.groupBy("k1", "k2").agg(F.flatten(F.collect_list("positions")).alias("positions"),
+                                           F.count("*").alias("rows"))
+    d = keyed.join(wanted, ["k1", "k2"])
+    # equal rows share one list of positions: one of them carries it
+    d = d.where("rows = 1").union(d.where("rows > 1").dropDuplicates(["k1", "k2"]))
+    d = d.select("row", "k1", F.explode("positions").alias("position"))
+    d = d.repartitionByRange("position", "k1").sortWithinPartitions("position", "k1")
+    return d.select("row.*")
+
+
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "mix-sizes")

@@ -33,10 +33,11 @@ o AS (
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY most / weight, source ASC NULLS LAST
           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (
-  SELECT *, coalesce(least(CAST(most AS DOUBLE),
-      weight * min(CASE WHEN most >= level * weight THEN level END) OVER ()), CAST(most AS DOUBLE)) AS target
-  FROM o),
+v AS (  -- the level at which the capped shares add up to the whole mix
+  SELECT max(level) AS water FROM o WHERE level > 0 AND (
+    SELECT abs(sum(least(CAST(x.most AS DOUBLE), o.level * x.weight)) - 1.5 * sum(x.source_size)) < 1e-6
+      * greatest(sum(x.source_size), 1) FROM w x)),
+t AS (SELECT *, coalesce(least(CAST(most AS DOUBLE), weight * water), CAST(most AS DOUBLE)) AS target FROM o, v),
 p AS (
   SELECT d.*, t.source_size, t.target, t.kind,
     coalesce(CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
@@ -83,3 +84,36 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
 FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+# Rows: every line with its words, numbered from 0 as in Spark's posexplode.
+LINE_ROWS = r"""
+l AS (
+  SELECT doc_id, i AS line_no, string_split(text, chr(10))[i + 1] AS line FROM (
+    SELECT doc_id, text, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM {docs})),
+w AS (SELECT doc_id, line_no, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM l),
+c AS (
+  SELECT ws, len(ws) AS n, arg_min(doc_id, (doc_id, line_no)) AS d, min((doc_id, line_no)) AS place
+  FROM w WHERE len(ws) >= 3 GROUP BY ws),
+v AS (
+  SELECT place, n - 1 AS n, i AS pos, array_to_string(ws[1:i - 1] || ws[i + 1:], ' ') AS t FROM (
+    SELECT *, unnest(range(1, n + 1)) AS i FROM c WHERE n >= 8)),
+f AS (SELECT place, n, array_to_string(ws, ' ') AS t FROM c WHERE n >= 8),
+near AS (
+  SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY t, n, pos) AS o FROM v) WHERE o < place
+  UNION SELECT v.place FROM v JOIN f USING (t, n) WHERE f.place < v.place
+  UNION SELECT f.place FROM f JOIN v USING (t, n) WHERE v.place < f.place),
+m AS (
+  SELECT w.doc_id, w.line_no, w.line, near.place IS NOT NULL AS is_near,
+    c.place IS NOT NULL AND near.place IS NULL AND c.place <> (w.doc_id, w.line_no) AS is_copy
+  FROM w LEFT JOIN c ON c.ws = w.ws LEFT JOIN near ON near.place = c.place)"""
+
+OP4 = "WITH " + LINE_ROWS.format(docs="documents") + r"""
+SELECT d.doc_id, count(m.doc_id) AS n_lines, count(*) FILTER (is_copy) AS n_exact, count(*) FILTER (is_near) AS n_near,
+  CASE WHEN any_value(d.text) IS NOT NULL THEN
+    length(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT is_copy AND NOT is_near), '')) END
+    AS kept_chars,
+  CASE WHEN any_value(d.text) IS NOT NULL THEN
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT is_copy AND NOT is_near), '')) END
+    AS kept_sha256
+FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id GROUP BY d.doc_id
+"""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelframe.llm import (chat, embeddings, fingerprints, mixing, ngrams, quality, secrets, sql,
-                           tokenizing, warc)
+from reelframe.llm import (chat, embeddings, fingerprints, lines, mixing, ngrams, quality, secrets,
+                           sql, tokenizing, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def llm_queries() -> dict[str, Query]:
         "op1_warc": warc.op1_warc,
         "op2_quality": quality.op2_quality,
         "op3_chat": chat.op3_chat,
+        "op4_lines": lines.op4_lines,
         "op5_mixing": mixing.op5_mixing,
         "op6_ngram_jaccard": ngrams.op6_ngram_jaccard,
         "op7_secrets": secrets.op7_secrets,
@@ -27,5 +28,5 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op1_warc": sql.OP1, "op3_chat": sql.OP3, "op5_mixing": sql.OP5,
+    return {"op1_warc": sql.OP1, "op3_chat": sql.OP3, "op4_lines": sql.OP4, "op5_mixing": sql.OP5,
             "op6_ngram_jaccard": sql.OP6}

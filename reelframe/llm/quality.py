@@ -37,6 +37,14 @@ class CompressionModel:
     good: bytes
     bad: bytes
     weights: tuple[float, ...] | None  # None: a class has no labelled text
+    # range of the features in the calibration sample; beyond it its ends count
+    low: tuple[float, ...] = ()
+    high: tuple[float, ...] = ()
+
+    def score(self, f: np.ndarray) -> np.ndarray:
+        if not len(f):
+            return np.zeros(0)
+        return 1 / (1 + np.exp(-design(np.clip(f, self.low, self.high)) @ np.array(self.weights)))
 
     def compressors(self):
         import zstandard
@@ -80,15 +88,19 @@ def design(f: np.ndarray) -> np.ndarray:
     return np.stack([np.ones_like(d), d, r, n, d * d, r * r, n * n, d * r, d * n, r * n], axis=1)
 
 
-def calibrate(f: np.ndarray, y: np.ndarray, base_rate: float, ridge: float = 1.0) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton steps, classes weighted to the base rate."""
+def calibrate(f: np.ndarray, y: np.ndarray, base_rate: float) -> tuple[float, ...]:
+    """Ridge logistic regression by Newton steps, classes weighted to the base rate.
+    The fewer examples, the stronger the pull to the base rate, and of the quadratic
+    terms more than of the others."""
     x = design(f)
+    few = min((y == 1).sum(), (y == 0).sum())
+    ridge = np.diag([1e-3] + [1 + 40 / few] * 3 + [1 + 100 / few] * (x.shape[1] - 4))
     weight = np.where(y == 1, base_rate / y.mean(), (1 - base_rate) / (1 - y.mean()))
     w = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-x @ w))
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (weight * (p - y)) + ridge * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge
+        step = np.linalg.solve(h, x.T @ (weight * (p - y)) + ridge @ w)
         w -= step
         if np.abs(step).max() < 1e-9:
             break
@@ -123,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     rest = [(t, q) for q in (0, 1) for t in sample[q][1::2]]
     f = np.array([features(t, good, bad) for t, _ in rest])
     weights = calibrate(f, np.array([q for _, q in rest]), base)
-    return dataclasses.replace(model, weights=weights)
+    low, high = (tuple(float(v) for v in x) for x in (f.min(axis=0), f.max(axis=0)))
+    return dataclasses.replace(model, weights=weights, low=low, high=high)
 
 
 def score_texts(docs: DataFrame, model: CompressionModel, name: str = "score") -> DataFrame:
@@ -138,17 +151,16 @@ def score_texts(docs: DataFrame, model: CompressionModel, name: str = "score") -
         return docs.select(*[docs[f.name] for f in rest], F.lit(0.5).alias(name))
     frame = docs.select(*[docs[f.name] for f in rest])
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + [f"`{name}` double"])
-    shared = docs.sparkSession.sparkContext.broadcast((model.good, model.bad, model.weights))
+    shared = docs.sparkSession.sparkContext.broadcast(dataclasses.astuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = shared.value
-        good, bad = per_worker(f"zstd_{hash(raw)}", lambda: CompressionModel(*raw).compressors())
-        w = np.array(raw[2])
+        fitted = CompressionModel(*raw)
+        good, bad = per_worker(f"zstd_{hash(raw)}", fitted.compressors)
         for batch in batches:
             at = batch.schema.get_field_index("text")
             f = np.array([features((x.as_py() or "").encode(), good, bad) for x in batch.column(at)])
-            p = 1 / (1 + np.exp(-design(f) @ w)) if len(f) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())],
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fitted.score(f), pa.float64())],
                                              names=[*batch.schema.names, name])
 
     return frame.mapInArrow(run, schema)

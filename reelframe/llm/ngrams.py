@@ -307,8 +307,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         again = _search(texts, stored(hosts.union(visits), "visits"), k, num, den)
         links = links.union(again.select(F.col("id").alias("a"), F.col("near").alias("b")).where("a != b"))
     parts = connected_components(links)
-    named_classes = classes.select("d1", "d2", "rep").join(parts, F.col("rep") == F.col("node"), "left").select(
-        "d1", "d2", F.coalesce("component", "rep").alias("component"))
+    # written, so that the join below may split the rows of a class with very many copies
+    named_classes = stored(classes.select("d1", "d2", "rep").join(parts, F.col("rep") == F.col("node"), "left").select(
+        "d1", "d2", F.coalesce("component", "rep").alias("component")), "components")
     out = sets.select("doc_id", "n_shingles", "d1", "d2").join(named_classes, ["d1", "d2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"))

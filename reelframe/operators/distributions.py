@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelframe.functions import decade_floor, histogram_bucket, pct
-from reelframe.operators.profiling import exact_quantile_columns, quantiles
+from reelframe.operators.profiling import quantiles
 
 # Fixed bin edges of the exploration step.
 RATING_EDGES = [0, 2, 4, 6, 8, 10]
@@ -34,10 +34,12 @@ def summary(values: DataFrame, exact: bool = True) -> DataFrame:
     The standard deviation is reported to ``STD_DECIMALS`` places: engines
     accumulate the moments differently and disagree in the last bits."""
     v = F.col("value")
-    median = quantiles("value", [0.5], "value" in exact_quantile_columns(values, ["value"], exact))[0]
-    return values.agg(F.count(F.lit(1)).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
-                      F.avg(v).alias("mean"), median.alias("median"),
-                      F.round(F.stddev_samp(v), STD_DECIMALS).alias("std"))
+    stats = values.agg(F.count(F.lit(1)).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
+                       F.avg(v).alias("mean"), F.round(F.stddev_samp(v), STD_DECIMALS).alias("std"))
+    median = quantiles(values.select(F.lit(1).alias("k"), "value"), ["k"], [0.5], exact)
+    # one row each side
+    return (stats.withColumn("k", F.lit(1)).join(median, "k", "left")
+            .select("count", "min", "max", "mean", F.col("q")[0].alias("median"), "std"))
 
 
 def year_stats(years: DataFrame, column: str = "start_year", exact: bool = True) -> DataFrame:
@@ -62,13 +64,6 @@ def share(counts: DataFrame, count_col: str) -> DataFrame:
     return counts.withColumn("pct", pct(count_col, total))
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Occurrences per non-null value, most frequent first (ties by value)."""
-    return (df.filter(F.col(column).isNotNull()).groupBy(column)
-            .agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(F.desc("count"), column))
-
-
 def top_genres(genres: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most frequent genres with their share of *all* genre rows."""
     counts = genres.groupBy("genre").agg(F.count(F.lit(1)).alias("count"))

@@ -2,7 +2,7 @@
 
 Document schema::
 
-    movie_id, part, title, year, runtime,
+    movie_id, title, year, runtime,
     rating struct<average, votes>                       -- {null, 0} when unrated
     genres array<string>                                -- sorted, [] when none
     directors array<struct<person_id, name>>            -- sorted by person_id
@@ -14,16 +14,10 @@ Document schema::
 Unknown people are named ``'Unknown'``; a character is attached only when its
 (title, person) pair is credited.
 
-Bounded documents: a title whose people entries (directors + cast + writers)
-exceed ``max_people_per_part`` is split into ``ceil(n / max)`` parts by a hash
-of the person id; every part carries the title-level fields (title, year,
-rating, genres), people entries are disjoint across parts.  Ordinary titles
-have exactly one document with ``part = 0``.  So no single task ever collects
-an unbounded group, whatever the skew of the credits.
-
 Plan shape: the people roles are unioned and joined to ``persons`` once; then
 title rows, rating rows, genre rows and people rows are unioned into one tagged
-frame and grouped by ``(movie_id, part)`` in a single shuffle.
+frame and grouped by ``movie_id`` in a single shuffle.  There is one document per
+title, whatever the data; a document is one value, so its credits bound a row.
 """
 
 from __future__ import annotations
@@ -32,10 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
-MAX_PEOPLE_PER_PART = 50_000
-# Largest set of split titles joined by broadcast (id + part count: a few MB);
-# beyond it the split titles are joined without a broadcast.
-BROADCAST_HOT_LIMIT = 200_000
 
 
 def _person_struct() -> Column:
@@ -62,22 +52,9 @@ def _people(persons: DataFrame, directors: DataFrame, principals: DataFrame,
             .withColumn("name", F.coalesce(F.col("name"), F.lit(UNKNOWN))))
 
 
-def hot_titles(directors: DataFrame, principals: DataFrame, writers: DataFrame,
-               max_people_per_part: int = MAX_PEOPLE_PER_PART) -> DataFrame:
-    """Titles whose people rows (an upper bound of their people entries) exceed one
-    part, with their number of parts.  Reads the ``movie_id`` columns only and
-    aggregates map-side, so a title holding a third of all credits costs nothing special."""
-    ids = (directors.select("movie_id").unionByName(writers.select("movie_id"))
-           .unionByName(principals.select("movie_id")))
-    return (ids.groupBy("movie_id").agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > max_people_per_part)
-            .select("movie_id", F.ceil(F.col("_n") / F.lit(max_people_per_part)).cast("int").alias("_parts")))
-
-
 def build_documents(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
                     persons: DataFrame, directors: DataFrame, principals: DataFrame,
-                    characters: DataFrame, writers: DataFrame,
-                    max_people_per_part: int = MAX_PEOPLE_PER_PART) -> DataFrame:
+                    characters: DataFrame, writers: DataFrame) -> DataFrame:
     id_type = movies.schema["movie_id"].dataType
     pid_type = persons.schema["person_id"].dataType
     votes_type = ratings.schema["num_votes"].dataType
@@ -85,27 +62,6 @@ def build_documents(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
                else F.lit(None).cast("int"))
     people = _people(persons, directors, principals, characters, writers)
 
-    hot = hot_titles(directors, principals, writers, max_people_per_part)
-    n_hot = hot.count()  # size check of the split-title set (a count over movie ids only)
-    if n_hot == 0:
-        def every_part(df: DataFrame) -> DataFrame:
-            return df.withColumn("part", F.lit(0))
-
-        people_rows = people.withColumn("part", F.lit(0))
-    else:
-        side = F.broadcast(hot) if n_hot <= BROADCAST_HOT_LIMIT else hot
-
-        def every_part(df: DataFrame) -> DataFrame:
-            """Title-level rows are repeated once per part of their title."""
-            return (df.join(side, "movie_id", "left")
-                    .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-                    .drop("_parts"))
-
-        people_rows = (people.join(side, "movie_id", "left")
-                       .withColumn("part", F.when(F.col("_parts").isNull(), F.lit(0))
-                                   .otherwise(F.pmod(F.xxhash64("person_id"), F.col("_parts")).cast("int")))
-                       .drop("_parts"))
-
     empty = {
         "title": F.lit(None).cast("string"), "year": F.lit(None).cast(movies.schema["start_year"].dataType),
         "runtime": F.lit(None).cast("int"), "average": F.lit(None).cast("double"),
@@ -117,22 +73,22 @@ def build_documents(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
 
     def tagged(df: DataFrame, tag: str, **cols: Column) -> DataFrame:
         fields = {**empty, **cols}
-        return df.select(F.col("movie_id"), F.col("part"), F.lit(tag).alias("tag"),
+        return df.select(F.col("movie_id"), F.lit(tag).alias("tag"),
                          *[c.alias(n) for n, c in fields.items()])
 
-    long = (tagged(every_part(movies.select("movie_id", F.col("primary_title").alias("t"),
-                                            F.col("start_year").alias("y"), runtime.alias("rt"))),
+    long = (tagged(movies.select("movie_id", F.col("primary_title").alias("t"),
+                                 F.col("start_year").alias("y"), runtime.alias("rt")),
                    "m", title=F.col("t"), year=F.col("y"), runtime=F.col("rt"))
-            .unionByName(tagged(every_part(ratings.select("movie_id", "average_rating", "num_votes")),
+            .unionByName(tagged(ratings.select("movie_id", "average_rating", "num_votes"),
                                 "r", average=F.col("average_rating").cast("double"),
                                 votes=F.col("num_votes")))
-            .unionByName(tagged(every_part(genres.select("movie_id", "genre")), "g", genre=F.col("genre")))
-            .unionByName(tagged(people_rows, "p", person_id=F.col("person_id"), name=F.col("name"),
+            .unionByName(tagged(genres.select("movie_id", "genre"), "g", genre=F.col("genre")))
+            .unionByName(tagged(people, "p", person_id=F.col("person_id"), name=F.col("name"),
                                 ordering=F.col("ordering"), characters=F.col("characters"),
                                 role=F.col("role"))))
 
     tag, role = F.col("tag"), F.col("role")
-    docs = (long.groupBy("movie_id", "part").agg(
+    docs = (long.groupBy("movie_id").agg(
         F.count_if(tag == "m").alias("_titles"),
         F.max("title").alias("title"), F.max("year").alias("year"), F.max("runtime").alias("runtime"),
         F.max("average").alias("average"), F.max("votes").alias("votes"),
@@ -145,7 +101,6 @@ def build_documents(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
 
     return docs.select(
         F.col("movie_id").cast(id_type).alias("movie_id"),
-        F.col("part"),
         "title", "year", "runtime",
         F.struct(F.col("average"), F.coalesce(F.col("votes"), F.lit(0).cast(votes_type)).alias("votes"))
         .alias("rating"),
@@ -157,19 +112,9 @@ def build_documents(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
     )
 
 
-def build_from_catalog(cat, max_people_per_part: int = MAX_PEOPLE_PER_PART) -> DataFrame:
+def build_from_catalog(cat) -> DataFrame:
     return build_documents(cat.movies, cat.ratings, cat.genres, cat.persons, cat.directors,
-                                 cat.principals, cat.characters, cat.writers, max_people_per_part)
-
-
-def first_parts(docs: DataFrame) -> DataFrame:
-    """One document per title (the title-level fields are on every part)."""
-    return docs.filter(F.col("part") == 0)
-
-
-def titles_where(docs: DataFrame, condition: Column) -> DataFrame:
-    """Ids of titles with at least one part satisfying ``condition``."""
-    return docs.filter(condition).select("movie_id").distinct()
+                           cat.principals, cat.characters, cat.writers)
 
 
 def render_people(col: str) -> Column:
@@ -188,7 +133,7 @@ def render_cast(col: str = "cast") -> Column:
 def render_documents(docs: DataFrame) -> DataFrame:
     """Flatten documents to text columns with a fixed order (for comparison/export)."""
     return docs.select(
-        "movie_id", "part", "title", "year", "runtime",
+        "movie_id", "title", "year", "runtime",
         F.col("rating.average").alias("rating_average"),
         F.col("rating.votes").alias("rating_votes"),
         F.array_join("genres", ", ").alias("genres"),
@@ -200,17 +145,12 @@ def render_documents(docs: DataFrame) -> DataFrame:
 
 def sample_document(docs: DataFrame, min_votes: int = 1_000_000) -> DataFrame:
     """The first title (by id) with more than ``min_votes`` votes, with its first
-    three genres and the number of directors, cast and writers (over all parts)."""
-    chosen = (first_parts(docs).filter(F.col("rating.votes") > min_votes)
-              .orderBy("movie_id").limit(1))
-    sizes = (docs.join(F.broadcast(chosen.select("movie_id")), "movie_id", "left_semi")  # one id
-             .groupBy("movie_id")
-             .agg(F.sum(F.size("directors")).cast("int").alias("directors_count"),
-                  F.sum(F.size("cast")).cast("int").alias("cast_count"),
-                  F.sum(F.size("writers")).cast("int").alias("writers_count")))
-    return chosen.join(sizes, "movie_id").select(
-        "movie_id", "title", "year",
-        F.col("rating.average").alias("rating_average"),
-        F.col("rating.votes").alias("rating_votes"),
-        F.array_join(F.slice("genres", 1, 3), ", ").alias("genres_first3"),
-        "directors_count", "cast_count", "writers_count")
+    three genres and the number of directors, cast and writers."""
+    return (docs.filter(F.col("rating.votes") > min_votes)
+            .select("movie_id", "title", "year",
+                    F.col("rating.average").alias("rating_average"),
+                    F.col("rating.votes").alias("rating_votes"),
+                    F.array_join(F.slice("genres", 1, 3), ", ").alias("genres_first3"),
+                    F.size("directors").alias("directors_count"), F.size("cast").alias("cast_count"),
+                    F.size("writers").alias("writers_count"))
+            .orderBy("movie_id").limit(1))

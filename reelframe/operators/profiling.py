@@ -1,25 +1,27 @@
 """Column profiling (D1-D3, A20-A23) and table counts.
 
-Each table is profiled in two passes at most: one aggregate computing null and
-empty counts for every column at once, and one unpivot + distinct for the exact
-cardinalities (``exact=False`` switches to ``approx_count_distinct``, a single
-pass with bounded memory).  Quantiles use ``percentile`` (buffer bounded by the
-number of distinct values) or ``percentile_approx`` when ``exact=False``.
+The column profile is one unpivot of every table into (table, column, value),
+counted per value; totals, missing, empty and distinct values all follow from
+those counts (``exact=False`` uses ``approx_count_distinct``: one aggregate with
+bounded memory).
+
+Quantiles are exact at every size.  Values are counted per distinct value; an
+approximate histogram only says where to cut them into buckets of about equal
+size, bucket totals give the bucket of every wanted rank, and inside those
+buckets the running count finds the value.  No task sees more than one bucket.
+``exact=False`` uses ``percentile_approx``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelframe.functions import pct
 
 STD_DECIMALS = 6  # moments are accumulated differently across engines; last bits differ
-# Exact quantiles keep one counter per distinct value in the final merge; above
-# this many distinct values (HyperLogLog estimate) a column switches to
-# percentile_approx with a 1e-6 relative rank error, so no task holds more.
-EXACT_QUANTILE_LIMIT = 1_000_000
+FAN = 32  # FAN * FAN buckets per column; they steer balance only, never the result
 APPROX_ACCURACY = 1_000_000
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -41,118 +43,135 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return counts.unionByName(total)
 
 
-def dataset_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and columns per table, plus a total row (sizes: ``transfer.storage_stats``)."""
+def dataset_summary(tables: dict[str, DataFrame], storage: DataFrame | None = None) -> DataFrame:
+    """Rows and columns per table, plus a total row.  ``storage`` (rows of
+    ``transfer.storage_stats``) adds the stored size in MB and its total."""
     per_table = _union([df.agg(F.count(F.lit(1)).alias("rows"))
                         .select(F.lit(name).alias("table_name"), "rows",
                                 F.lit(len(df.columns)).cast("bigint").alias("columns"))
                         for name, df in tables.items()])
-    total = per_table.agg(F.sum("rows").cast("bigint").alias("rows"),
-                          F.sum("columns").cast("bigint").alias("columns")) \
-        .select(F.lit("TOTAL").alias("table_name"), "rows", "columns")
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("rows", "columns")]
+    if storage is not None:
+        per_table = per_table.join(storage.select("table_name", "size_mb"), "table_name", "left")
+        sums.append(F.sum("size_mb").alias("size_mb"))
+    total = per_table.agg(*sums).select(F.lit("TOTAL").alias("table_name"), *per_table.columns[1:])
     return per_table.unionByName(total)
 
 
-def profile_columns(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
+def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
     """One row per column — type, rows, missing, empty strings, distinct values
-    (nulls excluded), each with its percentage of the rows."""
-    fields = df.schema.fields
-    stats = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.array(*[F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.count_if(F.col(f.name).isNull()).alias("missing"),
-            (F.count_if(F.col(f.name) == "") if isinstance(f.dataType, T.StringType)
-             else F.lit(0).cast("bigint")).alias("empty"),
-            (F.lit(None).cast("bigint") if exact
-             else F.approx_count_distinct(f.name).cast("bigint")).alias("approx_unique"),
-        ) for f in fields]).alias("cols"))
-    per_col = stats.select("total_rows", F.inline("cols"))
-    if exact:
+    (nulls excluded), each with its percentage of the rows.  Every table is scanned
+    once; a table without rows still has a row per column."""
+    parts = []
+    for name, df in tables.items():
+        fields = df.schema.fields
         long = (df.select(*[F.col(f.name).cast("string").alias(f.name) for f in fields])
                 .unpivot([], [f.name for f in fields], "column_name", "value")
-                .filter(F.col("value").isNotNull())
-                .distinct()
-                .groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_values")))
-        per_col = (per_col.join(long, "column_name", "left")
-                   .withColumn("unique_values", F.coalesce("unique_values", F.lit(0).cast("bigint"))))
+                .select(F.lit(name).alias("table_name"), "column_name", "value", F.lit(1).alias("n")))
+        frame = df.sparkSession.range(1).select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
+                     F.lit(None).cast("string").alias("value"), F.lit(0).alias("n")) for f in fields])))
+        parts.append(long.unionByName(frame))
+    cells = _union(parts)
+    present = F.col("value").isNotNull()
+    if exact:
+        cells = cells.groupBy("table_name", "column_name", "value").agg(F.sum("n").alias("n"))
+        unique = F.count_if(present & (F.col("n") > 0))
     else:
-        per_col = per_col.withColumn("unique_values", F.col("approx_unique"))
+        unique = F.approx_count_distinct("value")
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0)).cast("bigint")
+    per_col = cells.groupBy("table_name", "column_name").agg(
+        F.sum("n").cast("bigint").alias("total_rows"), total(~present).alias("missing"),
+        total(F.col("value") == "").alias("empty"), unique.cast("bigint").alias("unique_values"))
+    types = F.create_map(*[x for name, df in tables.items() for f in df.schema.fields
+                           for x in (F.lit(f"{name}.{f.name}"), F.lit(f.dataType.simpleString()))])
     return per_col.select(
-        F.lit(name).alias("table_name"), "column_name", "dtype", "total_rows",
+        "table_name", "column_name",
+        F.element_at(types, F.concat_ws(".", "table_name", "column_name")).alias("dtype"), "total_rows",
         "missing", pct("missing", "total_rows").alias("missing_pct"),
         "empty", pct("empty", "total_rows").alias("empty_pct"),
         "unique_values", pct("unique_values", "total_rows").alias("unique_pct"))
 
 
-def exact_quantile_columns(df: DataFrame, columns: list[str], exact: bool = True) -> set[str]:
-    """Columns whose exact quantiles have a bounded buffer (size check: one
-    HyperLogLog pass over the columns, bounded memory)."""
-    if not exact or not columns:
-        return set()
-    return exact_quantile_columns_many({"_": (df, columns)})["_"]
-
-
-def exact_quantile_columns_many(tables: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, set[str]]:
-    """The same size check for several tables in one job: one row per column
-    (table, column, estimated distinct values) comes back to the driver."""
-    parts = [df.agg(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                       F.approx_count_distinct(c, 0.05).alias("est")) for c in cols])
-                    .alias("e")).select(F.lit(name).alias("table_name"), F.inline("e"))
-             for name, (df, cols) in tables.items() if cols]
-    out: dict[str, set[str]] = {name: set() for name in tables}
-    if parts:
-        for r in _union(parts).collect():
-            if r.est <= EXACT_QUANTILE_LIMIT / 1.2:
-                out[r.table_name].add(r.column_name)
-    return out
+def profile_columns(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
+    return profile_tables({name: df}, exact)
+
+
+def exact_quantiles(values: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """(*keys, q: array of double) — linearly interpolated quantiles of ``value`` per
+    (non-null) key, nulls and NaN left out."""
+    counts = (values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+              .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
+    steps = F.array(*[F.lit(i / FAN ** 2) for i in range(1, FAN ** 2)])
+    cuts = counts.groupBy(*keys).agg(F.percentile_approx("value", steps, 10 * FAN ** 2).alias("cuts"))
+    every = F.sequence(F.lit(FAN), F.lit(FAN ** 2 - FAN), F.lit(FAN))
+    cuts = cuts.withColumn("coarse", F.transform(every, lambda i: F.get("cuts", i - 1)))
+    # one row per key: bounded; the bucket is the number of cuts below the value
+    below = lambda a: F.size(F.filter(a, lambda c: c < F.col("value")))
+    placed = counts.join(F.broadcast(cuts), keys).withColumn("c", below("coarse") * FAN)
+    placed = placed.withColumn("bucket", F.col("c") + below(F.slice("cuts", F.col("c") + 1, FAN))).drop(
+        "cuts", "coarse", "c")
+    by_bucket = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("held"))
+    upto = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    by_bucket = (by_bucket.withColumn("before", F.coalesce(F.sum("held").over(upto), F.lit(0)))
+                 .withColumn("total", F.sum("held").over(whole)))
+    # the two neighbouring ranks of every wanted position
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    asked = by_bucket.select("*", F.inline(wanted)).withColumn("at", F.col("p") * (F.col("total") - 1))
+    asked = asked.select("*", F.explode(F.array(F.floor("at"), F.ceil("at"))).alias("rank")).where(
+        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held"))).distinct()
+    chosen = asked.groupBy(*keys, "bucket").agg(F.first("before").alias("before"), F.collect_list(
+        F.struct("i", "at", "rank")).alias("ranks"))  # at most two ranks for each probability
+    inside = placed.join(F.broadcast(chosen), [*keys, "bucket"])
+    running = Window.partitionBy(*keys, "bucket").orderBy("value")
+    inside = inside.withColumn("stop", F.col("before") + F.sum("n").over(running))
+    hits = inside.select(*keys, "value", "stop", "n", F.inline("ranks")).where(
+        (F.col("rank") < F.col("stop")) & (F.col("rank") >= F.col("stop") - F.col("n")))
+    pair = hits.groupBy(*keys, "i", "at").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    value = (F.when(F.col("low") == F.col("high"), F.col("low"))
+             .otherwise((F.ceil("at") - F.col("at")) * F.col("low") + (F.col("at") - F.floor("at")) * F.col("high")))
+    ordered = F.sort_array(F.collect_list(F.struct("i", value.alias("v"))))
+    return pair.groupBy(*keys).agg(F.transform(ordered, lambda x: x.v).alias("q"))
+
+
+def approx_quantiles(values: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    p = F.array(*[F.lit(float(q)) for q in probs])
+    return values.where(F.col("value").isNotNull()).groupBy(*keys).agg(
+        F.percentile_approx("value", p, APPROX_ACCURACY).alias("q"))
 
 
-def quantiles(col: str, probs: list[float], exact: bool) -> F.Column:
-    """Linear-interpolation quantiles (exact) or approximate ones, as doubles."""
-    x = F.col(col).cast("double")
-    p = F.array(*[F.lit(float(q)) for q in probs])
-    if exact:
-        return F.percentile(x, p)
-    return F.transform(F.percentile_approx(x, p, APPROX_ACCURACY), lambda v: v.cast("double"))
+def quantiles(values: DataFrame, keys: list[str], probs: list[float], exact: bool = True) -> DataFrame:
+    return (exact_quantiles if exact else approx_quantiles)(values, keys, probs)
 
 
 def _numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
 
-def describe(name: str, df: DataFrame, columns: list[str] | None = None, exact: bool = True,
-             exact_cols: set[str] | None = None) -> DataFrame:
+def describe_tables(tables: dict[str, DataFrame], exact: bool = True,
+                    columns: dict[str, list[str]] | None = None) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (linear interpolation), max
-    for each numeric column, as doubles.  Quantiles are exact for columns with a
-    bounded number of distinct values (see ``EXACT_QUANTILE_LIMIT``)."""
-    cols = columns or _numeric_columns(df)
-    if exact_cols is None:
-        exact_cols = exact_quantile_columns(df, cols, exact)
-
-    def quart(c):
-        return quantiles(c, [0.25, 0.5, 0.75], c in exact_cols)
-
-    rows = df.agg(F.array(*[F.struct(
-        F.lit(c).alias("column_name"),
-        F.count(c).alias("count"),
-        F.avg(F.col(c).cast("double")).alias("mean"),
-        F.round(F.stddev_samp(F.col(c).cast("double")), STD_DECIMALS).alias("std"),
-        F.min(F.col(c).cast("double")).alias("min"),
-        quart(c).alias("q"),
-        F.max(F.col(c).cast("double")).alias("max")) for c in cols]).alias("stats"))
-    return rows.select(F.inline("stats")).select(
-        F.lit(name).alias("table_name"), "column_name", "count", "mean", "std", "min",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
-
-
-def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    return _union([profile_columns(n, df, exact) for n, df in tables.items()])
-
-
-def describe_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    numeric = {n: (df, _numeric_columns(df)) for n, df in tables.items() if _numeric_columns(df)}
-    exact_cols = (exact_quantile_columns_many(numeric) if exact
-                  else {n: set() for n in numeric})
-    return _union([describe(n, df, cols, exact, exact_cols[n]) for n, (df, cols) in numeric.items()])
+    for each numeric column, as doubles."""
+    numeric = {n: (columns or {}).get(n) or _numeric_columns(df) for n, df in tables.items()}
+    numeric = {n: cols for n, cols in numeric.items() if cols}
+    stats, long = [], []
+    for name, cols in numeric.items():
+        x = {c: F.col(c).cast("double") for c in cols}
+        stats.append(tables[name].agg(F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.count(c).alias("count"), F.avg(x[c]).alias("mean"),
+            F.round(F.stddev_samp(x[c]), STD_DECIMALS).alias("std"), F.min(x[c]).alias("min"),
+            F.max(x[c]).alias("max")) for c in cols]).alias("s"))
+            .select(F.lit(name).alias("table_name"), F.inline("s")))
+        long.append(tables[name].select(*[x[c].alias(c) for c in cols])
+                    .unpivot([], cols, "column_name", "value")
+                    .select(F.lit(name).alias("table_name"), "column_name", "value"))
+    keys = ["table_name", "column_name"]
+    q = quantiles(_union(long), keys, [0.25, 0.5, 0.75], exact)
+    return (_union(stats).join(q, keys, "left")
+            .select(*keys, "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
+                    F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max"))
+
+
+def describe(name: str, df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+    return describe_tables({name: df}, exact, {name: columns} if columns else None)

@@ -153,7 +153,7 @@ SELECT w.movie_id, w.person_id, COALESCE(pe.name, 'Unknown') AS name
 FROM writers w LEFT JOIN persons pe ON w.person_id = pe.person_id
 WHERE w.movie_id IN (SELECT movie_id FROM movies)""",
     "doc_render": """
-SELECT m.movie_id, 0 AS part, m.primary_title AS title, m.start_year AS year, CAST(NULL AS INTEGER) AS runtime,
+SELECT m.movie_id, m.primary_title AS title, m.start_year AS year, m.runtime_minutes AS runtime,
        r.average_rating AS rating_average, COALESCE(r.num_votes, 0) AS rating_votes,
        COALESCE(g.s, '') AS genres, COALESCE(d.s, '') AS directors, COALESCE(c.s, '') AS "cast",
        COALESCE(w.s, '') AS writers

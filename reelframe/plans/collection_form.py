@@ -113,13 +113,14 @@ def q7_top_per_genre(genres: DataFrame, movies: DataFrame, ratings: DataFrame, t
     unsorted push), for the first ``max_genres`` genres by name."""
     rows = (genres.join(movies.select("movie_id", "primary_title", "start_year"), "movie_id")
             .join(ratings.select("movie_id", "average_rating"), "movie_id"))
-    first_genres = rows.select("genre").distinct().orderBy("genre").limit(max_genres)
     w = Window.partitionBy("genre").orderBy("movie_id")
-    # at most max_genres rows: broadcast, so rows are never shuffled by genre before
-    # the per-task WindowGroupLimit has cut each genre to n rows
-    return (rows.join(F.broadcast(first_genres), "genre", "left_semi")
-            .withColumn("position", F.row_number().over(w))
-            .filter(F.col("position") <= top_n)
+    # cut each genre to n films before the shuffle (partial window limit), then keep
+    # the first genres of that small result
+    best = rows.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= top_n)
+    films = F.sort_array(F.collect_list(F.struct("position", "primary_title", "start_year", "average_rating")))
+    return (best.groupBy("genre").agg(films.alias("films"))
+            .orderBy("genre").limit(max_genres)
+            .select("genre", F.inline("films"))
             .orderBy("genre", "position")
             .select("genre", "position", F.col("primary_title").alias("titre"),
                     F.col("start_year").alias("annee"), F.col("average_rating").alias("note")))

@@ -5,11 +5,6 @@ regular expression on any cast entry and grouped by *name* (homonyms merge,
 unknown people merge as ``'Unknown'``); each film counts once per matching
 document; Q5 filters good films before grouping; unrated films count with
 ``votes = 0`` and a null average.
-
-Documents of very large titles come in several parts (see
-``operators.nesting``): title-level questions read ``part = 0``, cast matches
-are resolved to distinct title ids first, and per-person questions explode the
-arrays of every part (people entries are disjoint across parts).
 """
 
 from __future__ import annotations
@@ -18,27 +13,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelframe.functions import decade_floor, decade_label, name_matches
-from reelframe.operators.nesting import first_parts, titles_where
 
 
 def _cast_matches(pattern: str):
     return F.exists("cast", lambda c: name_matches(c["name"], pattern))
 
 
-def _titles_with(docs: DataFrame, actor_name: str) -> DataFrame:
-    """Title-level documents (one per title) of titles whose cast matches."""
-    return first_parts(docs).join(titles_where(docs, _cast_matches(actor_name)), "movie_id", "left_semi")
-
-
 def q1_filmography(docs: DataFrame, actor_name: str, limit: int = 100) -> DataFrame:
-    return (_titles_with(docs, actor_name)
+    return (docs.filter(_cast_matches(actor_name))
             .select("movie_id", "title", "year", "genres", "rating")
             .orderBy(F.desc("year"), "movie_id")
             .limit(limit))
 
 
 def q2_top_films(docs: DataFrame, genre: str, year_start: int, year_end: int, n: int = 10) -> DataFrame:
-    return (first_parts(docs).filter(F.array_contains("genres", genre)
+    return (docs.filter(F.array_contains("genres", genre)
                         & F.col("year").between(year_start, year_end)
                         & (F.col("rating.votes") > 0))
             .orderBy(F.desc("rating.average"), F.desc("rating.votes"), "movie_id")
@@ -56,7 +45,7 @@ def q3_multi_role(docs: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def q4_collaborations(docs: DataFrame, actor_name: str, limit: int = 50) -> DataFrame:
-    return (docs.join(titles_where(docs, _cast_matches(actor_name)), "movie_id", "left_semi")
+    return (docs.filter(_cast_matches(actor_name))
             .select(F.explode("directors").alias("d"))
             .groupBy(F.col("d.name").alias("realisateur"))
             .agg(F.count(F.lit(1)).alias("nombre_films"))
@@ -65,7 +54,7 @@ def q4_collaborations(docs: DataFrame, actor_name: str, limit: int = 50) -> Data
 
 
 def q5_popular_genres(docs: DataFrame, min_rating: float = 7.0, min_count: int = 50) -> DataFrame:
-    return (first_parts(docs).filter(F.col("rating.average") > min_rating)
+    return (docs.filter(F.col("rating.average") > min_rating)
             .select(F.explode("genres").alias("genre"), F.col("rating.average").alias("r"))
             .groupBy("genre")
             .agg(F.count(F.lit(1)).alias("nombre_films"), F.avg("r").alias("note_moyenne"))
@@ -75,7 +64,7 @@ def q5_popular_genres(docs: DataFrame, min_rating: float = 7.0, min_count: int =
 
 
 def q6_career(docs: DataFrame, actor_name: str) -> DataFrame:
-    return (_titles_with(docs, actor_name)
+    return (docs.filter(_cast_matches(actor_name))
             .withColumn("decade", decade_floor("year"))
             .filter(F.col("decade") > 0)
             .groupBy("decade")
@@ -87,15 +76,16 @@ def q6_career(docs: DataFrame, actor_name: str) -> DataFrame:
 def q7_top_per_genre(docs: DataFrame, top_n: int = 3, max_genres: int = 50) -> DataFrame:
     """Top ``n`` films per genre by rating (unrated last, ties by id), for the
     first ``max_genres`` genres by name; one row per (genre, position)."""
-    rows = first_parts(docs).select(F.explode("genres").alias("genre"), "movie_id", "title", "year",
+    rows = docs.select(F.explode("genres").alias("genre"), "movie_id", "title", "year",
                        F.col("rating.average").alias("rating"))
-    first_genres = rows.select("genre").distinct().orderBy("genre").limit(max_genres)
+    # row_number <= n is cut before the shuffle (partial window limit) ...
     w = Window.partitionBy("genre").orderBy(F.desc_nulls_last("rating"), "movie_id")
-    # at most max_genres rows: broadcast, so rows are never shuffled by genre before
-    # the per-task WindowGroupLimit has cut each genre to n rows
-    return (rows.join(F.broadcast(first_genres), "genre", "left_semi")
-            .withColumn("position", F.row_number().over(w))
-            .filter(F.col("position") <= top_n)
+    best = rows.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= top_n)
+    # ... so a genre is a list of at most n films, of which the first genres are kept
+    films = F.sort_array(F.collect_list(F.struct("position", "title", "year", "rating")))
+    return (best.groupBy("genre").agg(films.alias("films"))
+            .orderBy("genre").limit(max_genres)
+            .select("genre", F.inline("films"))
             .orderBy("genre", "position")
             .select("genre", "position", "title", "year", "rating"))
 
@@ -128,6 +118,5 @@ def q9_prolific_directors(docs: DataFrame, min_films: int = 10, limit: int = 30)
 
 
 def film_by_title(docs: DataFrame, title: str) -> DataFrame:
-    """Point lookup of one whole document by title (first title by id, all its parts)."""
-    chosen = first_parts(docs).filter(F.col("title") == title).orderBy("movie_id").limit(1)
-    return docs.join(F.broadcast(chosen.select("movie_id")), "movie_id", "left_semi")  # one id
+    """Point lookup of one whole document by title (first one by id)."""
+    return docs.filter(F.col("title") == title).orderBy("movie_id").limit(1)

@@ -67,12 +67,14 @@ def q2_top_films(movies: DataFrame, genres: DataFrame, ratings: DataFrame, genre
 
 def q3_multi_role(characters: DataFrame, persons: DataFrame, movies: DataFrame) -> DataFrame:
     """People who played more than one distinct character in the same film."""
-    per_pair = (characters.groupBy("movie_id", "person_id")
+    # one shuffle by film serves the distinct count and the join to movies
+    per_pair = (characters.select("movie_id", "person_id", "name").repartition("movie_id")
+                .groupBy("movie_id", "person_id")
                 .agg(F.count_distinct("name").alias("nombre_roles"))
                 .filter(F.col("nombre_roles") > 1))
     return (per_pair
-            .join(persons.select("person_id", F.col("name").alias("acteur")), "person_id")
             .join(movies.select("movie_id", F.col("primary_title").alias("film")), "movie_id")
+            .join(persons.select("person_id", F.col("name").alias("acteur")), "person_id")
             .orderBy(F.desc("nombre_roles"), "person_id", "movie_id")
             .select("acteur", "film", "nombre_roles"))
 
@@ -123,13 +125,27 @@ def q6_career(movies: DataFrame, principals: DataFrame, persons: DataFrame, rati
             .orderBy("decennie"))
 
 
+def _ranks(rows: DataFrame, weight) -> DataFrame:
+    """(genre, average_rating, rk): RANK by descending rating within a genre.
+
+    Rows are counted per (genre, rating); a rating's rank is one more than the rows
+    with higher ratings.  The window runs over distinct ratings, not over films, so
+    neither a genre with most of the films nor a tie of most of them meets in one task."""
+    counts = rows.groupBy("genre", "average_rating").agg(F.sum(weight).alias("n"))
+    higher = (Window.partitionBy("genre").orderBy(F.desc("average_rating"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return counts.select("genre", "average_rating",
+                         (F.coalesce(F.sum("n").over(higher), F.lit(0)) + 1).cast("int").alias("rk"))
+
+
+def _with_rank(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    r = ranks.withColumnRenamed("genre", "_g").withColumnRenamed("average_rating", "_r")
+    return rows.join(r, rows.genre.eqNullSafe(r._g) & rows.average_rating.eqNullSafe(r._r)).drop("_g", "_r")
+
+
 def _ranked_in_genre(genres: DataFrame, ratings: DataFrame, top_n: int) -> DataFrame:
-    # rank <= n over a genre partition: Spark inserts a partial WindowGroupLimit
-    # before the shuffle, so a genre holding a third of all rows never travels whole.
-    w = Window.partitionBy("genre").orderBy(F.desc("average_rating"))
-    return (genres.join(ratings.select("movie_id", "average_rating"), "movie_id")
-            .withColumn("rk", F.rank().over(w))
-            .filter(F.col("rk") <= top_n))
+    rows = genres.join(ratings.select("movie_id", "average_rating"), "movie_id")
+    return _with_rank(rows, _ranks(rows, F.lit(1)).filter(F.col("rk") <= top_n))
 
 
 def q7_top_per_genre(genres: DataFrame, ratings: DataFrame, movies: DataFrame,
@@ -137,15 +153,14 @@ def q7_top_per_genre(genres: DataFrame, ratings: DataFrame, movies: DataFrame,
     """As written: films ranked <= n in some genre are re-joined to all of their
     genres (one copy per genre they qualified in) and ranked again."""
     qualified = (_ranked_in_genre(genres, ratings, top_n)
-                 .groupBy("movie_id").agg(F.count(F.lit(1)).alias("copies")))
-    rows = (genres.join(qualified, "movie_id")
-            .join(movies.select("movie_id", "primary_title", "start_year"), "movie_id")
-            .join(ratings.select("movie_id", "average_rating"), "movie_id")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
-    w = Window.partitionBy("genre").orderBy(F.desc("average_rating"))
-    return (rows.withColumn("rang", F.rank().over(w))
-            .orderBy("genre", "rang", "movie_id")
-            .select("genre", "rang", F.col("primary_title").alias("titre"),
+                 .groupBy("movie_id").agg(F.count(F.lit(1)).alias("copies"),
+                                          F.first("average_rating").alias("average_rating")))
+    rows = genres.join(qualified, "movie_id")
+    ranked = (_with_rank(rows, _ranks(rows, F.col("copies")))
+              .join(movies.select("movie_id", "primary_title", "start_year"), "movie_id")
+              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
+    return (ranked.orderBy("genre", "rk", "movie_id")
+            .select("genre", F.col("rk").alias("rang"), F.col("primary_title").alias("titre"),
                     F.col("start_year").alias("annee"), F.col("average_rating").alias("note")))
 
 
@@ -160,34 +175,39 @@ def q7_top_per_genre_clean(genres: DataFrame, ratings: DataFrame, movies: DataFr
 
 
 def q8_breakthrough(principals: DataFrame, persons: DataFrame, ratings: DataFrame,
-                    movies: DataFrame, threshold_votes: int = 200000) -> DataFrame:
+                    movies: DataFrame, threshold_votes: int = 200000, limit: int = 50) -> DataFrame:
     """People with films on both sides of a vote threshold, shown with the film(s)
-    carrying their highest vote count above it (one row per credit), top 50."""
+    carrying their highest vote count above it (one row per credit), first ``limit`` rows.
+
+    A person gives at least one row, so the rows shown belong to the first ``limit``
+    people by that vote count: those are chosen first, and only their credits are
+    looked up again."""
     t = threshold_votes
-    pairs = (principals.groupBy("person_id", "movie_id").agg(F.count(F.lit(1)).alias("n_credits"))
-             .join(ratings.select("movie_id", "num_votes", "average_rating"), "movie_id"))
-    # persons only filters and names people: joined after the per-person aggregate
+    votes = ratings.select("movie_id", "num_votes", "average_rating")
+    # person-film pairs by film: the join, the pairs and the votes share one shuffle
+    pairs = (principals.select("movie_id", "person_id").join(votes.select("movie_id", "num_votes"), "movie_id")
+             .groupBy("movie_id", "person_id").agg(F.first("num_votes").alias("num_votes")))
     career = (pairs.groupBy("person_id")
               .agg(F.count_if(F.col("num_votes") <= t).alias("films_avant"),
                    F.count_if(F.col("num_votes") > t).alias("films_apres"),
-                   F.max(F.when(F.col("num_votes") > t, F.col("num_votes"))).alias("max_votes_apres"))
+                   F.max(F.when(F.col("num_votes") > t, F.col("num_votes"))).alias("best"))
               .filter((F.col("films_avant") > 0) & (F.col("films_apres") > 0))
               .join(persons.select("person_id", F.col("name").alias("acteur")), "person_id"))
-    # equi-join on (person, votes): the credits carrying the person's top vote count
-    best = career.select("person_id", "acteur", "films_avant", "films_apres",
-                         F.col("max_votes_apres").alias("num_votes"))
-    hits = (pairs.join(best, ["person_id", "num_votes"])
-            .join(movies.select("movie_id", F.col("primary_title").alias("film_percee")), "movie_id")
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_credits").cast("int")))))
+    top = career.orderBy(F.desc("best"), "person_id").limit(limit)
+    # at most ``limit`` people: broadcast
+    credits = principals.select("movie_id", "person_id").join(F.broadcast(top), "person_id")
+    hits = (credits.join(votes, "movie_id").filter(F.col("best") == F.col("num_votes"))
+            .join(movies.select("movie_id", F.col("primary_title").alias("film_percee")), "movie_id"))
     return (hits.orderBy(F.desc("num_votes"), "person_id", "movie_id")
-            .limit(50)
+            .limit(limit)
             .select("acteur", "films_avant", "films_apres", "film_percee",
                     F.col("num_votes").alias("votes_film"), F.col("average_rating").alias("note_film")))
 
 
 def q9_prolific_directors(directors: DataFrame, persons: DataFrame, movies: DataFrame,
-                          ratings: DataFrame, genres: DataFrame, min_films: int = 10) -> DataFrame:
-    """Directors with at least ``min_films`` rated films, top 30 by film count.
+                          ratings: DataFrame, genres: DataFrame, min_films: int = 10,
+                          limit: int = 30) -> DataFrame:
+    """Directors with at least ``min_films`` rated films, first ``limit`` by film count.
 
     The mean rating is over the genre fan-out of the relational form (a film
     weighs by its number of genres, at least 1), computed as a weighted mean."""
@@ -203,15 +223,16 @@ def q9_prolific_directors(directors: DataFrame, persons: DataFrame, movies: Data
                   F.min("average_rating").alias("min_rating"),
                   F.max("average_rating").alias("max_rating"))
              .filter(F.col("nombre_films") >= min_films)
-             .join(persons.select("person_id", F.col("name").alias("realisateur")), "person_id"))
-    explored = (base.join(stats.select("person_id"), "person_id", "left_semi")
-                .select("person_id", "movie_id")
-                .join(genres, "movie_id")
-                .select("person_id", "genre").distinct()
-                .groupBy("person_id").agg(F.count(F.lit(1)).alias("genres_explores")))
+             .join(persons.select("person_id", F.col("name").alias("realisateur")), "person_id")
+             .orderBy(F.desc("nombre_films"), "person_id").limit(limit))
+    # at most ``limit`` directors: broadcast; only their films' genres are read
+    films = (directors.join(F.broadcast(stats.select("person_id")), "person_id", "left_semi")
+             .join(movies.select("movie_id"), "movie_id", "left_semi")
+             .join(ratings.select("movie_id"), "movie_id", "left_semi"))
+    explored = (films.join(genres, "movie_id").groupBy("person_id")
+                .agg(F.count_distinct("genre").alias("genres_explores")))
     return (stats.join(explored, "person_id", "left")
             .orderBy(F.desc("nombre_films"), "person_id")
-            .limit(30)
             .select("realisateur", "nombre_films",
                     F.round("mean_rating", 2).alias("note_moyenne"),
                     F.round("min_rating", 2).alias("note_min"),

@@ -67,6 +67,8 @@ class Catalog:
             F.col("o_orderstatus").alias("title_type"),
             F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("primary_title"),
             F.year("o_orderdate").alias("start_year"),
+            F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey") % 180 + 1)
+            .cast("int").alias("runtime_minutes"),
         )
 
     @cached_property
@@ -189,7 +191,9 @@ VIEW_SQL: dict[str, str] = {
     "persons": "SELECT s_suppkey AS person_id, s_name AS name FROM supplier",
     "movies": ("SELECT o_orderkey AS movie_id, o_orderstatus AS title_type, "
                "'Order ' || CAST(o_orderkey AS VARCHAR) AS primary_title, "
-               "CAST(year(o_orderdate) AS INTEGER) AS start_year FROM orders"),
+               "CAST(year(o_orderdate) AS INTEGER) AS start_year, "
+               "CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey % 180 + 1 END AS INTEGER) "
+               "AS runtime_minutes FROM orders"),
     "ratings": ("SELECT l_orderkey AS movie_id, 1 + max(l_quantity) / 8 AS average_rating, "
                 "CAST(sum(l_quantity) AS BIGINT) AS num_votes "
                 "FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey"),

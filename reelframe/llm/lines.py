@@ -143,6 +143,8 @@ def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: i
     # what every later copy, and every near copy, loses
     losing = classes.join(near, ["h1", "h2"], "left").where("copies > 1 OR near").select(
         "h1", "h2", "place", F.coalesce("near", F.lit(False)).alias("near"))
+    # written, so that the join below may split the rows of a line with very many copies
+    losing = stored(losing, "losing")
     lost = lines.select("h1", "h2", "k1", "k2", "doc_id", "line_no").join(losing, ["h1", "h2"])
     lost = lost.where(F.col("near") | (_place() != F.col("place")))
     return lost.groupBy("k1", "k2").agg(F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("near"),

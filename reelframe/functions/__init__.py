@@ -9,6 +9,7 @@ from reelframe.functions.exprs import (
     histogram_bucket,
     name_contains,
     name_matches,
+    one_row,
     pct,
     repeat_each,
     safe_ratio,
@@ -16,5 +17,5 @@ from reelframe.functions.exprs import (
 
 __all__ = [
     "decade_floor", "decade_intdiv", "decade_label", "escape_like", "header_clean",
-    "histogram_bucket", "name_contains", "name_matches", "pct", "repeat_each", "safe_ratio",
+    "histogram_bucket", "name_contains", "name_matches", "one_row", "pct", "repeat_each", "safe_ratio",
 ]

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,9 +23,15 @@ def escape_like(text: str) -> str:
     return text.replace("\\", "\\\\")
 
 
+def fold_ascii(col: str | Column) -> Column:
+    """Lower case of A-Z only; other letters keep their case."""
+    return F.translate(_c(col), string.ascii_uppercase, string.ascii_lowercase)
+
+
 def name_contains(col: str | Column, text: str) -> Column:
-    """Case-insensitive ``LIKE '%text%'`` (SQL form of the name filter)."""
-    return _c(col).ilike(f"%{escape_like(text)}%")
+    """``LIKE '%text%'`` that ignores the case of A-Z only (SQL form of the name filter)."""
+    folded = text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
+    return fold_ascii(col).like(f"%{escape_like(folded)}%")
 
 
 def name_matches(col: str | Column, pattern: str) -> Column:
@@ -80,6 +87,15 @@ def histogram_bucket(value: str | Column, edges: Sequence[float]) -> Column:
     return F.when((v >= lo) & (v <= hi), idx.cast("int"))
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """The columns of several one-row frames side by side (a union and a maximum:
+    no join without a key)."""
+    both = frames[0]
+    for f in frames[1:]:
+        both = both.unionByName(f, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 _HEADER_JUNK = re.compile(r"[\"'(),]")
 
 

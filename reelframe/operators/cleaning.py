@@ -6,8 +6,8 @@ constraints (NOT NULL, CHECK, primary key) are enforced the same way instead of
 failing the whole table append.
 
 Primary-key conflicts are found with an aggregate on the key (partial
-aggregation, so a hot key never travels whole) and a semi/anti join back;
-every row of a conflicting key is quarantined.  Exact duplicate characters are
+aggregation, so a hot key never travels whole) that is joined back once and gives
+every row its status; every row of a conflicting key is quarantined.  Exact duplicate characters are
 collapsed to one row and the surplus copies are quarantined.
 """
 
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from reelframe.schema import PRIMARY_KEYS, SCHEMAS
 
+UNPARSABLE = "unparsable"  # set by the CSV typing: the first column whose text is no value of its type
+
 REASON = "reject_reason"
 
 Rule = tuple[str, Callable[[], Column]]
@@ -65,34 +67,36 @@ def _rules(table: str, columns: list[str]) -> list[Rule]:
 
 
 def reject_reason(table: str, columns: list[str]) -> Column:
-    """First failed rule of a row (null when the row passes every rule)."""
-    checks = [F.when(~F.coalesce(pred(), F.lit(False)), F.lit(name)) for name, pred in _rules(table, columns)]
+    """First failed rule of a row (null when the row passes every rule).  A text that
+    could not be parsed (``unparsable``, from the CSV typing) fails before the others."""
+    checks = [F.when(F.col(UNPARSABLE).isNotNull(), F.concat(F.col(UNPARSABLE), F.lit("_unparsable")))
+              ] if UNPARSABLE in columns else []
+    checks += [F.when(~F.coalesce(pred(), F.lit(False)), F.lit(name)) for name, pred in _rules(table, columns)]
     return F.coalesce(*checks) if checks else F.lit(None).cast("string")
 
 
-def clean_table(table: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split ``df`` into (valid rows, rejected rows with ``reject_reason``)."""
-    cols = df.columns
-    tagged = df.withColumn(REASON, reject_reason(table, cols))
-    passed = tagged.filter(F.col(REASON).isNull()).drop(REASON)
-    rejected = tagged.filter(F.col(REASON).isNotNull())
-
+def tag_rows(table: str, df: DataFrame) -> DataFrame:
+    """Every row with its ``reject_reason`` (null: valid)."""
+    cols = [c for c in df.columns if c != UNPARSABLE]
+    tagged = df.withColumn(REASON, reject_reason(table, df.columns)).select(*cols, REASON)
     if table == "characters":
-        counted = passed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-        valid = counted.drop("_n")
-        surplus = (counted.filter(F.col("_n") > 1)
-                   .withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("_n").cast("int"))))
-                   .select(*cols, F.lit("duplicate_row").alias(REASON)))
-        return valid, rejected.unionByName(surplus)
-
+        counted = tagged.groupBy(*cols, REASON).agg(F.count(F.lit(1)).alias("_n"))
+        copy = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))
+        again = F.when(F.col(REASON).isNull() & (F.col("_copy") > 1), F.lit("duplicate_row"))
+        return counted.withColumn("_copy", copy).select(*cols, F.coalesce(REASON, again).alias(REASON))
     pk = [k for k in PRIMARY_KEYS.get(table, []) if k in cols]
     if not pk:
-        return passed, rejected
-    conflicts = (passed.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
-                 .filter(F.col("_n") > 1).select(*pk))
-    valid = passed.join(conflicts, pk, "left_anti")
-    dup = passed.join(conflicts, pk, "left_semi").withColumn(REASON, F.lit("duplicate_key"))
-    return valid, rejected.unionByName(dup)
+        return tagged
+    conflicts = (tagged.filter(F.col(REASON).isNull()).groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
+                 .filter(F.col("_n") > 1))
+    again = F.when(F.col("_n").isNotNull(), F.lit("duplicate_key"))
+    return tagged.join(conflicts, pk, "left").select(*cols, F.coalesce(REASON, again).alias(REASON))
+
+
+def clean_table(table: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split ``df`` into (valid rows, rejected rows with ``reject_reason``)."""
+    tagged = tag_rows(table, df)
+    return tagged.filter(F.col(REASON).isNull()).drop(REASON), tagged.filter(F.col(REASON).isNotNull())
 
 
 def record_key(table: str, df: DataFrame) -> Column:
@@ -115,22 +119,22 @@ def quarantine(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def load_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows read, kept and dropped per table (one aggregate per table, one job)."""
+    """Rows read, kept and dropped per table.  One scan and one aggregate on the key
+    per table: a key is kept when one row (for characters: any row) passes the rules."""
     parts = []
     for name, df in tables.items():
-        valid, _ = clean_table(name, df)
-        read = df.agg(F.count(F.lit(1)).alias("rows_read"))
-        kept = valid.agg(F.count(F.lit(1)).alias("rows_kept"))
-        parts.append(read.select(F.lit(name).alias("table_name"), "rows_read",
-                                 F.lit(None).cast("bigint").alias("rows_kept"))
-                     .unionByName(kept.select(F.lit(name).alias("table_name"),
-                                              F.lit(None).cast("bigint").alias("rows_read"), "rows_kept")))
+        pk = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns] or df.columns
+        passed = F.col(REASON).isNull()
+        keys = (df.withColumn(REASON, reject_reason(name, df.columns)).groupBy(*pk)
+                .agg(F.count(F.lit(1)).alias("n"), F.count_if(passed).alias("k")))
+        kept = (F.col("k") > 0) if name == "characters" else (F.col("k") == 1)
+        parts.append(keys.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_read"),
+                              F.count_if(kept).alias("rows_kept"))
+                     .select(F.lit(name).alias("table_name"), "rows_read", "rows_kept"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return (out.groupBy("table_name")
-            .agg(F.max("rows_read").alias("rows_read"), F.max("rows_kept").alias("rows_kept"))
-            .withColumn("rows_dropped", F.col("rows_read") - F.col("rows_kept")))
+    return out.withColumn("rows_dropped", F.col("rows_read") - F.col("rows_kept"))
 
 
 def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) -> dict[str, DataFrame]:
@@ -145,18 +149,16 @@ def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) ->
     root = root.rstrip("/")
     out: dict[str, DataFrame] = {}
     for name, df in tables.items():
-        if clean:
-            valid, rejected = clean_table(name, df)
-            both = (valid.withColumn(REASON, F.lit(None).cast("string")).withColumn("status", F.lit("valid"))
-                    .unionByName(rejected.withColumn("status", F.lit("rejected"))))
-        else:
-            both = df.withColumn(REASON, F.lit(None).cast("string")).withColumn("status", F.lit("valid"))
+        both = tag_rows(name, df) if clean else df.withColumn(REASON, F.lit(None).cast("string"))
+        both = both.withColumn("status", F.when(F.col(REASON).isNull(), "valid").otherwise("rejected"))
         both.write.mode("overwrite").partitionBy("status").parquet(f"{root}/{name}")
-        out[name] = stored_rows(df.sparkSession, root, name)
+        out[name] = stored_rows(df.sparkSession, root, name, schema=both.schema)
     return out
 
 
-def stored_rows(spark, root: str, table: str, status: str = "valid") -> DataFrame:
-    """Valid (or rejected) rows of a table written by ``load_tables``."""
-    rows = spark.read.parquet(f"{root.rstrip('/')}/{table}").filter(F.col("status") == status).drop("status")
+def stored_rows(spark, root: str, table: str, status: str = "valid", schema=None) -> DataFrame:
+    """Valid (or rejected) rows of a table written by ``load_tables``; with its
+    ``schema`` a table that was written without rows reads as empty."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    rows = reader.parquet(f"{root.rstrip('/')}/{table}").filter(F.col("status") == status).drop("status")
     return rows.drop(REASON) if status == "valid" else rows

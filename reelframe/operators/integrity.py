@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelframe.functions import one_row
 from reelframe.schema import (AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN, FOREIGN_KEYS, PRIMARY_KEYS,
                               ForeignKey)
 
@@ -39,57 +40,72 @@ def pk_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
             .withColumn("duplicates", F.col("total_rows") - F.col("distinct_keys")))
 
 
+EXAMPLES = 3
+
+
+def _orphans(ids: DataFrame, known: DataFrame, on: list[str], examples: bool = True) -> DataFrame:
+    """One row: referenced keys, keys missing from the parent, child rows carrying
+    them, and the first missing keys as examples."""
+    matched = ids.join(known.withColumn("_known", F.lit(True)), on, "left")
+    missing = F.col("_known").isNull()
+    counts = matched.agg(F.count(F.lit(1)).alias("referenced_ids"),
+                         F.count_if(missing).alias("orphaned_count"),
+                         F.coalesce(F.sum(F.when(missing, F.col("_rows"))), F.lit(0))
+                         .cast("bigint").alias("orphaned_rows"))
+    if not examples:
+        return counts
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in on])
+    first = (matched.filter(missing & F.col(on[0]).isNotNull()).orderBy(*on).limit(EXAMPLES)
+             .select(F.struct(*on).alias("o"), key.alias("k")))
+    shown = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "k"))), lambda x: x.k), ", ")
+    return one_row(counts, first.agg(shown.alias("examples")))
+
+
+def _keys(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
+    names = [f"_k{i}" for i in range(len(columns))]
+    return df.select(*[F.col(c).alias(n) for c, n in zip(columns, names)]), names
+
+
 def orphan_check(parent: DataFrame, parent_key: str, children: dict[str, DataFrame],
-                 child_key: str, suffix: str) -> DataFrame:
+                 child_key: str, suffix: str, examples: bool = True) -> DataFrame:
     """Per child table — referenced ids, ids missing from the parent,
-    child rows carrying those ids, status."""
-    known = parent.select(F.col(parent_key).alias("_k")).distinct().withColumn("_known", F.lit(True))
+    child rows carrying those ids, example ids (optional), status."""
+    known, on = _keys(parent, [parent_key])
     parts = []
     for name, child in children.items():
-        ids = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_rows"))
-        missing = F.col("_known").isNull()
-        parts.append(ids.join(known, "_k", "left")
-                     .agg(F.count(F.lit(1)).alias("referenced_ids"),
-                          F.count_if(missing).alias("orphaned_count"),
-                          F.coalesce(F.sum(F.when(missing, F.col("_rows"))), F.lit(0))
-                          .cast("bigint").alias("orphaned_rows"))
-                     .select(F.lit(f"{name}_orphaned_{suffix}").alias("check_name"),
-                             F.lit(name).alias("table_name"),
-                             "referenced_ids", "orphaned_count", "orphaned_rows"))
+        ids = _keys(child, [child_key])[0].groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+        found = _orphans(ids, known.distinct(), on, examples)
+        parts.append(found.select(F.lit(f"{name}_orphaned_{suffix}").alias("check_name"),
+                                  F.lit(name).alias("table_name"), *found.columns))
     return _union(parts).withColumn("status", _status("orphaned_count"))
 
 
 def fk_audit(tables: dict[str, DataFrame], specs: list[ForeignKey] | None = None) -> DataFrame:
-    """Every declared foreign key (SQL semantics: a null child key is not a
-    violation): referenced ids, ids missing from the parent, child rows carrying
-    them, status.  One row per key spec; specs whose tables are absent are skipped."""
+    """Every declared foreign key, over all its columns (SQL semantics: a null in the
+    child key is not a violation): referenced keys, keys missing from the parent,
+    child rows carrying them, example keys, status.  One row per key spec; specs whose
+    tables are absent are skipped."""
     parts = []
     for fk in specs or FOREIGN_KEYS:
         if fk.child not in tables or fk.parent not in tables:
             continue
-        child_key, parent_key = fk.columns[0], fk.parent_key()[0]
-        known = (tables[fk.parent].select(F.col(parent_key).alias("_k")).distinct()
-                 .withColumn("_known", F.lit(True)))
-        ids = (tables[fk.child].filter(F.col(child_key).isNotNull())
-               .groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_rows")))
-        missing = F.col("_known").isNull()
-        parts.append(ids.join(known, "_k", "left")
-                     .agg(F.count(F.lit(1)).alias("referenced_ids"),
-                          F.count_if(missing).alias("orphaned_count"),
-                          F.coalesce(F.sum(F.when(missing, F.col("_rows"))), F.lit(0))
-                          .cast("bigint").alias("orphaned_rows"))
+        known, on = _keys(tables[fk.parent], fk.parent_key())
+        ids = (_keys(tables[fk.child], fk.columns)[0].dropna(how="any")
+               .groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
+        parts.append(_orphans(ids, known.distinct(), on)
                      .select(F.lit(fk.name).alias("check_name"), F.lit(fk.child).alias("table_name"),
-                             F.lit(child_key).alias("column_name"), F.lit(fk.parent).alias("parent_table"),
-                             "referenced_ids", "orphaned_count", "orphaned_rows"))
+                             F.lit(", ".join(fk.columns)).alias("column_name"),
+                             F.lit(fk.parent).alias("parent_table"),
+                             "referenced_ids", "orphaned_count", "orphaned_rows", "examples"))
     return _union(parts).withColumn("status", _status("orphaned_count"))
 
 
-def orphan_movies(movies: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
-    return orphan_check(movies, "movie_id", children, "movie_id", "movies")
+def orphan_movies(movies: DataFrame, children: dict[str, DataFrame], examples: bool = True) -> DataFrame:
+    return orphan_check(movies, "movie_id", children, "movie_id", "movies", examples)
 
 
-def orphan_persons(persons: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
-    return orphan_check(persons, "person_id", children, "person_id", "persons")
+def orphan_persons(persons: DataFrame, children: dict[str, DataFrame], examples: bool = True) -> DataFrame:
+    return orphan_check(persons, "person_id", children, "person_id", "persons", examples)
 
 
 def films_without_data(movies: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
@@ -124,8 +140,8 @@ def integrity_summary(tables: dict[str, DataFrame]) -> DataFrame:
     movie_children = {t: tables[t] for t in AUDITED_MOVIE_CHILDREN}
     person_children = {t: tables[t] for t in AUDITED_PERSON_CHILDREN}
     checks = [
-        orphan_movies(tables["movies"], movie_children).select("check_name", "orphaned_count"),
-        orphan_persons(tables["persons"], person_children).select("check_name", "orphaned_count"),
+        orphan_movies(tables["movies"], movie_children, False).select("check_name", "orphaned_count"),
+        orphan_persons(tables["persons"], person_children, False).select("check_name", "orphaned_count"),
         films_without_data(tables["movies"], movie_children)
         .agg(F.count(F.lit(1)).alias("orphaned_count"))
         .select(F.lit("films_without_data").alias("check_name"), "orphaned_count"),

@@ -1,8 +1,7 @@
 """Copy between layouts, copy verification and storage statistics.
 
-Sizes come from the files Spark wrote (``_metadata.file_size`` of a Parquet
-scan), row counts from the data; both are aggregates, nothing is listed or
-summed on the driver.
+Sizes come from the files Spark wrote (their names and lengths, contents unread),
+row counts from the data; both are aggregates, nothing is summed on the driver.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reelframe.functions import one_row
 from reelframe.sources.sinks import overwrite_table, table_path
 
 
@@ -55,12 +55,13 @@ def storage_stats(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Files, bytes, rows, average row size and MB per stored table."""
     parts = []
     for name, path in paths.items():
-        per_file = (spark.read.parquet(path)
-                    .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-                    .groupBy("f").agg(F.max("s").alias("bytes"), F.count(F.lit(1)).alias("rows")))
-        parts.append(per_file.agg(F.count(F.lit(1)).alias("files"),
-                                  F.sum("bytes").cast("bigint").alias("bytes"),
-                                  F.sum("rows").cast("bigint").alias("rows"))
+        # the files, whether or not they hold rows, and the rows in them
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .option("recursiveFileLookup", True).load(path)
+                 .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0))
+                      .cast("bigint").alias("bytes")))
+        rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(one_row(files, rows)
                      .select(F.lit(name).alias("table_name"), "files", "bytes", "rows"))
     return (_union(parts)
             .withColumn("avg_row_bytes", F.when(F.col("rows") > 0, F.col("bytes") / F.col("rows")))

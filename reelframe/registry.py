@@ -11,7 +11,6 @@ the very same plans on stored tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +23,8 @@ from reelframe.plans import collection_form as C
 from reelframe.plans import film
 from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
-from reelframe.schema import AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN
-from reelframe.session import checkpoint_root
+from reelframe.schema import AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN, LOAD_ORDER
+from reelframe.session import scratch_folder
 from reelframe.sources import csv_ingest, sinks
 from reelframe.sources.catalog import CATALOG_TABLES, Catalog
 from reelframe.sources.raw_views import RawCatalog
@@ -109,7 +108,7 @@ def documents() -> dict[str, CatalogQuery]:
 
 # -- data-quality operators over raw / cleaned inputs -----------------------------
 
-CLEANED = ["persons", "movies", "ratings", "episodes", "professions", "characters", "principals"]
+CLEANED = LOAD_ORDER  # all twelve tables, parents first
 
 
 def _raw_tables(raw: RawCatalog) -> dict[str, DataFrame]:
@@ -117,13 +116,17 @@ def _raw_tables(raw: RawCatalog) -> dict[str, DataFrame]:
 
 
 def _audited_tables(raw: RawCatalog) -> dict[str, DataFrame]:
-    """The catalog after the load step (cleaned tables written, then read back):
-    rejected parents leave orphaned children behind."""
-    root = scratch(raw.cat.spark, "load")
-    tables = cleaning.load_tables({name: raw.table(name) for name in CLEANED}, root)
-    others = [name for name in CATALOG_TABLES if name not in CLEANED]
-    tables.update(cleaning.load_tables({name: raw.cat.table(name) for name in others}, root, clean=False))
-    return tables
+    """The valid rows of every table (rejected parents leave orphaned children
+    behind), as plans: an audit reads only the tables and columns it checks."""
+    return {name: cleaning.clean_table(name, raw.table(name))[0] for name in CLEANED}
+
+
+def _kept(raw: RawCatalog) -> DataFrame:
+    """(item, variant, value): rows read and kept per table."""
+    return cleaning.load_report(_raw_tables(raw)).select(
+        F.col("table_name").alias("item"), F.inline(F.array(*[
+            F.struct(F.lit(v).alias("variant"), F.col(f"rows_{v}").cast("double").alias("value"))
+            for v in ("read", "kept")])))
 
 
 def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
@@ -139,6 +142,7 @@ def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
     out: dict[str, Callable[[RawCatalog], DataFrame]] = {f"clean_{t}": valid(t) for t in CLEANED}
     out.update({
         "quarantine": lambda raw: cleaning.quarantine(_raw_tables(raw)),
+        "load_gain": lambda raw: transfer.gain(_kept(raw), "read", "kept"),
         "load_report": lambda raw: cleaning.load_report(_raw_tables(raw)),
         "pk_duplicates": lambda raw: integrity.pk_duplicates({n: raw.table(n) for n in CATALOG_TABLES}),
         "orphan_movies": audited(lambda t: integrity.orphan_movies(t["movies"], {c: t[c] for c in MC})),
@@ -168,9 +172,7 @@ def data_quality() -> dict[str, Callable[[RawCatalog], DataFrame]]:
 
 # -- storage: copies, CSV round trip, layout (these write into the shared folder) --
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint directory (never machine-local on a cluster)."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+scratch = scratch_folder
 
 
 def storage() -> dict[str, Query]:
@@ -192,20 +194,36 @@ def storage() -> dict[str, Query]:
         sinks.overwrite_table(cat.docs, root, "movies_complete")
         return sinks.table_path(root, "movies_complete")
 
-    def storage_stats(spark, d):
+    def stored(spark, d):
         cat, _, paths = copied(spark, d)
-        paths["movies_complete"] = stored_docs(spark, cat)
-        return transfer.storage_stats(spark, paths)
+        return cat, paths, {"movies_complete": stored_docs(spark, cat)}
+
+    # sizes differ between runs of any writer: the queries report what must hold of them
+    def storage_stats(spark, d):
+        _, flat, nested = stored(spark, d)
+        s = transfer.storage_stats(spark, {**flat, **nested})
+        exact = F.abs(F.col("avg_row_bytes") * F.col("rows") - F.col("bytes")) < 1
+        return s.select("table_name", "rows", (F.col("files") > 0).alias("has_files"),
+                        (F.col("bytes") > 0).alias("has_bytes"), exact.alias("average_fits"))
 
     def storage_compare(spark, d):
-        cat, _, paths = copied(spark, d)
-        nested = {"movies_complete": stored_docs(spark, cat)}
-        return transfer.storage_compare(transfer.storage_stats(spark, paths),
-                                        transfer.storage_stats(spark, nested))
+        _, flat, nested = stored(spark, d)
+        c = transfer.storage_compare(transfer.storage_stats(spark, flat), transfer.storage_stats(spark, nested))
+        return c.select((F.col("flat_bytes") > 0).alias("has_flat"), (F.col("nested_bytes") > 0).alias("has_nested"),
+                        (F.abs(F.col("flat_bytes") * (1 + F.col("variation_pct") / 100) - F.col("nested_bytes")) < 1)
+                        .alias("variation_fits"))
 
     def largest(spark, d):
-        _, _, paths = copied(spark, d)
-        return transfer.largest_tables(transfer.storage_stats(spark, paths))
+        _, flat, _ = stored(spark, d)
+        top = transfer.largest_tables(transfer.storage_stats(spark, flat), len(flat))
+        return top.agg(F.count(F.lit(1)).alias("tables"),
+                       (F.abs(F.sum("share_pct") - 100) < 1e-6).alias("shares_add_up"),
+                       F.bool_and(F.col("size_mb") > 0).alias("all_sized"))
+
+    def sizes(spark, d):
+        cat, _, paths = copied(spark, d)
+        s = profiling.dataset_summary(cat.tables(), transfer.storage_stats(spark, paths))
+        return s.select("table_name", "rows", "columns", (F.col("size_mb") > 0).alias("sized"))
 
     def csv_report(spark, d):
         root = scratch(spark, "csv")
@@ -213,11 +231,40 @@ def storage() -> dict[str, Query]:
             csv_ingest.export_csv(df, f"{root}/{name}.csv")
         return cleaning.load_report(csv_ingest.read_catalog_csv(spark, root, CLEANED))
 
+    def csv_typed(table):
+        def run(spark, d):
+            root = scratch(spark, "csv-typed")
+            csv_ingest.export_csv(getattr(RawCatalog(Catalog(spark, d)), f"text_{table}"), f"{root}/{table}.csv")
+            return csv_ingest.read_table_csv(spark, f"{root}/{table}.csv", table)
+        return run
+
     def inventory(spark, d):
         root = scratch(spark, "csv")
         for name, df in _raw_tables(RawCatalog(Catalog(spark, d))).items():
-            csv_ingest.export_csv(df.coalesce(1), f"{root}/{name}")
-        return csv_ingest.file_inventory(spark, root)
+            csv_ingest.export_csv(df, f"{root}/{name}.csv")
+        files = csv_ingest.file_inventory(spark, root)
+        return files.groupBy("table_name").agg((F.count(F.lit(1)) > 0).alias("has_files"),
+                                               (F.sum("size_kb") > 0).alias("has_bytes"))
+
+    def lifecycle(spark, d):
+        """Rows of each table when created, after an append, after a second append, and emptied."""
+        cat, names, counts = Catalog(spark, d), ["genres", "ratings", "directors"], []
+        schemas = {n: cat.table(n).schema for n in names}
+        for label, appends, emptied in (("created", 0, False), ("appended", 1, False), ("twice", 2, False),
+                                        ("emptied", 1, True)):
+            root = scratch(spark, f"sink-{label}")
+            sinks.create_tables(spark, root, names, schemas)
+            for _ in range(appends):
+                for n in names:
+                    sinks.append_table(cat.table(n), root, n)
+            if emptied:
+                sinks.empty_tables(spark, root, names)
+            counts.append(transfer.row_counts({n: spark.read.parquet(sinks.table_path(root, n)) for n in names},
+                                              label))
+        out = counts[0]
+        for c in counts[1:]:
+            out = out.join(c, "table_name")
+        return out
 
     def layout(spark, d):
         path = scratch(spark, "layout")
@@ -235,7 +282,8 @@ def storage() -> dict[str, Query]:
         return run
 
     return {"stream_clean_movies": streamed("movies"), "stream_clean_characters": streamed("characters"),
-            "copy_verify": verify, "copy_stats": stats, "storage_stats": storage_stats,
+            "csv_typed_movies": csv_typed("movies"), "csv_typed_ratings": csv_typed("ratings"),
+            "sink_lifecycle": lifecycle, "dataset_sizes": sizes, "copy_verify": verify, "copy_stats": stats, "storage_stats": storage_stats,
             "storage_compare": storage_compare, "storage_largest": largest, "csv_load_report": csv_report,
             "file_inventory": inventory, "film_full_layout": layout}
 

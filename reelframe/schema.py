@@ -17,7 +17,7 @@ def _struct(*cols: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in cols])
 
 
-# (name, type, nullable)
+# Table and column names, types and nullability (name, type, nullable).
 SCHEMAS: dict[str, T.StructType] = {
     "persons": _struct(("person_id", S, False), ("name", S, False),
                        ("birth_year", I, True), ("death_year", I, True)),
@@ -42,12 +42,13 @@ SCHEMAS: dict[str, T.StructType] = {
                         ("season_number", I, False), ("episode_number", I, False)),
 }
 
-# Parent-first load order (children after the tables they reference).
+# Parent-first load order (children after the tables they reference).
 LOAD_ORDER = [
     "persons", "movies", "ratings", "titles", "episodes", "genres",
     "professions", "principals", "directors", "writers", "characters", "knownformovies",
 ]
 
+# Declared primary keys.
 PRIMARY_KEYS: dict[str, list[str]] = {
     "persons": ["person_id"],
     "movies": ["movie_id"],
@@ -80,7 +81,7 @@ class ForeignKey:
         return self.parent_columns or self.columns
 
 
-# Declared foreign keys of the schema.
+# Declared foreign keys of the schema.
 FOREIGN_KEYS: list[ForeignKey] = [
     ForeignKey("ratings", ("movie_id",), "movies"),
     ForeignKey("genres", ("movie_id",), "movies"),
@@ -100,7 +101,7 @@ FOREIGN_KEYS: list[ForeignKey] = [
     ForeignKey("episodes", ("parent_movie_id",), "movies", ("movie_id",)),
 ]
 
-# The audit of the exploration step covers these children (movie side, person side).
+# The audit of the exploration step covers these children (movie side, person side).
 AUDITED_MOVIE_CHILDREN = ["principals", "genres", "ratings", "directors", "writers", "characters"]
 AUDITED_PERSON_CHILDREN = ["principals", "directors", "writers", "characters"]
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,14 +34,15 @@ RECOMMENDED_CONF = {
 def build_session(
     master: str = "local[*]",
     app_name: str = "reelframe",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     driver_memory: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shuffle_partitions:  # unset: Spark's own setting
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in (extra or {}).items():
@@ -54,8 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system or object store).  Only when nothing is set — local tests —
-    a fresh scratch folder is created and registered.
+    file system or object store).  Only in local mode, when nothing is set, a fresh
+    scratch folder is created and registered; a cluster without a shared folder is an
+    error, since its machines do not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +68,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="reelframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the shared checkpoint folder, removed when the driver ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path

@@ -85,6 +85,32 @@ class RawCatalog:
             .otherwise(F.year("o_orderdate").cast("string")).alias("start_year"))
 
 
+    # -- the text of dirty CSV exports: whole numbers with a fraction part, texts that
+    # mean missing, and texts that are no numbers
+    @cached_property
+    def text_movies(self) -> DataFrame:
+        o = self.cat.source("orders")
+        key, year = F.col("o_orderkey"), F.year("o_orderdate").cast("string")
+        return o.select(
+            key.cast("string").alias("movie_id"), F.col("o_orderstatus").alias("title_type"),
+            F.when(key % 11 == 0, "NULL").otherwise("T").alias("primary_title"),
+            F.when(key % 5 == 0, F.concat(year, F.lit(".0"))).when(key % 5 == 1, "NA")
+            .when(key % 5 == 2, F.concat(year, F.lit(".5"))).otherwise(year).alias("start_year"),
+            F.when(key % 7 == 0, "").when(key % 7 == 1, "N/A").when(key % 7 == 2, "90.0")
+            .when(key % 7 == 3, "x").when(key % 7 == 4, "nan").otherwise((key % 200).cast("string"))
+            .alias("runtime_minutes"))
+
+    @cached_property
+    def text_ratings(self) -> DataFrame:
+        key = F.col("movie_id")
+        return self.cat.ratings.select(
+            key.cast("string").alias("movie_id"),
+            F.when(key % 6 == 0, "NaN").when(key % 6 == 1, "n/a").when(key % 6 == 2, "bad")
+            .when(key % 6 == 3, "7").otherwise("8.25").alias("average_rating"),
+            F.when(key % 4 == 0, F.concat(F.col("num_votes").cast("string"), F.lit(".0")))
+            .when(key % 4 == 1, "null").otherwise(F.col("num_votes").cast("string")).alias("num_votes"))
+
+
 RAW_TABLES = ["persons", "movies", "ratings", "episodes", "professions", "characters", "principals"]
 
 RAW_VIEW_SQL = {
@@ -110,6 +136,7 @@ RAW_VIEW_SQL = {
     "raw_principals": ("SELECT l_orderkey AS movie_id, l_linenumber AS ordering, l_suppkey AS person_id, "
                        "l_returnflag AS category, "
                        "CASE WHEN l_returnflag = 'N' THEN '' ELSE l_linestatus END AS job FROM lineitem"),
+    **{f"raw_{t}": f"SELECT * FROM {t}" for t in ("genres", "titles", "directors", "writers", "knownformovies")},
     "raw_movie_years": ("SELECT o_orderkey AS movie_id, CASE WHEN o_orderstatus = 'P' THEN 'x' "
                         "ELSE CAST(year(o_orderdate) AS VARCHAR) END AS start_year FROM orders"),
 }

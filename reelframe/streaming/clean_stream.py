@@ -6,10 +6,9 @@ Parquet table partitioned by ``status`` (``valid`` / ``rejected``).  The file
 sink and the checkpoint in the shared folder make the job exactly-once and
 restartable after a lost executor or driver.
 
-Only the stateless row rules run here.  For ``characters`` exact duplicates
-are dropped with a keyed ``dropDuplicates`` (state lives in the distributed
-state store, partitioned by key); primary-key conflicts between files need the
-whole table and stay a batch check (``operators.cleaning.clean_table``).
+Only the stateless row rules run here, so no row is lost and no state is kept;
+duplicate keys and duplicate rows need the whole table and stay a batch check
+(``operators.cleaning.clean_table``).
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from reelframe.operators.cleaning import REASON, reject_reason
+from reelframe.operators.cleaning import REASON, UNPARSABLE, reject_reason
 from reelframe.sources.csv_ingest import apply_schema
 
 
@@ -37,12 +36,9 @@ def read_stream(spark: SparkSession, folder: str, columns: Sequence[str], table:
 
 
 def tag(table: str, df: DataFrame) -> DataFrame:
-    tagged = df.withColumn(REASON, reject_reason(table, df.columns))
-    tagged = tagged.withColumn("status", F.when(F.col(REASON).isNull(), F.lit("valid"))
-                               .otherwise(F.lit("rejected")))
-    if table == "characters":
-        tagged = tagged.dropDuplicates([c for c in df.columns] + ["status"])
-    return tagged
+    tagged = df.withColumn(REASON, reject_reason(table, df.columns)).drop(UNPARSABLE)
+    return tagged.withColumn("status", F.when(F.col(REASON).isNull(), F.lit("valid"))
+                             .otherwise(F.lit("rejected")))
 
 
 def start(spark: SparkSession, folder: str, columns: Sequence[str], table: str, out_path: str,

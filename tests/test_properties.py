@@ -86,25 +86,6 @@ def test_gain_ratio(spark):
     assert got == {"q1": (4.0, 75.0), "q2": (0.0, None)}
 
 
-def test_split_documents_answer_like_whole_ones(spark, cat):
-    from types import SimpleNamespace
-
-    from reelframe.operators.nesting import build_from_catalog, sample_document
-
-    whole = build_from_catalog(cat)
-    split = build_from_catalog(cat, max_people_per_part=2)
-    assert split.filter(F.col("part") > 0).count() > 0
-    assert split.filter(F.col("part") == 0).count() == whole.count()
-    for key in [f"q{i}_nest" for i in range(1, 10)]:
-        fn = registry.questions()[key]
-        assert rows(fn(SimpleNamespace(docs=split))) == rows(fn(SimpleNamespace(docs=whole))), key
-    assert rows(sample_document(split, 300)) == rows(sample_document(whole, 300))
-    people = F.explode(F.concat(F.transform("directors", lambda p: p["person_id"]),
-                                F.transform("cast", lambda p: p["person_id"]),
-                                F.transform("writers", lambda p: p["person_id"])))
-    assert rows(split.select("movie_id", people)) == rows(whole.select("movie_id", people))
-
-
 def test_answers_do_not_change_when_aqe_splits_skewed_partitions(spark, cat):
     """Force AQE's skew-join splitting and partition coalescing to kick in on tiny
     data (every partition counts as skewed); answers must not change."""

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from reelframe.llm.common import per_worker, table
 
 MARK = "▁"  # the word mark that stands for a space
-MEMO_SEGMENTS = 400_000  # segments of a generation of the memo; two are kept per worker
-MEMO_PAIRS = 1_000_000
+MEMO_SEGMENTS = 200_000  # segments of a generation of the memo; two are kept per worker
+MEMO_PAIRS = 500_000
 
 
 class PrefixTableEncoder:
@@ -86,8 +86,8 @@ class PrefixTableEncoder:
         self.cut = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.segment = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.pairs: dict[int, bool] = {}
-        self.memo: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.decimal = [str(i) for i in range(self.size)]
 
     def _merge(self, text: str) -> tuple[list[str], tuple[int, int] | None]:
@@ -174,22 +174,20 @@ class PrefixTableEncoder:
             return [self.unknown]
         return [self.bytes[b] for b in reversed(char.encode("utf-8"))]
 
-    def learn(self, text: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a segment and their decimals, kept in a memo of two generations."""
+    def learn(self, text: str) -> tuple[int, ...]:
+        """Ids of a segment, kept in a memo of two generations."""
         known = self.older.get(text)
         if known is None:
-            ids = self.tokens(text)
-            known = ids, " ".join([self.decimal[i] for i in ids])
+            known = self.tokens(text)
         if len(text) <= 64:
             if len(self.memo) >= MEMO_SEGMENTS:
                 self.older, self.memo = self.memo, {}
             self.memo[text] = known
         return known
 
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """(ids, decimal ids joined by one space) of a whole text, end id last."""
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text, end id last."""
         ids: list[int] = []
-        said: list[str] = []
         if text:
             marked = text.replace(" ", MARK)
             if self.prefix:
@@ -200,11 +198,14 @@ class PrefixTableEncoder:
                 if found is None:
                     found = self.learn(part)
                     known = self.memo.get
-                ids += found[0]
-                said.append(found[1])
+                ids += found
         ids.append(self.end)
-        said.append(str(self.end))
-        return ids, " ".join(said)
+        return ids
+
+    def decimals(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by one space."""
+        decimal = self.decimal
+        return " ".join([decimal[i] for i in ids])
 
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids)
@@ -248,12 +249,12 @@ def encode_texts(docs: DataFrame, model: bytes, keep_ids: bool = True, digests:
                 part = batch.slice(at, 512)
                 n, all_ids, ids_sha, text_sha = [], [], [], []
                 for x in part.column(part.schema.get_field_index("text")):
-                    ids, said = enc.encode(x.as_py() or "")
+                    ids = enc.encode(x.as_py() or "")
                     n.append(len(ids))
                     if keep_ids:
                         all_ids.append(ids)
                     if digests:
-                        ids_sha.append(hashlib.sha256(said.encode()).hexdigest())
+                        ids_sha.append(hashlib.sha256(enc.decimals(ids).encode()).hexdigest())
                         text_sha.append(hashlib.sha256(enc.decode(ids).encode("utf-8")).hexdigest())
                 cols = [part.column(i) for i in range(part.num_columns - 1)]
                 cols.append(pa.array(n, pa.int64()))

@@ -23,9 +23,9 @@ def test_ids_equal_the_library_on_random_texts(both):
     texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40))) for _ in range(4000)]
     texts += ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 6))).replace("▁", " ") for _ in range(4000)]
     for text in texts:
-        ids, said = enc.encode(text)
+        ids = enc.encode(text)
         assert ids == lib.encode(text, add_eos=True), repr(text)
-        assert said == " ".join(map(str, ids))
+        assert enc.decimals(ids) == " ".join(map(str, ids))
 
 
 def test_pair_test_equals_merging(both):
@@ -71,4 +71,4 @@ def test_memo_generations_do_not_change_ids(both, monkeypatch):
     monkeypatch.setattr(tk, "MEMO_PAIRS", 5)
     enc = tk.PrefixTableEncoder(tk.piece_model())
     text = "the quick brown fox jumps over the lazy dog the fox " * 3
-    assert enc.encode(text)[0] == lib.encode(text, add_eos=True)
+    assert enc.encode(text) == lib.encode(text, add_eos=True)

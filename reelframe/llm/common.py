@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -13,15 +12,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.session import checkpoint_root
+from reelframe.session import scratch_folder
 
 # Words of the contracts: maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_scopes: list[list[str]] = []  # folders written by the settle() calls in progress
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    """A new folder under the session's shared checkpoint folder; the enclosing
+    ``settle`` removes it, else the end of the driver does."""
+    path = scratch_folder(spark, f"llm-{name}")
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -32,17 +38,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``stored(build())``, then the tables that ``build`` wrote on its way are removed."""
+    path = scratch(spark, name)
+    _scopes.append([])
+    try:
+        df = build()
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    finally:
+        for used in _scopes.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(used)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-BROADCAST_ROWS = 100_000  # narrow rows only: a few MB
+BROADCAST_ROWS = 100_000  # narrow rows, or elements of their arrays: a few MB
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join that broadcasts ``small`` (narrow rows) only if its counted rows are
-    few, and shuffles both sides otherwise."""
-    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", elements: str | None = None) -> DataFrame:
+    """Join that broadcasts ``small`` only if its counted rows (or the ``elements`` of
+    an array column) are few, and shuffles both sides otherwise."""
+    n = small.count() if elements is None else small.agg(F.sum(F.size(elements))).first()[0] or 0
+    return big.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on, how)
 
 
 def digest_pair(*cols: Column | str) -> list[Column]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm.common import digest_pair, runs, stored, table
+from reelframe.llm.common import digest_pair, runs, settle, stored, table
 from reelframe.llm.components import connected_components
 
 THRESHOLD = 0.95
@@ -116,6 +116,10 @@ def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, tables: in
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                        F.col("embedding").cast("array<double>").alias("e"))
+    return settle(vectors.sparkSession, "embedding-links", lambda: _links(v, threshold, tables, bits, block))
+
+
+def _links(v: DataFrame, threshold: float, tables: int, bits: int, block: int) -> DataFrame:
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     ok = (F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))
           & F.coalesce(F.exists("e", lambda x: x != 0), F.lit(False)))

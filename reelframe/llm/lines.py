@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from reelframe.llm.common import join_checked, row_digest, stored, table
+from reelframe.llm.common import join_checked, row_digest, settle, stored, table
 from reelframe.llm.fingerprints import words
 
 LEAST_WORDS = 3  # shorter lines are never dropped
@@ -134,7 +134,8 @@ def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: i
         F.collect_list(F.struct("place.line_no", "h1", "h2", "place", "n")).alias("wanted"))
     homes = homes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "wanted")
     texts = docs.where(F.col("text").isNotNull()).select("k1", "k2", F.split("text", "\n").alias("parts"))
-    found = join_checked(texts, homes, (texts.k1 == homes.c1) & (texts.k2 == homes.c2)).select(
+    found = join_checked(texts, homes, (texts.k1 == homes.c1) & (texts.k2 == homes.c2),
+                         elements="wanted").select(
         F.explode(F.transform("wanted", lambda c: F.struct(
             c.h1.alias("h1"), c.h2.alias("h2"), c.place.alias("place"), c.n.alias("n"),
             words(F.get("parts", c.line_no)).alias("ws")))).alias("l"))
@@ -166,7 +167,8 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int
     rest = [c for c in docs.columns if c not in added]
     others = [docs[c] for c in rest if c != "text"]
     keyed = docs.select(docs["doc_id"], docs["text"], *row_digest(docs), F.struct(*others).alias("row"))
-    lost = dropped_lines(keyed.select("doc_id", "text", "k1", "k2"), least_words, near_words)
+    lost = settle(docs.sparkSession, "lost-lines", lambda: dropped_lines(
+        keyed.select("doc_id", "text", "k1", "k2"), least_words, near_words))
     d = keyed.select("row", "k1", "k2", F.split("text", "\n").alias("parts")).join(lost, ["k1", "k2"], "left")
     d = d.withColumn("gone", F.array_union("near", "exact"))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from reelframe.llm.common import WORD, row_digest, stored, table
+from reelframe.llm.common import WORD, row_digest, settle, stored, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -157,10 +157,14 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     Rows equal in id and text are as many documents to the mix."""
     others = [docs[c] for c in docs.columns]
     keyed = docs.select(F.struct(*others).alias("row"), *row_digest(docs))
-    sized = stored(docs.select("doc_id", "source", word_count("text").alias("size"), *row_digest(docs)), "mix-sizes")
-    mixed = mix_sources(sized, keys=("k1", "k2"), **options).where("copies > 0")
-    wanted = mixed.groupBy("k1", "k2").agg(F.flatten(F.collect_list("positions")).alias("positions"),
-                                           F.count("*").alias("rows"))
+
+    def plan() -> DataFrame:
+        sized = docs.select("doc_id", "source", word_count("text").alias("size"), *row_digest(docs))
+        mixed = mix_sources(stored(sized, "mix-sizes"), keys=("k1", "k2"), **options).where("copies > 0")
+        return mixed.groupBy("k1", "k2").agg(F.flatten(F.collect_list("positions")).alias("positions"),
+                                             F.count("*").alias("rows"))
+
+    wanted = settle(docs.sparkSession, "mix-positions", plan)
     d = keyed.join(wanted, ["k1", "k2"])
     # equal rows share one list of positions: one of them carries it
     d = d.where("rows = 1").union(d.where("rows > 1").dropDuplicates(["k1", "k2"]))

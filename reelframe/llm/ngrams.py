@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from reelframe.llm.common import join_checked, per_worker, runs, stored, table
+from reelframe.llm.common import join_checked, per_worker, runs, settle, stored, table
 from reelframe.llm.components import connected_components
 
 BLOCK_DOCS = 256
 BLOCK_SHINGLES = 1_000_000
 ROUNDS = 6  # partitions tried while a document has too many empty parts
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 MU = 0.01  # DivideSkip's balance between merging and probing
 SETS = "doc_id long, n_shingles long, d1 long, d2 long, sigs array<long>"
 
@@ -278,6 +278,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     rows give repeated results.  Other columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    return settle(docs.sparkSession, "jaccard", lambda: _components(d, k, num, den, block_docs))
+
+
+def _components(d: DataFrame, k: int, num: int, den: int, block_docs: int) -> DataFrame:
     sets = stored(d.mapInArrow(_sets(k, num, den), SETS), "sets")
     named = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
@@ -289,6 +293,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     stars = stored(stars.select("lo", F.col("rep").alias("id"), "n").distinct(), "stars")
     size = stars.groupBy("lo").agg(F.greatest(F.ceil(F.count("*") / block_docs),
                                               F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    # written, so that the join below may split the members of a very large star
+    size = stored(size, "star-sizes")
     members = stars.join(size, "lo").select(
         "lo", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("role"), "id")
     centres = size.select("lo", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),

@@ -25,6 +25,7 @@ REVISIT_BYTES = 100  # smaller payloads are always written in full
 RECORDS_PER_FILE = 4000
 CRLF = "\r\n"
 MAX_HEADER = 1 << 16
+CHUNK = 1 << 16
 READ_SCHEMA = ("path string, offset long, length long, kind string, reason string, record_type string, "
                "record_id string, target_uri string, refers_to string, payload_digest string, "
                "payload_bytes long, payload binary")
@@ -134,18 +135,20 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
 
 def _member(data: bytes, at: int) -> tuple[list[dict], int]:
     """Records of the gzip member at ``at``; all of it must be sound."""
-    unzip = zlib.decompressobj(31)
+    unzip, parts, end = zlib.decompressobj(31), [], at
     try:
-        plain = unzip.decompress(data[at:])
+        while not unzip.eof and end < len(data):
+            parts.append(unzip.decompress(data[end:end + CHUNK]))
+            end = min(end + CHUNK, len(data))
     except zlib.error as e:
         raise ValueError(f"bad member: {e}") from e
     if not unzip.eof:
         raise ValueError("member is cut off")
-    found, pos = [], 0
+    plain, found, pos = b"".join(parts), [], 0
     while pos < len(plain):
         record, pos = parse_record(plain, pos)
         found.append(record)
-    return found, len(data) - len(unzip.unused_data)
+    return found, end - len(unzip.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:

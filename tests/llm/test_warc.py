@@ -42,6 +42,8 @@ def test_salvage_of_members():
     assert kinds(a + bytes(broken) + c) == [("record", 0, len(a)), ("gap", len(a), len(b)),
                                             ("record", len(a) + len(b), len(c))]
     assert kinds(a + b[:-10]) == [("record", 0, len(a)), ("gap", len(a), len(b) - 10)]
+    large = gzip.compress(record("".join(chr(97 + i * i % 26) for i in range(300_000))), 0)  # over several chunks
+    assert kinds(large + a) == [("record", 0, len(large)), ("record", len(large), len(a))]
     two = gzip.compress(record("p") + record("q"))
     assert [f["payload"] for _, _, _, f in warc.salvage(two)] == [b"p", b"q"]
 

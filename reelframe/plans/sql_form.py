@@ -209,32 +209,33 @@ def q9_prolific_directors(directors: DataFrame, persons: DataFrame, movies: Data
                           limit: int = 30) -> DataFrame:
     """Directors with at least ``min_films`` rated films, first ``limit`` by film count.
 
-    The mean rating is over the genre fan-out of the relational form (a film
-    weighs by its number of genres, at least 1), computed as a weighted mean."""
-    genre_counts = genres.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n_genres"))
-    base = (directors
-            .join(movies.select("movie_id"), "movie_id", "left_semi")
-            .join(ratings.select("movie_id", "average_rating"), "movie_id")
-            .join(genre_counts, "movie_id", "left")
-            .withColumn("w", F.greatest(F.coalesce(F.col("n_genres"), F.lit(0)), F.lit(1))))
-    stats = (base.groupBy("person_id")
-             .agg(F.count_distinct("movie_id").alias("nombre_films"),
-                  (F.sum(F.col("average_rating") * F.col("w")) / F.sum("w")).alias("mean_rating"),
-                  F.min("average_rating").alias("min_rating"),
-                  F.max("average_rating").alias("max_rating"))
-             .filter(F.col("nombre_films") >= min_films)
-             .join(persons.select("person_id", F.col("name").alias("realisateur")), "person_id")
-             .orderBy(F.desc("nombre_films"), "person_id").limit(limit))
-    # at most ``limit`` directors: broadcast; only their films' genres are read
-    films = (directors.join(F.broadcast(stats.select("person_id")), "person_id", "left_semi")
+    The mean rating is over the genre fan-out of the relational form (a film weighs by
+    its number of genres, at least 1), computed as a weighted mean.  One pass over the
+    films: every director-film pair gives a row without a genre, which carries the
+    figures, and a row per genre; a director's distinct genres are then the groups
+    of the rows that have one."""
+    shelves = genres.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"), F.collect_list("genre").alias("g"))
+    # one shuffle by film serves the pairs and the joins
+    pairs = (directors.select("movie_id", "person_id").repartition("movie_id")
+             .groupBy("movie_id", "person_id").agg(F.count(F.lit(1)).alias("k"))
              .join(movies.select("movie_id"), "movie_id", "left_semi")
-             .join(ratings.select("movie_id"), "movie_id", "left_semi"))
-    explored = (films.join(genres, "movie_id").groupBy("person_id")
-                .agg(F.count_distinct("genre").alias("genres_explores")))
-    return (stats.join(explored, "person_id", "left")
-            .orderBy(F.desc("nombre_films"), "person_id")
-            .select("realisateur", "nombre_films",
-                    F.round("mean_rating", 2).alias("note_moyenne"),
-                    F.round("min_rating", 2).alias("note_min"),
-                    F.round("max_rating", 2).alias("note_max"),
-                    F.coalesce(F.col("genres_explores"), F.lit(0)).alias("genres_explores")))
+             .join(ratings.select("movie_id", F.col("average_rating").alias("r")), "movie_id")
+             .join(shelves, "movie_id", "left"))
+    weight = F.greatest(F.coalesce(F.col("n"), F.lit(0)), F.lit(1)) * F.col("k")
+    no_genre = F.array(F.lit(None).cast("string"))
+    rows = pairs.select("person_id", "r", weight.alias("w"),
+                        F.explode(F.concat(no_genre, F.coalesce("g", F.array().cast("array<string>")))).alias("genre"))
+    groups = rows.groupBy("person_id", "genre").agg(
+        F.count(F.lit(1)).alias("films"), F.sum(F.col("r") * F.col("w")).alias("total"), F.sum("w").alias("w"),
+        F.min("r").alias("low"), F.max("r").alias("high"))
+    figures = F.col("genre").isNull()
+    per = groups.groupBy("person_id").agg(
+        *[F.max(F.when(figures, F.col(c))).alias(c) for c in ("films", "total", "w", "low", "high")],
+        F.count_if(~figures).alias("genres_explores"))
+    return (per.filter(F.col("films") >= min_films)
+            .join(persons.select("person_id", F.col("name").alias("realisateur")), "person_id")
+            .orderBy(F.desc("films"), "person_id").limit(limit)
+            .select("realisateur", F.col("films").alias("nombre_films"),
+                    F.round(F.col("total") / F.col("w"), 2).alias("note_moyenne"),
+                    F.round("low", 2).alias("note_min"),
+                    F.round("high", 2).alias("note_max"), "genres_explores"))

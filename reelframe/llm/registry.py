@@ -29,4 +29,4 @@ def llm_queries() -> dict[str, Query]:
 
 def llm_oracle() -> dict[str, str]:
     return {"op1_warc": sql.OP1, "op3_chat": sql.OP3, "op4_lines": sql.OP4, "op5_mixing": sql.OP5,
-            "op6_ngram_jaccard": sql.OP6}
+            "op6_ngram_jaccard": sql.OP6, "op10_embeddings": sql.OP10}

@@ -117,3 +117,15 @@ SELECT d.doc_id, count(m.doc_id) AS n_lines, count(*) FILTER (is_copy) AS n_exac
     AS kept_sha256
 FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+# All pairs, by brute force.
+OP10 = r"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE NOT isnan(list_cosine_similarity(a.e, b.e)) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT r.a AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM r LEFT JOIN n ON n.a = r.a GROUP BY r.a
+"""

@@ -103,9 +103,12 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
 
 
 def per_worker(key: str, make: Callable[[], Any]) -> Any:
-    """An object kept for the life of a Python worker (tasks of a worker share
-    it; functions and their globals are shipped anew with each stage)."""
+    """An object kept for the life of a Python worker (tasks of a worker share it;
+    functions and their globals are shipped anew with each stage).  One at a time:
+    a worker that moves on to another stage gives up what the last one kept."""
     kept = sys.modules.setdefault("_reelframe_worker", types.ModuleType("_reelframe_worker"))
-    if key not in vars(kept):
-        setattr(kept, key, make())
-    return getattr(kept, key)
+    if vars(kept).get("key") != key:
+        kept.key = kept.value = None
+        kept.value = make()
+        kept.key = key
+    return kept.value

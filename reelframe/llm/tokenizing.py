@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from reelframe.llm.common import per_worker, table
 
 MARK = "▁"  # the word mark that stands for a space
-MEMO_SEGMENTS = 200_000  # segments of a generation of the memo; two are kept per worker
-MEMO_PAIRS = 500_000
+MEMO_SEGMENTS = 120_000  # segments of a generation of the memo; two are kept per worker
+MEMO_PAIRS = 300_000
 
 
 class PrefixTableEncoder:
@@ -245,6 +245,7 @@ def encode_texts(docs: DataFrame, model: bytes, keep_ids: bool = True, digests:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder_for(shared.value)
         for batch in batches:
+            part = cols = None
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 n, all_ids, ids_sha, text_sha = [], [], [], []
@@ -263,6 +264,8 @@ def encode_texts(docs: DataFrame, model: bytes, keep_ids: bool = True, digests:
                 if digests:
                     cols += [pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields] + names)
+            del batch, part, cols
+            pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, schema)
 

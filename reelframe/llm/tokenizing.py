@@ -13,6 +13,7 @@ character), so equal segments share one table within a worker.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -23,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from reelframe.llm.common import per_worker, table
 
 MARK = "▁"  # the word mark that stands for a space
-MEMO_SEGMENTS = 120_000  # segments of a generation of the memo; two are kept per worker
-MEMO_PAIRS = 300_000
+MEMO_SEGMENTS = 300_000  # segments of a generation of the memo; two are kept per worker
+MEMO_PAIRS = 400_000
 
 
 class PrefixTableEncoder:
@@ -244,6 +245,7 @@ def encode_texts(docs: DataFrame, model: bytes, keep_ids: bool = True, digests:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder_for(shared.value)
+        gc.disable()  # nothing here makes cycles; the collector would only walk the memo
         for batch in batches:
             part = cols = None
             for at in range(0, batch.num_rows, 512):
@@ -266,6 +268,7 @@ def encode_texts(docs: DataFrame, model: bytes, keep_ids: bool = True, digests:
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields] + names)
             del batch, part, cols
             pa.default_memory_pool().release_unused()
+        gc.enable()
 
     return frame.mapInArrow(run, schema)
 

@@ -27,6 +27,7 @@ from reelframe.llm.fingerprints import words
 
 LEAST_WORDS = 3  # shorter lines are never dropped
 NEAR_WORDS = 8  # shorter lines are only compared for equality
+STUB_SHARE = 5  # new short lines of at most one word in five do not make a copy a document
 
 
 def _place() -> Column:
@@ -120,10 +121,12 @@ def _verified(claims: DataFrame, lines: DataFrame) -> DataFrame:
     return c.where(front & back & size).select("h1", "h2")
 
 
-def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """(k1, k2, near, exact: arrays of line numbers) of the documents (doc_id, text,
-    k1, k2) that lose lines."""
-    lines = stored(line_table(docs, least_words, near_words), "lines")
+def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS,
+                  short: bool = False) -> DataFrame:
+    """(k1, k2, near, exact, short: arrays of line numbers) of the documents (doc_id,
+    text, k1, k2) that lose lines.  With ``short``, also of those that only repeat
+    lines below ``least_words``, which are listed as short; else short is empty."""
+    lines = stored(line_table(docs, 1 if short else least_words, near_words), "lines")
     classes = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("place"), F.first("n").alias("n"),
                                             F.first("halves").alias("halves"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
@@ -146,13 +149,35 @@ def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: i
         "h1", "h2", "place", F.coalesce("near", F.lit(False)).alias("near"))
     # written, so that the join below may split the rows of a line with very many copies
     losing = stored(losing, "losing")
-    lost = lines.select("h1", "h2", "k1", "k2", "doc_id", "line_no").join(losing, ["h1", "h2"])
+    lost = lines.select("h1", "h2", "k1", "k2", "doc_id", "line_no", "n").join(losing, ["h1", "h2"])
     lost = lost.where(F.col("near") | (_place() != F.col("place")))
-    return lost.groupBy("k1", "k2").agg(F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("near"),
-                                        F.collect_set(F.when(~F.col("near"), F.col("line_no"))).alias("exact"))
+    kinds = {"near": F.col("near"), "exact": ~F.col("near") & (F.col("n") >= least_words),
+             "short": F.col("n") < least_words}
+    return lost.groupBy("k1", "k2").agg(*[F.collect_set(F.when(is_kind, F.col("line_no"))).alias(name)
+                                          for name, is_kind in kinds.items()])
 
 
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
+def _is_stub(least_words: int) -> Column:
+    """Whether a document of (parts, near, exact, short) lost lines, has none of
+    ``least_words`` left, and its short lines that repeat no earlier line hold at
+    most a fifth of its words."""
+    sizes = F.transform("parts", lambda line: F.size(words(line)))
+    numbers = F.sequence(F.lit(0), F.size("parts") - 1)
+
+    def stub(c: Column) -> Column:
+        left = F.array_except(numbers, F.array_union("near", "exact"))
+        new = F.transform(F.array_except(left, "short"), lambda i: F.get(c, i))
+        total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+        return ~F.exists(left, lambda i: F.get(c, i) >= least_words) & (total(new) * STUB_SHARE <= total(c))
+
+    # a one-element transform names the sizes once
+    judged = F.get(F.transform(F.array(sizes), stub), F.lit(0))
+    lost = F.coalesce(F.size("near") + F.size("exact") > 0, F.lit(False))
+    return F.when(lost, judged).otherwise(F.lit(False))
+
+
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS,
+                keep_stubs: bool = True) -> DataFrame:
     """``docs`` without the lines that repeat an earlier line or are one word away
     from one; adds n_lines, n_exact and n_near (lines before, and those dropped).
 
@@ -162,14 +187,20 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int
     stays null; a document that loses every line has an empty text.  Rows equal in
     id and text are one document and get the same result.  Other columns pass
     through; those named like the added ones are replaced.
+
+    Without ``keep_stubs`` the rows of a copy of which only short lines would stay go
+    too: it lost lines, has none of ``least_words`` left, and its short lines that
+    repeat no earlier line (new headings) hold at most a fifth of its words.
     """
     added = ["n_lines", "n_exact", "n_near"]
     rest = [c for c in docs.columns if c not in added]
     others = [docs[c] for c in rest if c != "text"]
     keyed = docs.select(docs["doc_id"], docs["text"], *row_digest(docs), F.struct(*others).alias("row"))
     lost = settle(docs.sparkSession, "lost-lines", lambda: dropped_lines(
-        keyed.select("doc_id", "text", "k1", "k2"), least_words, near_words))
+        keyed.select("doc_id", "text", "k1", "k2"), least_words, near_words, short=not keep_stubs))
     d = keyed.select("row", "k1", "k2", F.split("text", "\n").alias("parts")).join(lost, ["k1", "k2"], "left")
+    if not keep_stubs:
+        d = d.where(~_is_stub(least_words))
     d = d.withColumn("gone", F.array_union("near", "exact"))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")
     kept = F.transform(left, lambda i: F.get("parts", i))

@@ -52,3 +52,21 @@ def test_stages_on_odd_and_empty_tables(spark):
             else:
                 assert out.dtypes == docs.dtypes
             assert (out.count() > 0) == bool(docs.count())
+
+
+def test_copies_with_a_short_heading_do_not_reach_the_output(spark):
+    body = "\n".join(" ".join(f"w{i}x{j}" for j in range(10)) for i in range(6))
+    near = body.replace("w2x3", "other")
+    poem = "\n".join(f"verse{i} end{i}" for i in range(20))
+    foot = "all rights are reserved"
+    rows = [(1, "Heading\n" + body), (2, "Heading\n" + body), (3, "Copy.\n" + body), (4, "Near copy\n" + near),
+            (5, "Opening\n" + foot), (6, poem + "\n" + foot), (7, "two words\nOpening"), (8, poem + "\n" + foot),
+            (9, "Heading\nand a line of its own\n" + body), (10, ""), (11, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'a' AS source", "int(length(text)) AS n_chars")
+    stage = dict(cp.STAGES)["line_dedup"]
+    lined = {r.doc_id: r.text for r in stage(spark, docs, SF).collect()}
+    assert sorted(lined) == [1, 5, 6, 7, 9, 10, 11]  # short lines that are new stay with their documents
+    assert lined[6] == poem and lined[7] == "two words\nOpening"
+    assert lined[9] == "Heading\nand a line of its own"
+    assert {2, 3, 4, 8} <= {r.doc_id for r in cp.line_dedup(spark, docs, SF).collect()}

@@ -86,3 +86,30 @@ def test_odd_and_empty_tables(spark):
     clash = docs.withColumnRenamed("k1", "n_near").withColumnRenamed("page_id", "row")
     assert ln.dedup_lines(clash).columns.count("n_near") == 1
     assert ln.dedup_lines(empty_docs(spark)).count() == 0
+
+
+def test_bound_that_grows_with_the_line(spark):
+    rnd = random.Random(3)
+    base = [[f"w{rnd.randrange(60)}" for _ in range(n)] for n in (9, 15, 16, 17, 23, 24, 25, 40, 64)]
+    docs = {}
+    for i in range(150):
+        t = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, 5)):
+            at = rnd.randrange(len(t))
+            rnd.choice([lambda: t.pop(at), lambda: t.insert(at, f"v{rnd.randrange(9)}"),
+                        lambda: t.__setitem__(at, f"v{rnd.randrange(9)}")])()
+        docs[i] = " ".join(t)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    kept = {}
+    for edits in (2, 3):
+        seen, want = [], {}
+        for i, text in docs.items():
+            w = text.split()
+            bound = lambda o: min(edits, min(len(w), len(o)) // 8)  # noqa: B023, E731
+            want[i] = not any(edit(w, o) <= bound(o) for o in seen)
+            seen.append(w)
+        got = {r.doc_id: r.text != "" for r in ln.dedup_lines(df, edits=edits).collect()}
+        assert got == want
+        kept[edits] = sum(want.values())
+    one = sum(r.text != "" for r in ln.dedup_lines(df).collect())
+    assert kept[3] < kept[2] < one

@@ -24,7 +24,6 @@ from reelframe.llm.common import join_checked, scratch, stored, table
 REVISIT_BYTES = 100  # smaller payloads are always written in full
 RECORDS_PER_FILE = 4000
 CRLF = "\r\n"
-MAX_HEADER = 1 << 16
 CHUNK = 1 << 16
 READ_SCHEMA = ("path string, offset long, length long, kind string, reason string, record_type string, "
                "record_id string, target_uri string, refers_to string, payload_digest string, "
@@ -85,6 +84,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
 
 
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+HEADER_END = re.compile(rb"\r\n(?:\r\n|WARC/1\.[01]\r\n)")  # or the next version line
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 
 
@@ -103,9 +103,10 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     the failed check."""
     if not VERSION.match(data, at):
         raise ValueError("no version line")
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if end < 0:
+    behind = HEADER_END.search(data, at)
+    if not behind or behind[0] != b"\r\n\r\n":
         raise ValueError("header does not end")
+    end = behind.start()
     fields: dict[str, str] = {}
     for line in data[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")

@@ -100,3 +100,14 @@ def test_damaged_files_and_empty_tables(spark, tmp_path):
     empty = scratch(spark, "warc-empty")
     warc.write_warc(warc.with_revisits(spark.createDataFrame([], PAGES)), empty)
     assert warc.read_warc(spark, empty).count() == 0
+
+
+def test_header_of_any_length(spark):
+    url = "data:text/plain," + "x" * 100_000
+    path = scratch(spark, "warc-long-header")
+    pages = spark.createDataFrame([(1, url, "text", None, None), (2, "http://a/", "more", None, None)], PAGES)
+    warc.write_warc(warc.with_revisits(pages), path)
+    assert {r.record_id: r.target_uri for r in warc.read_warc(spark, path).collect()} == {
+        "<urn:page:1>": url, "<urn:page:2>": "http://a/"}
+    a = record("first")
+    assert kinds(b"WARC/1.1\r\nX: y\r\n" + a) == [("gap", 0, 16), ("record", 16, len(a))]

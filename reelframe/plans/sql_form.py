@@ -179,9 +179,9 @@ def q8_breakthrough(principals: DataFrame, persons: DataFrame, ratings: DataFram
     """People with films on both sides of a vote threshold, shown with the film(s)
     carrying their highest vote count above it (one row per credit), first ``limit`` rows.
 
-    A person gives at least one row, so the rows shown belong to the first ``limit``
-    people by that vote count: those are chosen first, and only their credits are
-    looked up again."""
+    A person with such a film in ``movies`` gives at least one row, so the rows shown
+    belong to the first ``limit`` of these people by that vote count: they are chosen
+    first, and only their credits are looked up again."""
     t = threshold_votes
     votes = ratings.select("movie_id", "num_votes", "average_rating")
     # person-film pairs by film: the join, the pairs and the votes share one shuffle
@@ -193,7 +193,10 @@ def q8_breakthrough(principals: DataFrame, persons: DataFrame, ratings: DataFram
                    F.max(F.when(F.col("num_votes") > t, F.col("num_votes"))).alias("best"))
               .filter((F.col("films_avant") > 0) & (F.col("films_apres") > 0))
               .join(persons.select("person_id", F.col("name").alias("acteur")), "person_id"))
-    top = career.orderBy(F.desc("best"), "person_id").limit(limit)
+    # a rating may lack its film; only a best film that has one gives a row
+    titled = (pairs.where(F.col("num_votes") > t).join(movies.select("movie_id"), "movie_id", "left_semi")
+              .select("person_id", F.col("num_votes").alias("best")))
+    top = career.join(titled, ["person_id", "best"], "left_semi").orderBy(F.desc("best"), "person_id").limit(limit)
     # at most ``limit`` people: broadcast
     credits = principals.select("movie_id", "person_id").join(F.broadcast(top), "person_id")
     # joined by film alone, so that the look-ups of votes and title share one shuffle

@@ -178,6 +178,18 @@ def test_q8_double_credit_and_one_sided_careers(spark):
         [("b1", "Both", 1, 2, 500, 7.5)]
 
 
+def test_q8_people_whose_best_film_is_an_orphan_take_no_place(spark):
+    t = Tables(spark,
+               persons=[("b1", "Orphan"), ("b2", "Whole"), ("b3", "Tied")],
+               movies=[m("m1", "Small", 2000), m("m2", "Big", 2001), m("m4", "Equal", 2002)],
+               principals=[(film, 1, p, "x") for p, films in (("b1", ["m1", "m9"]), ("b2", ["m1", "m2"]),
+                                                              ("b3", ["m1", "m4", "m9"])) for film in films],
+               ratings=[("m1", 6.0, 50), ("m2", 7.5, 500), ("m9", 8.0, 900), ("m4", 7.0, 900)])
+    q8 = lambda n: rows(S.q8_breakthrough(t.principals, t.persons, t.ratings, t.movies, 100, n))
+    assert q8(1) == [("Tied", 1, 2, "Equal", 900, 7.0)]
+    assert q8(2) == [("Tied", 1, 2, "Equal", 900, 7.0), ("Whole", 1, 1, "Big", 500, 7.5)]
+
+
 # -- Q5 filter before / after grouping ------------------------------------------------
 
 def test_q5_filter_before_grouping_in_nested_form(spark):

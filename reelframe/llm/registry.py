@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelframe.llm import (chat, embeddings, fingerprints, lines, mixing, ngrams, quality, secrets,
-                           sql, tokenizing, warc)
+from reelframe.llm import (chat, embeddings, fingerprints, langid, lines, mixing, ngrams, quality,
+                           secrets, sql, tokenizing, trie, warc, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,13 @@ def llm_queries() -> dict[str, Query]:
         "op8_sentencepiece": tokenizing.op8_sentencepiece,
         "op9_fingerprints": fingerprints.op9_fingerprints,
         "op10_embeddings": embeddings.op10_embeddings,
+        "op11_trie": trie.op11_trie,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_langid": langid.op13_langid,
     }
 
 
 def llm_oracle() -> dict[str, str]:
     return {"op1_warc": sql.OP1, "op3_chat": sql.OP3, "op4_lines": sql.OP4, "op5_mixing": sql.OP5,
-            "op6_ngram_jaccard": sql.OP6, "op10_embeddings": sql.OP10}
+            "op6_ngram_jaccard": sql.OP6, "op10_embeddings": sql.OP10,
+            "op11_trie": sql.OP11}

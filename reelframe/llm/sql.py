@@ -129,3 +129,39 @@ n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT r.a AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
 FROM r LEFT JOIN n ON n.a = r.a GROUP BY r.a
 """
+
+# Prefixes as lists of turns; totals over all pairs of a node and an ancestor.
+OP11 = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY pos) AS own FROM t GROUP BY conv_id),
+h AS (  -- bit by bit: the checksum of the decimal id
+  SELECT conv_id, own, xor(list_reduce([4294967295] || flatten(list_transform(
+    string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 4 AS h
+  FROM o),
+c AS (
+  SELECT h.conv_id, coalesce(d.own[1:h.h], []) || h.own[h.h + 1:] AS turns
+  FROM h LEFT JOIN o d ON d.conv_id = h.conv_id - h.conv_id % 20),
+p AS (
+  SELECT conv_id, d AS depth, len(turns) AS size, md5(CAST(to_json(turns[1:d]) AS VARCHAR)) AS g,
+    md5(CAST(to_json(turns[1:d - 1]) AS VARCHAR)) AS up, CASE WHEN d > 0 THEN turns[d].t END AS last
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+n AS (
+  SELECT depth, g, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce((count(*) - 1) * len(regexp_extract_all(any_value(last), '[^\x20\x09-\x0D]+')), 0) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM p GROUP BY depth, g),
+k AS (SELECT up, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+f AS (
+  SELECT n.*, CASE WHEN n.depth > 0 THEN a.conv_id END AS parent_conv_id, coalesce(k.n_children, 0) AS n_children
+  FROM n LEFT JOIN n a ON a.depth = n.depth - 1 AND a.g = n.up LEFT JOIN k ON k.depth = n.depth AND k.up = n.g),
+s AS (
+  SELECT p.depth, p.g, sum(CAST(f.n_children = 0 AS INT)) AS n_leaves, sum(f.saved) AS saved_tokens
+  FROM f JOIN p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.depth, p.g)
+SELECT conv_id, f.depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM f JOIN s ON s.depth = f.depth AND s.g = f.g
+"""

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reelframe.schema import PRIMARY_KEYS, SCHEMAS
@@ -95,8 +95,33 @@ def tag_rows(table: str, df: DataFrame) -> DataFrame:
 
 def clean_table(table: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (valid rows, rejected rows with ``reject_reason``)."""
-    tagged = tag_rows(table, df)
-    return tagged.filter(F.col(REASON).isNull()).drop(REASON), tagged.filter(F.col(REASON).isNotNull())
+    return valid_rows(table, df), tag_rows(table, df).filter(F.col(REASON).isNotNull())
+
+
+def valid_rows(table: str, df: DataFrame) -> DataFrame:
+    """The rows that ``tag_rows`` gives no reason, by one scan and one aggregate: of the
+    rows that pass the rules, those whose key occurs once (for characters: one of each
+    set of equal rows)."""
+    cols = [c for c in df.columns if c != UNPARSABLE]
+    passed = df.filter(reject_reason(table, df.columns).isNull()).select(*cols)
+    if table == "characters":
+        return passed.distinct()
+    pk = [k for k in PRIMARY_KEYS.get(table, []) if k in cols]
+    if not pk:
+        return passed
+    keys = passed.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in cols if c not in pk])
+    return keys.filter(F.col("_n") == 1).select(*cols)
+
+
+REPEATED = 10_000
+
+
+def _repeat(df: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` over, in steps that bound the arrays."""
+    steps = F.explode(F.sequence(F.lit(0), F.floor((times - 1) / REPEATED)))
+    d = df.withColumn("_times", times).where("_times > 0").withColumn("_step", steps)
+    left = F.least(F.lit(REPEATED), F.col("_times") - F.col("_step") * REPEATED).cast("int")
+    return d.withColumn("_copy", F.explode(F.sequence(F.lit(1), left))).drop("_times", "_step", "_copy")
 
 
 def record_key(table: str, df: DataFrame) -> Column:
@@ -106,12 +131,26 @@ def record_key(table: str, df: DataFrame) -> Column:
 
 
 def quarantine(tables: dict[str, DataFrame]) -> DataFrame:
-    """All rejected rows of several tables: ``table_name, record_key, reject_reason``."""
+    """All rejected rows of several tables: ``table_name, record_key, reject_reason``.
+
+    One scan and one aggregate per table: rows are counted by key and reason, and a key
+    that passed the rules more than once is a conflict (for characters, whose key is
+    the whole row, all but one are surplus).  Then every count becomes that many rows."""
     parts = []
     for name, df in tables.items():
-        _, rejected = clean_table(name, df)
-        parts.append(rejected.select(F.lit(name).alias("table_name"),
-                                     record_key(name, rejected).alias("record_key"), REASON))
+        pk = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns]
+        # without a key no row conflicts
+        keys = pk or [c for c in df.columns if c != UNPARSABLE]
+        counted = (df.withColumn(REASON, reject_reason(name, df.columns)).groupBy(*keys, REASON)
+                   .agg(F.count(F.lit(1)).alias("_n")))
+        if name == "characters":
+            surplus, conflict = F.col("_n") - 1, "duplicate_row"
+        else:
+            surplus, conflict = F.when(F.col("_n") > 1, F.col("_n")).otherwise(0) if pk else F.lit(0), "duplicate_key"
+        times = F.when(F.col(REASON).isNotNull(), F.col("_n")).otherwise(surplus).cast("bigint")
+        rows = counted.select(F.lit(name).alias("table_name"), record_key(name, df).alias("record_key"),
+                              F.coalesce(REASON, F.lit(conflict)).alias(REASON), times.alias("_rows"))
+        parts.append(_repeat(rows.where("_rows > 0"), F.col("_rows")).drop("_rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -137,11 +176,13 @@ def load_report(tables: dict[str, DataFrame]) -> DataFrame:
     return out.withColumn("rows_dropped", F.col("rows_read") - F.col("rows_kept"))
 
 
-def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) -> dict[str, DataFrame]:
+def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True,
+                observed: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
     """S7 + S8 + C1-C8: clean every table (parent-first order of ``tables``) and write
     valid and rejected rows in one job to ``root/<table>``, partitioned by
     ``status`` (``valid`` / ``rejected``, with ``reject_reason``); return the stored
-    valid rows (a partition-pruned read).
+    valid rows (a partition-pruned read).  ``observed`` is filled with each table's
+    counts as the writing job sees them (see ``observed_report``).
 
     Reading the written tables back cuts the lineage: later audits and
     questions scan Parquet instead of re-deriving the cleaning.  Overwrite per
@@ -151,11 +192,37 @@ def load_tables(tables: dict[str, DataFrame], root: str, clean: bool = True) ->
     for name, df in tables.items():
         both = tag_rows(name, df) if clean else df.withColumn(REASON, F.lit(None).cast("string"))
         both = both.withColumn("status", F.when(F.col(REASON).isNull(), "valid").otherwise("rejected"))
-        both.write.mode("overwrite").partitionBy("status").parquet(f"{root}/{name}")
+        written = both
+        if observed is not None:
+            observed[name] = Observation(f"load {name}")
+            reasons = {r: F.count_if(F.col(REASON) == r) for r in possible_reasons(name, df.columns)}
+            written = both.observe(observed[name], F.count(F.lit(1)).alias("rows_read"),
+                                   F.count_if(F.col(REASON).isNull()).alias("rows_kept"),
+                                   *[n.alias(f"dropped {r}") for r, n in reasons.items()])
+        written.write.mode("overwrite").partitionBy("status").parquet(f"{root}/{name}")
         out[name] = stored_rows(df.sparkSession, root, name, schema=both.schema)
     return out
 
 
+def possible_reasons(table: str, columns: list[str]) -> list[str]:
+    """Every ``reject_reason`` that a row of the table can get."""
+    reasons = [r for r, _ in _rules(table, columns)]
+    if UNPARSABLE in columns:
+        reasons += [f"{f.name}_unparsable" for f in SCHEMAS[table].fields if f.name in columns]
+    return reasons + ["duplicate_row" if table == "characters" else "duplicate_key"]
+
+
+def observed_report(spark, observed: dict[str, Observation]) -> DataFrame:
+    """S9 without another job: (table_name, reason, rows) from the counts that the
+    writing jobs made; reasons are ``read``, ``kept`` and those of dropped rows, if any."""
+    rows = []
+    for name, seen in observed.items():
+        counts = seen.get
+        rows += [(name, "read", counts["rows_read"]), (name, "kept", counts["rows_kept"])]
+        rows += [(name, k.removeprefix("dropped "), n) for k, n in counts.items() if k.startswith("dropped ") and n]
+    return spark.createDataFrame(rows, "table_name string, reason string, rows long")
+
+
 def stored_rows(spark, root: str, table: str, status: str = "valid", schema=None) -> DataFrame:
     """Valid (or rejected) rows of a table written by ``load_tables``; with its
     ``schema`` a table that was written without rows reads as empty."""

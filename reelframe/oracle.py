@@ -28,6 +28,7 @@ PARAMS = {
     "q9_min_films": 10,
     "film_title": "Order 7",
     "sample_min_votes": 300,
+    "zorder_bounds": ((1996, 1997), 5.5, 150),
 }
 
 P = PARAMS
@@ -705,6 +706,80 @@ SELECT CAST(movie_id AS VARCHAR) AS movie_id,
     }
 
 
+def _inferred(tables: dict[str, list[str]]) -> str:
+    """Types of text columns from what their values look like (missing, whole numbers,
+    numbers with a point, text: the steps that the dirty texts have)."""
+    missing = "v IS NULL OR v IN ('', 'NULL', 'NA', 'N/A', 'nan', 'NaN', 'n/a', 'null')"
+    cells = " UNION ALL ".join(f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, {c} AS v FROM text_{t}"
+                               for t, cols in tables.items() for i, c in enumerate(cols))
+    return f"""
+, cells AS ({cells}),
+s AS (SELECT *, CASE WHEN {missing} THEN 0 WHEN regexp_full_match(v, '[0-9]+') THEN 1
+  WHEN regexp_full_match(v, '[0-9]+[.][0-9]+') THEN 2 ELSE 3 END AS step,
+  length(regexp_extract(v, '^0*([0-9]*)', 1)) AS whole, length(regexp_extract(v, '[.]([0-9]*)', 1)) AS scale FROM cells),
+c AS (SELECT table_name, position, column_name, count(*) AS n_rows, count(*) FILTER (step = 0) AS n_missing, max(step) AS top,
+  max(whole) FILTER (step IN (1, 2)) AS whole, max(scale) FILTER (step IN (1, 2)) AS scale,
+  min(v) FILTER (step = 1) AS w1, min(v) FILTER (step = 2) AS w2, min(v) FILTER (step = 3) AS w3 FROM s GROUP BY ALL)
+SELECT table_name, CAST(position AS INTEGER) AS position, column_name, n_rows, n_missing,
+  ['missing', 'integer', 'decimal', 'text'][top + 1] AS step, CASE top WHEN 1 THEN 'bigint'
+    WHEN 2 THEN 'decimal(' || (whole + scale) || ',' || scale || ')' WHEN 3 THEN 'string' ELSE 'double' END AS spark_type,
+  CASE WHEN top = 3 THEN 'object' WHEN top = 1 AND n_missing = 0 THEN 'int64' ELSE 'float64' END AS pandas_type,
+  [w1, w2, w3][top] AS witness FROM c"""
+
+
+# The dirty texts of raw_views.py.
+TEXT_MOVIES = """text_movies AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS movie_id, o_orderstatus AS title_type,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'NULL' ELSE 'T' END AS primary_title,
+    CASE o_orderkey % 5 WHEN 0 THEN year(o_orderdate) || '.0' WHEN 1 THEN 'NA' WHEN 2 THEN year(o_orderdate) || '.5'
+      ELSE CAST(year(o_orderdate) AS VARCHAR) END AS start_year,
+    CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'N/A' WHEN 2 THEN '90.0' WHEN 3 THEN 'x' WHEN 4 THEN 'nan'
+      ELSE CAST(o_orderkey % 200 AS VARCHAR) END AS runtime_minutes FROM orders)"""
+TEXT_RATINGS = """text_ratings AS (
+  SELECT CAST(movie_id AS VARCHAR) AS movie_id, CASE movie_id % 6 WHEN 0 THEN 'NaN' WHEN 1 THEN 'n/a' WHEN 2 THEN 'bad'
+      WHEN 3 THEN '7' ELSE '8.25' END AS average_rating,
+    CASE movie_id % 4 WHEN 0 THEN num_votes || '.0' WHEN 1 THEN 'null' ELSE CAST(num_votes AS VARCHAR) END AS num_votes
+  FROM ratings)"""
+
+
+def _ingest() -> dict[str, str]:
+    y, r, v = P["zorder_bounds"]
+    films = ("(SELECT movie_id, primary_title AS title, start_year, average_rating, num_votes "
+             "FROM movies JOIN ratings USING (movie_id))")
+    lookups = [(films, "title", P["film_title"]), (films, "title", "no such title"), (films, "movie_id", 7),
+               (films, "movie_id", -7), ("principals", "person_id", 3), ("principals", "person_id", -3)]
+    quoted = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    report = "\nUNION ALL\n".join(
+        f"SELECT table_name, '{label}' AS reason, {column} AS rows FROM ({_cleaning()['load_report']}) r"
+        for label, column in (("read", "rows_read"), ("kept", "rows_kept")))
+    return {
+        "csv_inferred_types": f"WITH {TEXT_MOVIES}, {TEXT_RATINGS}" + _inferred({
+            "movies": ["movie_id", "title_type", "primary_title", "start_year", "runtime_minutes"],
+            "ratings": ["movie_id", "average_rating", "num_votes"]}),
+        "csv_inferred_movies": f"WITH {TEXT_MOVIES}\n" + """
+SELECT CAST(movie_id AS BIGINT) AS movie_id, title_type, nullif(primary_title, 'NULL') AS primary_title,
+  TRY_CAST(start_year AS DECIMAL(5, 1)) AS start_year,
+  CASE WHEN runtime_minutes NOT IN ('', 'N/A', 'nan') THEN runtime_minutes END AS runtime_minutes FROM text_movies""",
+        "csv_multiline": ("SELECT doc_id, lang, source, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5 "
+                          "FROM documents"),
+        "csv_discovered": (
+            "SELECT 'genres' AS table_name, count(*) AS rows, 'movie_id string, genre string' AS types FROM genres "
+            "UNION ALL SELECT 'persons', count(*), 'person_id string, name string' "
+            "FROM persons UNION ALL SELECT 'parts_list', count(*), 'p_partkey bigint, p_name string, p_size bigint' "
+            "FROM part"),
+        "append_batches": ("SELECT CASE WHEN start_year < 1998 THEN 'early' ELSE 'late' END AS batch_id, count(*) AS rows, "
+                           "count(DISTINCT movie_id) AS films FROM movies GROUP BY 1"),
+        "load_observed": report + "\nUNION ALL\nSELECT table_name, reject_reason AS reason, count(*) AS rows "
+                         f"FROM ({_cleaning()['quarantine']}) q GROUP BY ALL",
+        "layout_zorder": (f"SELECT * FROM {films} f WHERE start_year BETWEEN {y[0]} AND {y[1]} "
+                          f"AND average_rating >= {r} AND num_votes >= {v}"),
+        "layout_zorder_files": "SELECT CAST(16 AS BIGINT) AS zorder_files, CAST(16 AS BIGINT) AS title_files, TRUE AS fewer_files",
+        "layout_bloom": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, '{v}' AS value, count(*) AS rows FROM {t} t WHERE {c} = {quoted(v)}"
+            for t, c, v in lookups),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     raw: dict[str, str] = {}
     raw.update(_sql_form())
@@ -715,6 +790,7 @@ def oracle_queries() -> dict[str, str]:
     raw.update(_integrity())
     raw.update(_profiling())
     raw.update(_storage())
+    raw.update(_ingest())
     extra = dict(DOC_VIEWS)
     extra.update(RAW_VIEW_SQL)
     return {key: with_views(sql, extra) for key, sql in raw.items()}

@@ -25,7 +25,7 @@ from reelframe.plans import nested_form as N
 from reelframe.plans import sql_form as S
 from reelframe.schema import AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN, LOAD_ORDER
 from reelframe.session import scratch_folder
-from reelframe.sources import csv_ingest, sinks
+from reelframe.sources import csv_ingest, csv_records, inference, layout, sinks
 from reelframe.sources.catalog import CATALOG_TABLES, Catalog
 from reelframe.sources.raw_views import RawCatalog
 from reelframe.streaming import clean_stream
@@ -288,6 +288,117 @@ def storage() -> dict[str, Query]:
             "file_inventory": inventory, "film_full_layout": layout}
 
 
+# -- files without a declared schema, batches, layouts for lookups ----------------
+
+ZORDER = ["start_year", "average_rating", "num_votes"]
+ZFILES = 16
+
+
+def _films(cat) -> DataFrame:
+    """Flat films: the columns that lookups filter on."""
+    return cat.movies.join(cat.ratings, "movie_id").select(
+        "movie_id", F.col("primary_title").alias("title"), "start_year", "average_rating", "num_votes")
+
+
+def ingest() -> dict[str, Query]:
+    def exported(spark, d, names):
+        root, raw = scratch(spark, "csv-text"), RawCatalog(Catalog(spark, d))
+        for name in names:
+            csv_ingest.export_csv(getattr(raw, f"text_{name}"), f"{root}/{name}.csv")
+        return root
+
+    def inferred_types(spark, d):
+        """Types of the dirty exports, each from the merged states of two halves."""
+        root, parts = exported(spark, d, ["movies", "ratings"]), []
+        for name in ("movies", "ratings"):
+            text = csv_ingest.normalise_headers(csv_records.read_quoted_csv(spark, f"{root}/{name}.csv"))
+            odd = F.xxhash64("movie_id") % 2 != 0
+            state = inference.merge_states([inference.type_state(text.where(odd)), inference.type_state(text.where(~odd))])
+            parts.append(inference.column_types(state).select(F.lit(name).alias("table_name"), "*"))
+        return parts[0].union(parts[1])
+
+    def inferred_rows(spark, d):
+        return inference.read_inferred_csv(spark, f"{exported(spark, d, ['movies'])}/movies.csv")
+
+    def multiline(spark, d):
+        """Whole documents, line feeds and quotes included, through a CSV file."""
+        root = scratch(spark, "csv-lines")
+        docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", "source", "text")
+        csv_ingest.export_csv(docs, f"{root}/documents.csv")
+        back = csv_ingest.normalise_headers(csv_records.read_quoted_csv(spark, f"{root}/documents.csv"))
+        return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "source",
+                           F.length("text").cast("bigint").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+    def discovered(spark, d):
+        """Tables found in a folder, known and unknown ones, with rows and types."""
+        root, cat = scratch(spark, "csv-found"), Catalog(spark, d)
+        for name, df in {"Genres": cat.genres, "persons": cat.persons, "Parts_List": cat.source("part").select(
+                "p_partkey", "p_name", "p_size")}.items():
+            csv_ingest.export_csv(df, f"{root}/{name}.csv")
+        parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "rows", F.lit(", ".join(
+                f"{c} {t}" for c, t in df.drop(cleaning.UNPARSABLE).dtypes)).alias("types"))
+            for name, df in inference.read_directory(spark, root).items()]
+        return parts[0].union(parts[1]).union(parts[2])
+
+    def batches(spark, d):
+        """Rows per batch after one was appended twice and another was replaced."""
+        root, movies = scratch(spark, "batches"), Catalog(spark, d).movies
+        first, second = movies.where("start_year < 1998"), movies.where("start_year >= 1998")
+        for df, batch in ((first, "early"), (second.limit(3), "late"), (first, "early"), (second, "late")):
+            sinks.append_batch(df, root, "movies", batch)
+        return spark.read.parquet(sinks.table_path(root, "movies")).groupBy(sinks.BATCH).agg(
+            F.count(F.lit(1)).alias("rows"), F.countDistinct("movie_id").alias("films"))
+
+    def observed_load(spark, d):
+        raw, seen = RawCatalog(Catalog(spark, d)), {}
+        cleaning.load_tables(_raw_tables(raw), scratch(spark, "observed"), observed=seen)
+        return cleaning.observed_report(spark, seen)
+
+    def zorder(spark, d):
+        path = scratch(spark, "zorder")
+        layout.write_zorder(_films(Catalog(spark, d)), path, ZORDER, ZFILES)
+        films = spark.read.parquet(path)
+        y, r, v = P["zorder_bounds"]
+        return films.where(F.col("start_year").between(*y) & (F.col("average_rating") >= r) & (F.col("num_votes") >= v))
+
+    def zorder_files(spark, d):
+        """How many files the filter leaves to be read in Z-order and sorted by title."""
+        films, found = _films(Catalog(spark, d)), []
+        y, r, v = P["zorder_bounds"]
+        bounds = {"start_year": y, "average_rating": (r, None), "num_votes": (v, None)}
+        for label in ("zorder", "title"):
+            path = scratch(spark, label)
+            if label == "zorder":
+                layout.write_zorder(films, path, ZORDER, ZFILES)
+            else:
+                sinks.write_layout(films, path, sort_by=["title"], num_files=ZFILES)
+            read = layout.files_to_read(layout.file_ranges(spark.read.parquet(path), ZORDER), bounds)
+            found.append(read.select(F.lit(label).alias("layout"), "files", "files_read"))
+        both = found[0].union(found[1]).groupBy().pivot("layout", ["zorder", "title"]).agg(
+            F.first("files").alias("files"), F.first("files_read").alias("read"))
+        return both.select("zorder_files", "title_files", (F.col("zorder_read") < F.col("title_read")).alias("fewer_files"))
+
+    def bloom(spark, d):
+        """Equality lookups, present and absent, on unsorted columns with Bloom filters."""
+        root, cat = scratch(spark, "bloom"), Catalog(spark, d)
+        sinks.write_layout(_films(cat), f"{root}/films", bloom={"title": 1 << 20, "movie_id": 1 << 20})
+        sinks.write_layout(cat.principals, f"{root}/principals", bloom={"person_id": 1 << 16})
+        films, cast = (spark.read.parquet(f"{root}/{t}") for t in ("films", "principals"))
+        wanted = [(films, "title", P["film_title"]), (films, "title", "no such title"), (films, "movie_id", 7),
+                  (films, "movie_id", -7), (cast, "person_id", 3), (cast, "person_id", -3)]
+        parts = [df.where(F.col(c) == v).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(c).alias("column_name"), F.lit(str(v)).alias("value"), "rows") for df, c, v in wanted]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.union(p)
+        return out
+
+    return {"csv_inferred_types": inferred_types, "csv_inferred_movies": inferred_rows, "csv_multiline": multiline,
+            "csv_discovered": discovered, "append_batches": batches, "load_observed": observed_load,
+            "layout_zorder": zorder, "layout_zorder_files": zorder_files, "layout_bloom": bloom}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for key, fn in {**questions(), **documents()}.items():
@@ -295,4 +406,5 @@ def all_queries() -> dict[str, Query]:
     for key, fn in data_quality().items():
         out[key] = (lambda f: lambda spark, d: f(RawCatalog(Catalog(spark, d))))(fn)
     out.update(storage())
+    out.update(ingest())
     return out

@@ -118,4 +118,5 @@ def export_csv(df: DataFrame, path: str, headers: dict[str, str] | None = None)
     inverse = {v: k for k, v in COLUMN_MAP.items()}
     names = [(headers or {}).get(c, f"('{inverse.get(c, c)}',)") for c in df.columns]
     (df.toDF(*names).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("quoteAll", False).csv(path))

@@ -11,6 +11,7 @@ spanning set of links for the components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +23,25 @@ from reelframe.llm.common import digest_pair, runs, settle, stored, table
 from reelframe.llm.components import connected_components
 
 THRESHOLD = 0.95
-TABLES = 24  # at cosine 0.95 two vectors share some bucket with probability 0.998
-BITS = 14
+MISS = 0.002  # probability that two vectors at the threshold share no bucket
 BLOCK = 512
 SEED = 20240229
 
 
+def hash_size(classes: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """(tables, bits) for so many different vectors: about one of them to a bucket, and
+    as many tables as keep the chance of missing a pair at the threshold at ``MISS``."""
+    bits = max(8, math.ceil(math.log2(max(classes, 1))))
+    agree = (1 - math.acos(min(threshold, 1.0)) / math.pi) ** bits
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-agree))) if agree < 1 else 1, bits
+
+
+def scaled(v: np.ndarray) -> np.ndarray:
+    """``v`` by the power of two that brings its largest entry near one: exact, and
+    squares neither overflow nor vanish."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max())[1])
+
+
 def planes(dim: int, tables: int, bits: int) -> np.ndarray:
     return np.random.default_rng(SEED + dim).standard_normal((dim, tables * bits))
 
@@ -37,8 +51,8 @@ def _signer(tables: int, bits: int):
         weigh = 1 << np.arange(bits, dtype=np.int64)
         by_dim: dict[int, np.ndarray] = {}
         for batch in batches:
-            vectors = [np.asarray(x.as_py(), np.float64) for x in batch.column(2)]
-            sigs = np.zeros((len(vectors), tables), np.int32)
+            vectors = [scaled(np.asarray(x.as_py(), np.float64)) for x in batch.column(2)]
+            sigs = np.zeros((len(vectors), tables), np.int64)
             dims = np.array([len(v) for v in vectors])
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
@@ -75,7 +89,7 @@ def _comparer(threshold: float):
             rep, size = run.column("rep").to_numpy(), run.column("size").to_numpy()
             x = np.stack([np.frombuffer(v.as_py(), np.float64) for v in run.column("vector")])
             x = x / np.sqrt((x * x).sum(axis=1))[:, None]
-            sigs = np.stack([np.asarray(s.as_py(), np.int32) for s in run.column("sigs")])
+            sigs = np.stack([np.asarray(s.as_py(), np.int64) for s in run.column("sigs")])
             rows = np.flatnonzero(block == left)
             cols = np.flatnonzero(block == right)
             links = np.zeros(len(rep), np.int64)
@@ -105,30 +119,34 @@ def _comparer(threshold: float):
     return compare
 
 
-def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES,
-                    bits: int = BITS, block: int = BLOCK) -> DataFrame:
+def link_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None = None,
+                    bits: int | None = None, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id) per row of (vec_id, embedding).
 
     Vectors that are null, empty, zero or hold null or non-finite components,
     and rows without an id, link with nothing.  Equal vectors are linked; repeated
     rows count as separate vectors; rows that share an id share its component.
     Vectors of different length are never compared.  Other columns are ignored.
+    ``tables`` and ``bits`` follow from the number of different vectors unless given.
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                        F.col("embedding").cast("array<double>").alias("e"))
     return settle(vectors.sparkSession, "embedding-links", lambda: _links(v, threshold, tables, bits, block))
 
 
-def _links(v: DataFrame, threshold: float, tables: int, bits: int, block: int) -> DataFrame:
+def _links(v: DataFrame, threshold: float, tables: int | None, bits: int | None, block: int) -> DataFrame:
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     ok = (F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))
           & F.coalesce(F.exists("e", lambda x: x != 0), F.lit(False)))
     good = v.where(ok).select("vec_id", "e", *digest_pair(F.size("e"), "e"))
     classes = good.groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"),
                                            F.first("e").alias("e"))
+    classes = stored(classes, "classes")
+    most_tables, most_bits = hash_size(classes.count(), threshold)
+    tables, bits = tables or most_tables, bits or most_bits
     signed = stored(classes.select("k1", "k2", "e", "rep", "size").mapInArrow(
         _signer(tables, bits),
-        "k1 long, k2 long, vector binary, rep long, size long, sigs array<int>"), "signs")
+        "k1 long, k2 long, vector binary, rep long, size long, sigs array<bigint>"), "signs")
     spread = signed.select("k1", "k2", F.octet_length("vector").alias("dim"), F.posexplode("sigs").alias("tab", "sig"))
     full = (spread.groupBy("dim", "tab", "sig").count().where("count > 1")
             .withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count"))

@@ -41,9 +41,13 @@ def render(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), " ")
 
 
-def merge(a: Column, b: Column) -> Column:
-    """Sketch of the union of two shingle sets."""
-    return F.sort_array(F.array_union(a, b))
+def merge(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Sketch of the union of two shingle sets: the hashes below the bound, or the
+    smallest one if there are none."""
+    bound = -(1 << 63) + (1 << 64) // scale
+    both = F.sort_array(F.array_union(a, b))
+    below = F.filter(both, lambda h: h < bound)
+    return F.when(F.size(below) > 0, below).otherwise(F.slice(both, 1, 1))
 
 
 def containment(small: Column, large: Column) -> Column:

@@ -119,7 +119,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP, schedule
     d = stored(d.drop("offset", "inner_start", "bucket"), "mix-order")
     # what is left of each source's target, and the unused copy that fits it best
     left = d.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("left"),
-                                   F.min("copies").alias("done"))
+                                   F.min(F.when(F.col("size") > 0, F.col("copies"))).alias("done"))
     free = _join(d, left, ["source"]).where((F.col("copies") == F.col("done")) & (F.col("copies") < cap)
                                             & (F.col("size") > 0) & (F.col("size") < 2 * F.col("left")))
     best = free.groupBy("source").agg(

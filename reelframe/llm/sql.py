@@ -48,7 +48,7 @@ c AS (
     + CAST(source_size + start + size <= target AS INT) END AS copies FROM p),
 l AS (
   SELECT *, target - sum(size * copies) OVER (PARTITION BY source) AS gap,
-    min(copies) OVER (PARTITION BY source) AS done FROM c),
+    min(copies) FILTER (size > 0) OVER (PARTITION BY source) AS done FROM c),
 b AS (
   SELECT *, CASE WHEN copies = done AND copies < 2 AND size > 0 AND size < 2 * gap THEN
     row_number() OVER (PARTITION BY source,

@@ -64,3 +64,22 @@ def test_odd_vectors(spark):
     assert got == [(0, 0, None), (1, 3, 1), (2, 3, 1), (3, 3, 1), (3, 3, 1), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7),
                    (8, 0, 8), (9, 0, 9), (10, 0, 10), (11, 0, 11), (12, 0, 12)]
     assert em.link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_extreme_magnitudes(spark):
+    rows = [(1, [1e-200, 0.5e-200]), (2, [1e-200, 1.2e-200]), (3, [2e-200, 1e-200]), (4, [1e200, 2e200]),
+            (5, [2e200, 4e200]), (6, [1e-320, 0.0]), (7, [3.0, 0.0]), (8, [1.7e308, -1.7e308]), (9, [1.0, -1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in em.link_embeddings(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    # (1, 1.2) and (1, 2) are at cosine 0.973, (1, 0.5) and (1, 1.2) at 0.92
+    assert got == {1: (1, 1), 2: (2, 2), 3: (1, 1), 4: (2, 2), 5: (2, 2), 6: (1, 6), 7: (1, 6), 8: (1, 8), 9: (1, 8)}
+
+
+def test_tables_and_bits_follow_the_number_of_vectors():
+    last = (0, 0)
+    for n in (0, 1, 500, 10_000, 1_000_000, 10 ** 10):
+        tables, bits = em.hash_size(n)
+        agree = (1 - np.arccos(0.95) / np.pi) ** bits
+        assert (1 - agree) ** tables <= em.MISS and (tables, bits) >= last
+        assert 2 ** bits >= n
+        last = tables, bits

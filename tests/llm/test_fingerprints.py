@@ -1,3 +1,5 @@
+import random
+
 import hashlib
 
 from pyspark.sql import functions as F
@@ -71,3 +73,16 @@ def test_odd_and_empty_tables(spark, tmp_path):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out)
     empty_docs(spark).write.parquet(str(tmp_path / "b/documents.parquet"))
     assert fp.op9_fingerprints(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_merge_is_the_sketch_of_the_union(spark):
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(60):
+        a, b = ([f"{w}" for w in rnd.sample(range(60), rnd.randint(0, 12))] for _ in range(2))
+        rows.append((" ".join(a), " ".join(b)))
+    df = spark.createDataFrame(rows, "a string, b string").select(
+        fp.sketch(F.col("a"), 1).alias("x"), fp.sketch(F.col("b"), 1).alias("y"),
+        fp.sketch(F.concat_ws(" ", "a", "b"), 1).alias("both"))
+    for r in df.select(fp.merge(F.col("x"), F.col("y")).alias("merged"), "both").collect():
+        assert r.merged == r.both

@@ -99,3 +99,17 @@ def test_odd_and_empty_tables(spark):
     assert abs(out.select(F.sum(mx.word_count("text"))).first()[0] - 1.5 * words) < 30_000
     assert out.where("text IS NULL OR trim(text) = ''").count() == 0
     assert mx.mix_documents(empty_docs(spark)).count() == 0
+
+
+def test_blank_documents_do_not_hinder_the_closing_one(spark):
+    sizes = [int(40 + 37 * i % 101) for i in range(300)]
+    rows = [(i, "ab"[i % 2], n) for i, n in enumerate(sizes)]
+    taken = {}
+    for blanks in (0, 3):
+        df = spark.createDataFrame(rows + [(1000 + i, s, 0) for s in "ab" for i in range(blanks)],
+                                   "doc_id long, source string, size long")
+        got = mx.mix_sources(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+        taken[blanks] = {r.source: r.taken for r in got.collect()}
+        for r in got.collect():
+            assert abs(r.taken - r.target) <= max(sizes)
+    assert taken[0] == taken[3]

@@ -24,14 +24,15 @@ from reelframe.llm.components import connected_components
 
 THRESHOLD = 0.95
 MISS = 0.002  # probability that two vectors at the threshold share no bucket
+PER_BUCKET = 16
 BLOCK = 512
 SEED = 20240229
 
 
 def hash_size(classes: int, threshold: float = THRESHOLD) -> tuple[int, int]:
-    """(tables, bits) for so many different vectors: about one of them to a bucket, and
-    as many tables as keep the chance of missing a pair at the threshold at ``MISS``."""
-    bits = max(8, math.ceil(math.log2(max(classes, 1))))
+    """(tables, bits) for so many different vectors: about ``PER_BUCKET`` of them to a bucket,
+    and as many tables as keep the chance of missing a pair at the threshold at ``MISS``."""
+    bits = max(8, math.ceil(math.log2(max(classes / PER_BUCKET, 1))))
     agree = (1 - math.acos(min(threshold, 1.0)) / math.pi) ** bits
     return max(1, math.ceil(math.log(MISS) / math.log1p(-agree))) if agree < 1 else 1, bits
 

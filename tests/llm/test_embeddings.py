@@ -81,5 +81,5 @@ def test_tables_and_bits_follow_the_number_of_vectors():
         tables, bits = em.hash_size(n)
         agree = (1 - np.arccos(0.95) / np.pi) ** bits
         assert (1 - agree) ** tables <= em.MISS and (tables, bits) >= last
-        assert 2 ** bits >= n
+        assert 2 ** bits * em.PER_BUCKET >= n
         last = tables, bits

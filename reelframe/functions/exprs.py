@@ -87,6 +87,14 @@ def histogram_bucket(value: str | Column, edges: Sequence[float]) -> Column:
     return F.when((v >= lo) & (v <= hi), idx.cast("int"))
 
 
+def rank_of(value: Column, cuts: Column, bits: int) -> Column:
+    """Number of cuts at or below ``value``, found by halving; nulls rank first."""
+    halves = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+    # the cut that ends the lower half decides each step
+    at = F.aggregate(halves, F.lit(0), lambda at, half: at + F.when(F.get(cuts, at + half - 1) <= value, half).otherwise(0))
+    return F.when(value.isNull() | F.isnan(value) | cuts.isNull(), F.lit(0)).otherwise(at)
+
+
 def one_row(*frames: DataFrame) -> DataFrame:
     """The columns of several one-row frames side by side (a union and a maximum:
     no join without a key)."""

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelframe.functions import pct
+from reelframe.functions.exprs import rank_of
 
 STD_DECIMALS = 6  # moments are accumulated differently across engines; last bits differ
-FAN = 32  # FAN * FAN buckets per column; they steer balance only, never the result
+BUCKET_BITS = 10
+BUCKETS = 1 << BUCKET_BITS  # per column; they steer balance only, never the result
 APPROX_ACCURACY = 1_000_000
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -102,15 +104,12 @@ def exact_quantiles(values: DataFrame, keys: list[str], probs: list[float]) -> D
     (non-null) key, nulls and NaN left out."""
     counts = (values.where(F.col("value").isNotNull() & ~F.isnan("value"))
               .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
-    steps = F.array(*[F.lit(i / FAN ** 2) for i in range(1, FAN ** 2)])
-    cuts = counts.groupBy(*keys).agg(F.percentile_approx("value", steps, 10 * FAN ** 2).alias("cuts"))
-    every = F.sequence(F.lit(FAN), F.lit(FAN ** 2 - FAN), F.lit(FAN))
-    cuts = cuts.withColumn("coarse", F.transform(every, lambda i: F.get("cuts", i - 1)))
-    # one row per key: bounded; the bucket is the number of cuts below the value
-    below = lambda a: F.size(F.filter(a, lambda c: c < F.col("value")))
-    placed = counts.join(F.broadcast(cuts), keys).withColumn("c", below("coarse") * FAN)
-    placed = placed.withColumn("bucket", F.col("c") + below(F.slice("cuts", F.col("c") + 1, FAN))).drop(
-        "cuts", "coarse", "c")
+    steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    # the filter makes this read the same counts as the steps below, which share one exchange
+    cuts = counts.where("n > 0").groupBy(*keys).agg(F.percentile_approx("value", steps, 10 * BUCKETS).alias("cuts"))
+    # one row per key: bounded; the bucket is the number of cuts at or below the value
+    placed = counts.join(F.broadcast(cuts), keys)
+    placed = placed.select(*keys, "value", "n", rank_of(F.col("value"), F.col("cuts"), BUCKET_BITS).alias("bucket"))
     by_bucket = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("held"))
     upto = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)

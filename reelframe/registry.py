@@ -16,7 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.operators import cleaning, distributions, integrity, profiling, transfer
+from reelframe.operators import (cleaning, distributions, integrity, name_index, profiling, sketches,
+                                 transfer)
 from reelframe.operators.nesting import render_documents, sample_document
 from reelframe.oracle import PARAMS as P
 from reelframe.plans import collection_form as C
@@ -176,10 +177,13 @@ scratch = scratch_folder
 
 
 def storage() -> dict[str, Query]:
+    copies: dict[tuple[str, str], dict[str, str]] = {}  # of this process, by session and source
+
     def copied(spark, d):
-        cat = Catalog(spark, d)
-        paths = transfer.copy_tables(cat.tables(), scratch(spark, "copy"))
-        return cat, transfer.read_tables(spark, paths), paths
+        cat, key = Catalog(spark, d), (spark.sparkContext.applicationId, d)
+        if key not in copies:
+            copies[key] = transfer.copy_tables(cat.tables(), scratch(spark, "copy"))
+        return cat, transfer.read_tables(spark, copies[key]), copies[key]
 
     def verify(spark, d):
         cat, target, _ = copied(spark, d)
@@ -198,32 +202,53 @@ def storage() -> dict[str, Query]:
         cat, _, paths = copied(spark, d)
         return cat, paths, {"movies_complete": stored_docs(spark, cat)}
 
-    # sizes differ between runs of any writer: the queries report what must hold of them
+    # sizes differ between runs of any writer: the queries compare what the operators
+    # report with the file system's own listing
+    def listed(spark, path) -> tuple[int, int]:
+        """Bytes and number of the Parquet files of a folder, from the file system."""
+        top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(top)
+        sizes = [f.getLen() for f in files if f.getPath().getName().endswith(".parquet")]
+        return sum(sizes), len(sizes)
+
+    def by_table(values: dict, name="table_name"):
+        return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(name))
+
     def storage_stats(spark, d):
         _, flat, nested = stored(spark, d)
+        found = {t: listed(spark, p) for t, p in {**flat, **nested}.items()}
         s = transfer.storage_stats(spark, {**flat, **nested})
-        exact = F.abs(F.col("avg_row_bytes") * F.col("rows") - F.col("bytes")) < 1
-        return s.select("table_name", "rows", (F.col("files") > 0).alias("has_files"),
-                        (F.col("bytes") > 0).alias("has_bytes"), exact.alias("average_fits"))
+        size = by_table({t: v[0] for t, v in found.items()})
+        return s.select("table_name", "rows", (F.col("files") == by_table({t: v[1] for t, v in found.items()})).alias("files_as_listed"),
+                        (F.col("bytes") == size).alias("bytes_as_listed"),
+                        (F.abs(F.col("avg_row_bytes") - size / F.col("rows")) < 1e-6).alias("average_fits"))
 
     def storage_compare(spark, d):
         _, flat, nested = stored(spark, d)
+        f, n = (sum(listed(spark, p)[0] for p in paths.values()) for paths in (flat, nested))
         c = transfer.storage_compare(transfer.storage_stats(spark, flat), transfer.storage_stats(spark, nested))
-        return c.select((F.col("flat_bytes") > 0).alias("has_flat"), (F.col("nested_bytes") > 0).alias("has_nested"),
-                        (F.abs(F.col("flat_bytes") * (1 + F.col("variation_pct") / 100) - F.col("nested_bytes")) < 1)
-                        .alias("variation_fits"))
+        return c.select((F.col("flat_bytes") == f).alias("flat_as_listed"), (F.col("nested_bytes") == n).alias("nested_as_listed"),
+                        (F.abs(F.col("variation_pct") - (n - f) * 100.0 / f) < 1e-6).alias("variation_fits"))
 
     def largest(spark, d):
+        """Rank of every stored table, against its rank in the listing."""
         _, flat, _ = stored(spark, d)
-        top = transfer.largest_tables(transfer.storage_stats(spark, flat), len(flat))
+        sizes = {t: listed(spark, p)[0] for t, p in flat.items()}
+        order = sorted(sizes, key=lambda t: (-sizes[t], t))
+        top = transfer.largest_tables(transfer.storage_stats(spark, flat), 5)
+        share = by_table({t: n * 100.0 / sum(sizes.values()) for t, n in sizes.items()})
         return top.agg(F.count(F.lit(1)).alias("tables"),
-                       (F.abs(F.sum("share_pct") - 100) < 1e-6).alias("shares_add_up"),
-                       F.bool_and(F.col("size_mb") > 0).alias("all_sized"))
+                       (F.sort_array(F.collect_set("table_name")) == F.lit(sorted(order[:5]))).alias("largest_as_listed"),
+                       F.bool_and(F.abs(F.col("share_pct") - share) < 1e-6).alias("shares_as_listed"),
+                       F.bool_and(F.abs(F.col("size_mb") * 1048576 - by_table(sizes)) < 1).alias("sizes_as_listed"))
 
     def sizes(spark, d):
         cat, _, paths = copied(spark, d)
+        found = {t: listed(spark, p)[0] for t, p in paths.items()}
+        found["TOTAL"] = sum(found.values())
         s = profiling.dataset_summary(cat.tables(), transfer.storage_stats(spark, paths))
-        return s.select("table_name", "rows", "columns", (F.col("size_mb") > 0).alias("sized"))
+        return s.select("table_name", "rows", "columns",
+                        (F.abs(F.col("size_mb") * 1048576 - by_table(found)) < 1).alias("size_as_listed"))
 
     def csv_report(spark, d):
         root = scratch(spark, "csv")
@@ -242,9 +267,17 @@ def storage() -> dict[str, Query]:
         root = scratch(spark, "csv")
         for name, df in _raw_tables(RawCatalog(Catalog(spark, d))).items():
             csv_ingest.export_csv(df, f"{root}/{name}.csv")
-        files = csv_ingest.file_inventory(spark, root)
-        return files.groupBy("table_name").agg((F.count(F.lit(1)) > 0).alias("has_files"),
-                                               (F.sum("size_kb") > 0).alias("has_bytes"))
+        found = {}
+        fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration())
+        for name, paths in csv_records.find_csv(spark, root).items():
+            status = fs.listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths[0]))
+            found[name] = [f.getLen() for f in status if f.getPath().getName().endswith(".csv")]
+        files = csv_ingest.file_inventory(spark, root).groupBy("table_name").agg(
+            F.count(F.lit(1)).alias("files"), F.sum("size_kb").alias("kb"))
+        return files.select("table_name", (F.col("files") == by_table({t: len(v) for t, v in found.items()})).alias("files_as_listed"),
+                            (F.abs(F.col("kb") * 1024 - by_table({t: float(sum(v)) for t, v in found.items()})) < 1e-3)
+                            .alias("bytes_as_listed"))
 
     def lifecycle(spark, d):
         """Rows of each table when created, after an append, after a second append, and emptied."""
@@ -288,6 +321,101 @@ def storage() -> dict[str, Query]:
             "file_inventory": inventory, "film_full_layout": layout}
 
 
+# -- sketches that merge, and the substring index ----------------------------------
+
+PROFILED = ["movies", "ratings", "persons", "principals"]
+
+
+def _halves(df: DataFrame) -> list[DataFrame]:
+    """Two load batches of a table."""
+    odd = F.xxhash64(*df.columns) % 2 != 0
+    return [df.where(odd), df.where(~odd)]
+
+
+def indexes() -> dict[str, Query]:
+    def profiled(spark, d):
+        """The merged sketches of two batches per table, written and read as they would
+        be from load to load, beside the exact profile: counts, and whether the
+        estimates lie within their bounds."""
+        raw, root = RawCatalog(Catalog(spark, d)), scratch(spark, "sketches")
+        for name in PROFILED:
+            for i, part in enumerate(_halves(raw.table(name))):
+                sketches.column_sketches(name, part, f"batch {i}").write.mode("append").parquet(root)
+        found = sketches.estimates(sketches.merge_sketches(spark.read.parquet(root)))
+        exact = profiling.profile_tables({n: raw.table(n) for n in PROFILED})
+        both = found.join(exact.select("table_name", "column_name", F.col("unique_values").alias("exact")),
+                          ["table_name", "column_name"])
+        bound = F.greatest(F.lit(1.0), F.col("exact") * sketches.HLL_ERROR)
+        return both.select("table_name", "column_name", "total_rows", "missing",
+                           (F.abs(F.col("unique_values") - F.col("exact")) <= bound).alias("distinct_in_bound"))
+
+    def ranked(spark, d):
+        """Ranks that the merged sketches' quartiles really have: (column, share, whether
+        the values at most and below it bracket the share, within the bound)."""
+        raw, root = RawCatalog(Catalog(spark, d)), scratch(spark, "quantiles")
+        numbers = raw.table("ratings").select("average_rating", "num_votes")
+        for i, part in enumerate(_halves(numbers)):
+            sketches.column_sketches("ratings", part, f"batch {i}").write.mode("append").parquet(root)
+        probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+        found = sketches.estimates(sketches.merge_sketches(spark.read.parquet(root)), probs)
+        found = found.select("column_name", F.posexplode("q").alias("i", "v")).withColumn(
+            "share", F.get(F.array(*[F.lit(p) for p in probs]), F.col("i")))
+        cells = numbers.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
+                                                  for c in numbers.columns]))).where("x IS NOT NULL")
+        # five rows per column
+        held = cells.join(F.broadcast(found), "column_name").groupBy("column_name", "share").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") <= F.col("v")).alias("upto"),
+            F.count_if(F.col("x") < F.col("v")).alias("below"))
+        e = sketches.RANK_ERROR
+        inside = (F.col("below") / F.col("n") <= F.col("share") + e) & (F.col("upto") / F.col("n") >= F.col("share") - e)
+        return held.select("column_name", "share", F.col("n").alias("values"), inside.alias("in_bound"))
+
+    def bitmap_coverage(spark, d):
+        """Distinct films per child table from the bitmaps of two batches."""
+        tables = _audited_tables(RawCatalog(Catalog(spark, d)))
+        batches = [sketches.bitmap_counts({n: _halves(tables[n])[i] for n in AUDITED_MOVIE_CHILDREN}, "movie_id")
+                   for i in range(2)]
+        merged = sketches.merge_bitmaps(batches[0].union(batches[1]))
+        return sketches.distinct_ids(merged).select(F.col("name").alias("table_name"), F.col("ids").alias("films"))
+
+    def by_index(spark, d, needle):
+        c, root = Catalog(spark, d), scratch(spark, "names")
+        name_index.write_postings(c.persons, "person_id", "name", root)
+        return c, name_index.find_names(c.persons, spark.read.parquet(root), "person_id", "name", needle)
+
+    def q1_indexed(spark, d):
+        c, people = by_index(spark, d, P["q1_name"])
+        return S.q1_filmography(c.movies, c.principals, people, c.genres, c.ratings, P["q1_name"])
+
+    def q6_indexed(spark, d):
+        c, people = by_index(spark, d, P["q6_name"])
+        return S.q6_career(c.movies, c.principals, people, c.ratings, P["q6_name"])
+
+    def search(spark, d):
+        """Part names by needles of one, two, three and more characters."""
+        part, root, found = Catalog(spark, d).source("part").select("p_partkey", "p_name"), scratch(spark, "grams"), []
+        name_index.write_postings(part, "p_partkey", "p_name", root)
+        for needle in P["needles"]:
+            hits = name_index.find_names(part, spark.read.parquet(root), "p_partkey", "p_name", needle)
+            found.append(hits.select(F.lit(needle).alias("needle"), "p_partkey", "p_name"))
+        out = found[0]
+        for f in found[1:]:
+            out = out.union(f)
+        return out
+
+    def bucketed(spark, d):
+        """Films and votes per genre from two tables bucketed by film: no shuffle for the join."""
+        cat, root = Catalog(spark, d), scratch(spark, "bucketed")
+        names = {t: f"reelframe_{t}_{root.rsplit('-', 1)[1]}" for t in ("genres", "ratings")}
+        for t, name in names.items():
+            sinks.write_bucketed(cat.table(t), name, "movie_id", 8, f"{root}/{t}")
+        joined = spark.table(names["genres"]).join(spark.table(names["ratings"]).hint("merge"), "movie_id")
+        return joined.groupBy("genre").agg(F.count(F.lit(1)).alias("films"), F.sum("num_votes").alias("votes"))
+
+    return {"sketch_profile": profiled, "sketch_quantiles": ranked, "bitmap_coverage": bitmap_coverage,
+            "q1_indexed": q1_indexed, "q6_indexed": q6_indexed, "name_search": search, "bucketed_join": bucketed}
+
+
 # -- files without a declared schema, batches, layouts for lookups ----------------
 
 ZORDER = ["start_year", "average_rating", "num_votes"]
@@ -407,4 +535,5 @@ def all_queries() -> dict[str, Query]:
         out[key] = (lambda f: lambda spark, d: f(RawCatalog(Catalog(spark, d))))(fn)
     out.update(storage())
     out.update(ingest())
+    out.update(indexes())
     return out

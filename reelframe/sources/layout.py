@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelframe.functions.exprs import rank_of
+
 BITS = 6  # 64 ranks per column
 ACCURACY = 10_000
 
@@ -23,14 +25,6 @@ def quantile_cuts(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Da
     return df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, ACCURACY).alias(c) for c in columns])
 
 
-def rank_of(value: Column, cuts: Column, bits: int = BITS) -> Column:
-    """Number of cuts at or below ``value``, found by halving; nulls rank first."""
-    halves = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
-    # the cut that ends the lower half decides each step
-    at = F.aggregate(halves, F.lit(0), lambda at, half: at + F.when(F.get(cuts, at + half - 1) <= value, half).otherwise(0))
-    return F.when(value.isNull() | F.isnan(value) | cuts.isNull(), F.lit(0)).otherwise(at)
-
-
 def interleave(ranks: Sequence[Column], bits: int = BITS) -> Column:
     """Bit i of rank j becomes bit ``i * len(ranks) + j``."""
     key = F.lit(0).cast("bigint")

@@ -104,7 +104,7 @@ def exact_quantiles(values: DataFrame, keys: list[str], probs: list[float]) -> D
     (non-null) key, nulls and NaN left out."""
     counts = (values.where(F.col("value").isNotNull() & ~F.isnan("value"))
               .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
-    steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    steps = F.lit([i / BUCKETS for i in range(1, BUCKETS)])
     # the filter makes this read the same counts as the steps below, which share one exchange
     cuts = counts.where("n > 0").groupBy(*keys).agg(F.percentile_approx("value", steps, 10 * BUCKETS).alias("cuts"))
     # one row per key: bounded; the bucket is the number of cuts at or below the value
@@ -154,7 +154,7 @@ def describe_tables(tables: dict[str, DataFrame], exact: bool = True,
     for each numeric column, as doubles."""
     numeric = {n: (columns or {}).get(n) or _numeric_columns(df) for n, df in tables.items()}
     numeric = {n: cols for n, cols in numeric.items() if cols}
-    stats, long = [], []
+    stats, long, labels = [], [], []
     for name, cols in numeric.items():
         x = {c: F.col(c).cast("double") for c in cols}
         stats.append(tables[name].agg(F.array(*[F.struct(
@@ -162,11 +162,16 @@ def describe_tables(tables: dict[str, DataFrame], exact: bool = True,
             F.round(F.stddev_samp(x[c]), STD_DECIMALS).alias("std"), F.min(x[c]).alias("min"),
             F.max(x[c]).alias("max")) for c in cols]).alias("s"))
             .select(F.lit(name).alias("table_name"), F.inline("s")))
-        long.append(tables[name].select(*[x[c].alias(c) for c in cols])
-                    .unpivot([], cols, "column_name", "value")
-                    .select(F.lit(name).alias("table_name"), "column_name", "value"))
+        # a number per column is a smaller key than two names
+        first = len(labels)
+        labels += [(name, c) for c in cols]
+        long.append(tables[name].select(F.inline(F.array(*[
+            F.struct(F.lit(first + i).alias("_column"), x[c].alias("value")) for i, c in enumerate(cols)]))))
     keys = ["table_name", "column_name"]
-    q = quantiles(_union(long), keys, [0.25, 0.5, 0.75], exact)
+    q = quantiles(_union(long), ["_column"], [0.25, 0.5, 0.75], exact)
+    named = F.get(F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in labels]),
+                  F.col("_column"))
+    q = q.select(named.alias("_named"), "q").select("_named.*", "q")
     return (_union(stats).join(q, keys, "left")
             .select(*keys, "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
                     F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max"))

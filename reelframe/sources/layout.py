@@ -21,7 +21,7 @@ ACCURACY = 10_000
 
 def quantile_cuts(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFrame:
     """One row: per column the ascending cuts between 2^bits ranks (null: no values)."""
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    shares = F.lit([i / (1 << bits) for i in range(1, 1 << bits)])
     return df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, ACCURACY).alias(c) for c in columns])
 
 

@@ -5,7 +5,8 @@ so archives land in any file system that Spark can write.  The reader takes plai
 archives and archives of gzip members.  Every record is checked (version line,
 content length, separator, block and payload digests); after a failed check it
 searches for the next member or version line that passes, recovers the records
-behind it, and logs the bytes between as a quarantined gap.
+behind it, and logs the bytes between as a quarantined gap; inside a gzip member of
+several records it does the same over what could be inflated.
 """
 
 from __future__ import annotations
@@ -134,49 +135,74 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     return fields, stop + 4
 
 
-def _member(data: bytes, at: int) -> tuple[list[dict], int]:
-    """Records of the gzip member at ``at``; all of it must be sound."""
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` holds, the offset behind it, and what is wrong
+    with it (then what could be inflated before)."""
     unzip, parts, end = zlib.decompressobj(31), [], at
-    try:
-        while not unzip.eof and end < len(data):
+    while not unzip.eof and end < len(data):
+        before = unzip.copy()
+        try:
             parts.append(unzip.decompress(data[end:end + CHUNK]))
-            end = min(end + CHUNK, len(data))
-    except zlib.error as e:
-        raise ValueError(f"bad member: {e}") from e
+        except zlib.error as e:
+            try:  # byte by byte up to the fault
+                for i in range(end, min(end + CHUNK, len(data))):
+                    parts.append(before.decompress(data[i:i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), end, f"bad member: {e}"
+        end = min(end + CHUNK, len(data))
     if not unzip.eof:
-        raise ValueError("member is cut off")
-    plain, found, pos = b"".join(parts), [], 0
-    while pos < len(plain):
-        record, pos = parse_record(plain, pos)
-        found.append(record)
-    return found, end - len(unzip.unused_data)
-
-
-def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """('record', offset, length, fields) and ('gap', offset, length, reason)."""
-    at = 0
+        return b"".join(parts), end, "member is cut off"
+    return b"".join(parts), end - len(unzip.unused_data), None
+
+
+def _member(data: bytes, at: int) -> tuple[list[tuple[str, object]], int | None, str | None]:
+    """Records and gaps inside the gzip member at ``at``, the offset behind it (None:
+    unknown) and its fault.  The last record of a faulty member may hold the fault and
+    is given up.  ValueError if no record is left."""
+    plain, end, fault = _inflate(data, at)
+    inside = list(salvage(plain, members=False))
+    if fault is not None:
+        records = [(kind, what) for kind, *_, what in inside if kind == "record"][:-1]
+        if not records:
+            raise ValueError(fault)
+        return records, None, fault
+    if plain and not any(kind == "record" for kind, *_ in inside):
+        raise ValueError(str(inside[0][3]))
+    return [(kind, what if kind == "record" else f"bytes {o} to {o + n} of the member: {what}")
+            for kind, o, n, what in inside], end, None
+
+
+def _sound(data: bytes, at: int, members: bool) -> tuple[list[tuple[str, object]], int | None, str | None]:
+    if members and data[at:at + 3] == b"\x1f\x8b\x08":
+        return _member(data, at)
+    record, end = parse_record(data, at)
+    return [("record", record)], end, None
+
+
+def salvage(data: bytes, members: bool = True) -> Iterator[tuple[str, int, int, object]]:
+    """('record', offset, length, fields) and ('gap', offset, length, reason).  Records
+    of a member, and gaps between them, have the member's offset and length."""
+    at, ready = 0, None
     while at < len(data):
         try:
-            if data[at:at + 3] == b"\x1f\x8b\x08":
-                found, end = _member(data, at)
-            else:
-                record, end = parse_record(data, at)
-                found = [record]
+            found, end, fault = ready or _sound(data, at, members)
         except ValueError as e:
-            gap, reason = at, str(e)
-            for m in START.finditer(data, at + 1):
+            found, end, fault = [], None, str(e)
+        ready = None
+        if end is None:  # search for the next member or version line that passes
+            end = len(data)
+            for m in (START if members else VERSION).finditer(data, at + 1):
                 try:
-                    (_member if m[0][:1] == b"\x1f" else parse_record)(data, m.start())
+                    ready = _sound(data, m.start(), members)
                 except ValueError:
                     continue
-                at = m.start()
+                end = m.start()
                 break
-            else:
-                at = len(data)
-            yield "gap", gap, at - gap, reason
-            continue
-        for record in found:
-            yield "record", at, end - at, record
+        for kind, what in found:
+            yield kind, at, end - at, what
+        if fault is not None:
+            yield "gap", at, end - at, fault
         at = end
 
 

@@ -48,6 +48,59 @@ def test_salvage_of_members():
     assert [f["payload"] for _, _, _, f in warc.salvage(two)] == [b"p", b"q"]
 
 
+def test_salvage_inside_members_of_many_records():
+    parts = [record(f"payload {i} " * 40, str(i)) for i in range(100)]
+    payloads = [f"payload {i} ".encode() * 40 for i in range(100)]
+    broken = bytearray(parts[50])
+    broken[-8] ^= 1
+    member = gzip.compress(b"".join(parts[:50]) + bytes(broken) + b"".join(parts[51:]))
+    after = gzip.compress(record("after"))
+    got = list(warc.salvage(member + after))
+    assert [f["payload"] for k, _, _, f in got if k == "record"] == payloads[:50] + payloads[51:] + [b"after"]
+    gap = [(o, n, r) for k, o, n, r in got if k == "gap"]
+    start = sum(map(len, parts[:50]))
+    assert gap == [(0, len(member), f"bytes {start} to {start + len(parts[50])} of the member: block digest differs")]
+    # a member that is cut off, or damaged in its middle, gives the records before the fault
+    whole = gzip.compress(b"".join(parts))
+    cut = list(warc.salvage(whole[:len(whole) * 2 // 3] + after))
+    kept = [f["payload"] for k, _, _, f in cut if k == "record"]
+    assert kept[-1] == b"after" and kept[:-1] == payloads[:len(kept) - 1] and len(kept) > 30
+    assert [(k, o, n) for k, o, n, _ in cut if k == "gap"] == [("gap", 0, len(whole) * 2 // 3)]
+    bad = bytearray(whole)
+    bad[len(whole) // 2] ^= 255
+    kept = [f["payload"] for k, _, _, f in warc.salvage(bytes(bad) + after) if k == "record"]
+    assert kept[-1] == b"after" and set(kept[:-1]) <= set(payloads) and len(kept) > 20
+    stored = gzip.compress(b"".join(parts), 0)  # not packed: the damage stays where it is
+    bad = bytearray(stored)
+    bad[len(stored) // 2] ^= 1
+    kept = [f["payload"] for k, _, _, f in warc.salvage(bytes(bad)) if k == "record"]
+    assert len(kept) >= 97 and set(kept) <= set(payloads)
+
+
+def test_query_over_damaged_copies_of_its_archives(spark, tmp_path):
+    from tests.llm.util import SF
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    path = str(tmp_path / "warc")
+    warc.write_warc(warc.with_revisits(pages), path)
+    lost = 0
+    for file in sorted((tmp_path / "warc").glob("part-*")):
+        data = bytearray(file.read_bytes())
+        starts = [m.start() for m in warc.VERSION.finditer(bytes(data))]
+        for at in starts[1::5]:
+            data[at + 60] ^= 1  # in a header or block
+            lost += 1
+        (tmp_path / "damaged").mkdir(exist_ok=True)
+        (tmp_path / "damaged" / file.name).write_bytes(bytes(data))
+    rows = warc.read_warc(spark, str(tmp_path / "damaged")).collect()
+    n = pages.count()
+    assert lost > 5 and sum(r.kind == "record" for r in rows) >= n - lost
+    whole = {(r.record_id, r.payload_digest) for r in warc.read_warc(spark, path).collect()}
+    for r in rows:
+        if r.kind == "record" and r.record_type == "response" and (r.record_id, r.payload_digest) in whole:
+            assert hashlib.sha256(bytes(r.payload)).hexdigest() == r.payload_digest
+
+
 def test_every_single_byte_flip_loses_one_record_at_most():
     parts = [record(f"payload {i} " * 3, str(i)) for i in range(3)]
     data = b"".join(parts)

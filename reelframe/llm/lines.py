@@ -1,21 +1,20 @@
 """Line dedup: a deletion-neighbourhood join over all lines, within a bound of one
 edited word.
 
-Equal lines are one class, named by a 128-bit digest of the words.  A class of at
-least ``near_words`` words emits hashed keys of all its variants within the edit
+Equal lines, of any length, are one class, named by a 128-bit digest of the words.
+A class of at least ``near_words`` words emits hashed keys of all its variants within the edit
 bound (each word deleted, and the line itself).  Equal variants meet: two lines
 that lose the same place are one substitution apart, a line that equals another's
 variant is one deletion apart.  Groups of equal variants are reduced to their
 earliest member (never to pairs), the claim is verified on the words, and a line
-is dropped if an earlier line is within the bound.
+is dropped if an earlier line is within the bound (also if that one is dropped).
 
 Only classes that can have such a neighbour emit variants: two sequences one edit
 apart share the first or the last half of their words, so a class whose halves
 nobody shares is out.  A variant's key is the exclusive-or of position-salted word
 hashes, read off two running totals, so even a line of a million words costs a
-constant amount per variant.  Built-in functions only.
-
-A bound that grows with the line (``edits`` above one) is found by shared parts.
+constant amount per variant.  One claim a line is verified, that of its earliest
+partner: a clash of two 64-bit keys there would keep a line.  Built-in functions only.
 """
 
 from __future__ import annotations
@@ -27,9 +26,7 @@ from pyspark.sql import Window as W
 from reelframe.llm.common import join_checked, row_digest, settle, stored, table
 from reelframe.llm.fingerprints import words
 
-LEAST_WORDS = 3  # shorter lines are never dropped
-NEAR_WORDS = 8  # shorter lines are only compared for equality
-STUB_SHARE = 5  # new short lines of at most one word in five do not make a copy a document
+NEAR_WORDS = 5  # one edited word leaves four fifths of such a line, less of a shorter one
 
 
 def _place() -> Column:
@@ -52,11 +49,11 @@ def _halves(ws: str, n: str, near_words: int) -> Column:
             .when(both == less, F.array(*keys(both))).otherwise(F.array(*keys(both), *keys(less))))
 
 
-def line_table(docs: DataFrame, least_words: int, near_words: int) -> DataFrame:
-    """(k1, k2, doc_id, line_no, h1, h2, n, halves) per line of at least ``least_words``."""
+def line_table(docs: DataFrame, near_words: int) -> DataFrame:
+    """(k1, k2, doc_id, line_no, h1, h2, n, halves) per line that has words."""
     d = docs.where(F.col("text").isNotNull()).select("doc_id", "k1", "k2",
                                                      F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    d = d.withColumn("ws", words(F.col("line"))).withColumn("n", F.size("ws")).where(F.col("n") >= least_words)
+    d = d.withColumn("ws", words(F.col("line"))).withColumn("n", F.size("ws")).where("n > 0")
     return d.select("k1", "k2", "doc_id", "line_no", F.xxhash64(F.lit(5), "ws").alias("h1"),
                     F.xxhash64(F.lit(6), "ws").alias("h2"), "n", _halves("ws", "n", near_words).alias("halves"))
 
@@ -123,73 +120,14 @@ def _verified(claims: DataFrame, lines: DataFrame) -> DataFrame:
     return c.where(front & back & size).select("h1", "h2")
 
 
-def _distance(x: Column, y: Column, most: int) -> Column:
-    """Word edit distance of arrays whose sizes differ by at most ``most``; above
-    ``most`` only some larger number.  A band of 2 * most + 1 places per word."""
-    band, far = 2 * most + 1, 1 << 20
-    start = F.array(*[F.lit(t - most if t >= most else far) for t in range(band)])
-
-    def step(acc: Column, w: Column) -> Column:
-        cells: list[Column] = []
-        for t in range(band):
-            same = F.coalesce(F.get(y, acc.i + (t - most)) == w, F.lit(False))
-            ways = [acc.r[t] + F.when(same, 0).otherwise(1)]
-            if t < band - 1:
-                ways.append(acc.r[t + 1] + 1)
-            if t:
-                ways.append(cells[-1] + 1)
-            cells.append(F.least(*ways) if len(ways) > 1 else ways[0])
-        return F.struct((acc.i + 1).alias("i"), F.array(*cells).alias("r"))
-
-    return F.aggregate(x, F.struct(F.lit(0).alias("i"), start.alias("r")), step,
-                       lambda acc: F.get(acc.r, F.size(y) - F.size(x) + most))
-
-
-def _far(lines: DataFrame, near_words: int, edits: int) -> DataFrame:
-    """(h1, h2) of the lines of (h1, h2, place, n, ws) that are more than one and at
-    most least(edits, n / near_words) edits (n of the shorter one) from an earlier
-    line.  Of edits + 1 parts of the shorter line one is untouched and found in the
-    longer one, at most ``edits`` places off: both emit it, and pairs are verified."""
-    n, parts = F.col("n"), edits + 1
-
-    def seed(m: Column, i: int, off: int) -> Column:
-        start = F.floor(m * i / parts).cast("int")
-        size = F.floor(m * (i + 1) / parts).cast("int") - start
-        fits = (m >= 2 * near_words) & (start + off >= 0) & (start + off + size <= n)
-        at = F.greatest(start + off, F.lit(0)) + 1
-        return F.when(fits, F.struct(m.alias("m"), F.lit(i).alias("part"), F.xxhash64(
-            F.slice("ws", at, F.greatest(size, F.lit(0)))).alias("seed")))
-
-    def emitted(seeds: list[Column]) -> DataFrame:
-        d = lines.where(n >= 2 * near_words).select(F.struct("place", "h1", "h2").alias("line"),
-                                                    F.explode(F.array(*seeds)).alias("s"))
-        return d.where("s IS NOT NULL").select("line", "s.*").distinct()
-
-    mine = emitted([seed(n, i, 0) for i in range(parts)]).withColumnRenamed("line", "a")
-    theirs = emitted([seed(n - d, i, off) for d in range(parts) for i in range(parts)
-                      for off in range(-edits, edits + 1)]).withColumnRenamed("line", "b")
-    pairs = mine.join(theirs, ["m", "part", "seed"]).where("a != b").select(
-        F.greatest("a", "b").alias("late"), F.least("a", "b").alias("early"), "m").distinct()
-    pairs = stored(pairs.select("late.h1", "late.h2", F.col("early.h1").alias("o1"),
-                                F.col("early.h2").alias("o2"), "m"), "far-pairs")
-    late = lines.select("h1", "h2", F.col("ws").alias("x"))
-    early = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("ws").alias("y"))
-    c = pairs.join(late, ["h1", "h2"]).join(early, ["o1", "o2"])
-    bound = F.least(F.lit(edits), F.floor(F.col("m") / near_words))
-    return c.where(_distance(F.col("x"), F.col("y"), edits) <= bound).select("h1", "h2")
-
-
-def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS,
-                  short: bool = False, edits: int = 1) -> DataFrame:
-    """(k1, k2, near, exact, short: arrays of line numbers) of the documents (doc_id,
-    text, k1, k2) that lose lines.  With ``short``, also of those that only repeat
-    lines below ``least_words``, which are listed as short; else short is empty."""
-    lines = stored(line_table(docs, 1 if short else least_words, near_words), "lines")
+def dropped_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
+    """(k1, k2, near, exact: arrays of line numbers) of the documents (doc_id, text,
+    k1, k2) that lose lines."""
+    lines = stored(line_table(docs, near_words), "lines")
     classes = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("place"), F.first("n").alias("n"),
                                             F.first("halves").alias("halves"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
-    wanted = classes.join(_candidates(classes), ["h1", "h2"]) if edits == 1 else classes.where(F.col("n") >= near_words)
-    candidates = stored(wanted.select("h1", "h2", "place", "n"), "candidates")
+    candidates = stored(classes.join(_candidates(classes), ["h1", "h2"]).select("h1", "h2", "place", "n"), "candidates")
     # the words of the candidates, from their earliest occurrence
     homes = candidates.groupBy("place.k1", "place.k2").agg(
         F.collect_list(F.struct("place.line_no", "h1", "h2", "place", "n")).alias("wanted"))
@@ -201,72 +139,38 @@ def dropped_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: i
             c.h1.alias("h1"), c.h2.alias("h2"), c.place.alias("place"), c.n.alias("n"),
             words(F.get("parts", c.line_no)).alias("ws")))).alias("l"))
     found = stored(found.select("l.*").dropDuplicates(["h1", "h2"]), "candidate-words")
-    near = _verified(_earlier(_variants(found)), found)
-    if edits > 1:
-        near = near.union(_far(found, near_words, edits)).distinct()
-    near = near.withColumn("near", F.lit(True))
+    near = _verified(_earlier(_variants(found)), found).withColumn("near", F.lit(True))
     # what every later copy, and every near copy, loses
     losing = classes.join(near, ["h1", "h2"], "left").where("copies > 1 OR near").select(
         "h1", "h2", "place", F.coalesce("near", F.lit(False)).alias("near"))
     # written, so that the join below may split the rows of a line with very many copies
     losing = stored(losing, "losing")
-    lost = lines.select("h1", "h2", "k1", "k2", "doc_id", "line_no", "n").join(losing, ["h1", "h2"])
+    lost = lines.select("h1", "h2", "k1", "k2", "doc_id", "line_no").join(losing, ["h1", "h2"])
     lost = lost.where(F.col("near") | (_place() != F.col("place")))
-    kinds = {"near": F.col("near"), "exact": ~F.col("near") & (F.col("n") >= least_words),
-             "short": F.col("n") < least_words}
+    kinds = {"near": F.col("near"), "exact": ~F.col("near")}
     return lost.groupBy("k1", "k2").agg(*[F.collect_set(F.when(is_kind, F.col("line_no"))).alias(name)
                                           for name, is_kind in kinds.items()])
 
 
-def _is_stub(least_words: int) -> Column:
-    """Whether a document of (parts, near, exact, short) lost lines, has none of
-    ``least_words`` left, and its short lines that repeat no earlier line hold at
-    most a fifth of its words."""
-    sizes = F.transform("parts", lambda line: F.size(words(line)))
-    numbers = F.sequence(F.lit(0), F.size("parts") - 1)
-
-    def stub(c: Column) -> Column:
-        left = F.array_except(numbers, F.array_union("near", "exact"))
-        new = F.transform(F.array_except(left, "short"), lambda i: F.get(c, i))
-        total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-        return ~F.exists(left, lambda i: F.get(c, i) >= least_words) & (total(new) * STUB_SHARE <= total(c))
-
-    # a one-element transform names the sizes once
-    judged = F.get(F.transform(F.array(sizes), stub), F.lit(0))
-    lost = F.coalesce(F.size("near") + F.size("exact") > 0, F.lit(False))
-    return F.when(lost, judged).otherwise(F.lit(False))
-
-
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, near_words: int = NEAR_WORDS,
-                keep_stubs: bool = True, edits: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     """``docs`` without the lines that repeat an earlier line or are one word away
     from one; adds n_lines, n_exact and n_near (lines before, and those dropped).
 
     Lines are separated by a line feed and compared by their words.  Earlier means
-    smaller doc_id (nulls last), then line.  Lines of fewer than ``least_words``
-    words stay; below ``near_words`` only equal lines are dropped.  A null text
-    stays null; a document that loses every line has an empty text.  Rows equal in
-    id and text are one document and get the same result.  Other columns pass
-    through; those named like the added ones are replaced.
-
-    With ``edits`` above one the bound of two lines is a word edit for every full
-    ``near_words`` words of the shorter one, ``edits`` at most.  Pairs that share a
-    part are compared then, so a part in very many different lines costs its square.
-
-    Without ``keep_stubs`` the rows of a copy of which only short lines would stay go
-    too: it lost lines, has none of ``least_words`` left, and its short lines that
-    repeat no earlier line (new headings) hold at most a fifth of its words.
+    smaller doc_id (nulls last), then line.  Equal lines go at any length.  The edit
+    bound follows from the length: one word if both lines have ``near_words`` words,
+    else none.  Lines without words stay.  A null text stays null; a document that
+    loses every line has an empty text.  Rows equal in id and text are one document
+    and get the same result.  Other columns pass through; those named like the added
+    ones are replaced.
     """
     added = ["n_lines", "n_exact", "n_near"]
     rest = [c for c in docs.columns if c not in added]
     others = [docs[c] for c in rest if c != "text"]
     keyed = docs.select(docs["doc_id"], docs["text"], *row_digest(docs), F.struct(*others).alias("row"))
     lost = settle(docs.sparkSession, "lost-lines", lambda: dropped_lines(
-        keyed.select("doc_id", "text", "k1", "k2"), least_words, near_words, short=not keep_stubs,
-        edits=edits))
+        keyed.select("doc_id", "text", "k1", "k2"), near_words))
     d = keyed.select("row", "k1", "k2", F.split("text", "\n").alias("parts")).join(lost, ["k1", "k2"], "left")
-    if not keep_stubs:
-        d = d.where(~_is_stub(least_words))
     d = d.withColumn("gone", F.array_union("near", "exact"))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone")
     kept = F.transform(left, lambda i: F.get("parts", i))

@@ -93,11 +93,11 @@ l AS (
 w AS (SELECT doc_id, line_no, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM l),
 c AS (
   SELECT ws, len(ws) AS n, arg_min(doc_id, (doc_id, line_no)) AS d, min((doc_id, line_no)) AS place
-  FROM w WHERE len(ws) >= 3 GROUP BY ws),
+  FROM w WHERE len(ws) > 0 GROUP BY ws),
 v AS (
   SELECT place, n - 1 AS n, i AS pos, array_to_string(ws[1:i - 1] || ws[i + 1:], ' ') AS t FROM (
-    SELECT *, unnest(range(1, n + 1)) AS i FROM c WHERE n >= 8)),
-f AS (SELECT place, n, array_to_string(ws, ' ') AS t FROM c WHERE n >= 8),
+    SELECT *, unnest(range(1, n + 1)) AS i FROM c WHERE n >= 5)),
+f AS (SELECT place, n, array_to_string(ws, ' ') AS t FROM c WHERE n >= 5),
 near AS (
   SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY t, n, pos) AS o FROM v) WHERE o < place
   UNION SELECT v.place FROM v JOIN f USING (t, n) WHERE f.place < v.place

@@ -233,10 +233,10 @@ def link_block(sets: list[np.ndarray], queries: list[int] | None, num: int, den:
 
 
 def _searcher(k: int, num: int, den: int):
-    """Rows (lo, block, role, id, text), sorted; role 0 is the centre, 1 a member,
+    """Rows (lo, block, part, role, id, text), sorted; role 0 is the centre, 1 a member,
     2 a loose member of another block that is to be searched here."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(batches, ["lo", "block"]):
+        for t in runs(batches, ["lo", "block", "part"]):
             role, ids = t.column("role").to_numpy(), t.column("id").to_numpy()
             order = np.argsort(role, kind="stable")
             role, ids = role[order], ids[order]
@@ -253,17 +253,19 @@ def _searcher(k: int, num: int, den: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(ids), t.column("lo")[0].as_py())),
                  pa.array(np.full(len(ids), t.column("block")[0].as_py(), np.int32)),
-                 pa.array(role.astype(np.int32)), pa.array(ids), pa.array(ids[label]), pa.array(apart)],
-                names=["lo", "block", "role", "id", "near", "apart"])
+                 pa.array(role.astype(np.int32)), pa.array(ids), pa.array(ids[label]), pa.array(apart),
+                 pa.array(np.array([len(s) for s in sets], np.int32))],
+                names=["lo", "block", "role", "id", "near", "apart", "n"])
     return run
 
 
-FOUND = "lo long, block int, role int, id long, near long, apart boolean"
+FOUND = "lo long, block int, role int, id long, near long, apart boolean, n int"
 
 
 def _search(texts: DataFrame, work: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    rows = join_checked(texts, work, ["id"]).select("lo", "block", "role", "id", "text")
-    rows = rows.repartition("lo", "block").sortWithinPartitions("lo", "block")
+    rows = join_checked(texts, work, ["id"]).select("lo", "block", "part", "role", "id", "text")
+    run = ["lo", "block", "part"]
+    rows = rows.repartition(*run).sortWithinPartitions(*run)
     return stored(rows.mapInArrow(_searcher(k, num, den), FOUND), "found")
 
 
@@ -284,15 +286,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 def _components(d: DataFrame, k: int, num: int, den: int, block_docs: int) -> DataFrame:
     sets = stored(d.mapInArrow(_sets(k, num, den), SETS), "sets")
     named = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                            F.first("sigs").alias("sigs"))
+    classes = stored(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
+                                                   F.first("sigs").alias("sigs")), "classes")
     keyed = classes.select("rep", "n", F.explode("sigs").alias("key"))
-    # one streamed pass over a signature's ids: the smallest one is the star's centre
-    by_key = W.partitionBy("key").orderBy("rep")
-    stars = keyed.withColumn("lo", F.first("rep").over(by_key)).where("rep != lo")
+    # the smallest id of a signature is the star's centre; written, so that the join
+    # may split the ids of a signature that very many sets share
+    least = keyed.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi")
+    least = stored(least.select("key", "lo"), "signatures")
+    stars = keyed.join(least, "key").where("rep != lo")
     stars = stored(stars.select("lo", F.col("rep").alias("id"), "n").distinct(), "stars")
-    size = stars.groupBy("lo").agg(F.greatest(F.ceil(F.count("*") / block_docs),
-                                              F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    parts = F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    size = stars.groupBy("lo").agg(parts.alias("blocks"))
     # written, so that the join below may split the members of a very large star
     size = stored(size, "star-sizes")
     members = stars.join(size, "lo").select(
@@ -300,21 +304,27 @@ def _components(d: DataFrame, k: int, num: int, den: int, block_docs: int) -> Da
     centres = size.select("lo", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                           F.lit(0).alias("role"), F.col("lo").alias("id"))
     texts = d.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
-    work = stored(members.union(centres), "work")
+    work = stored(members.union(centres).withColumn("part", F.lit(0)), "work")
     found = _search(texts, work, k, num, den)
     links = found.select(F.col("id").alias("a"), F.col("near").alias("b")).where("a != b")
-    # members that missed the centre meet the other blocks of their star
+    # members that missed the centre meet the other blocks of their star, in parts no
+    # larger than a block
     wide = size.where("blocks > 1")
-    loose = stored(found.where("apart").join(wide, "lo").select("lo", "block", "id", "blocks").distinct(), "loose")
+    loose = stored(found.where("apart AND role = 1").join(wide, "lo").select("lo", "block", "id", "n", "blocks")
+                   .distinct(), "loose")
     if loose.count():
-        visits = (loose.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .where("other != block").select("lo", F.col("other").alias("block"), F.lit(2).alias("role"), "id"))
-        hosts = work.where("role = 1").join(visits.select("lo", "block").distinct(), ["lo", "block"], "left_semi")
+        guests = stored(loose.groupBy("lo").agg(parts.alias("parts")), "guests")
+        visits = (loose.join(guests, "lo")
+                  .withColumn("part", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("parts")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other != block")
+                  .select("lo", F.col("other").alias("block"), F.lit(2).alias("role"), "id", "part"))
+        met = visits.select("lo", "block", "part").distinct()
+        hosts = work.where("role = 1").drop("part").join(met, ["lo", "block"]).select(*visits.columns)
         again = _search(texts, stored(hosts.union(visits), "visits"), k, num, den)
         links = links.union(again.select(F.col("id").alias("a"), F.col("near").alias("b")).where("a != b"))
-    parts = connected_components(links)
+    labels = connected_components(links)
     # written, so that the join below may split the rows of a class with very many copies
-    named_classes = stored(classes.select("d1", "d2", "rep").join(parts, F.col("rep") == F.col("node"), "left").select(
+    named_classes = stored(classes.select("d1", "d2", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component")), "components")
     out = sets.select("doc_id", "n_shingles", "d1", "d2").join(named_classes, ["d1", "d2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from reelframe.llm.common import row_digest, stored, table
 
 SHINGLE = 5
-SCALE = 8  # one shingle hash in eight is kept
+SCALE = 3  # one shingle hash in three is kept
 
 
 def words(text: Column) -> Column:
@@ -97,19 +97,20 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = stored(next_documents(keyed.withColumn("n", F.length("text"))), "next")
     before = order.select(F.col("n1").alias("k1"), F.col("n2").alias("k2"), F.col("k1").alias("p1"),
                           F.col("k2").alias("p2"), F.floor(F.col("n") / 3).cast("int").alias("take"))
-    # both sides below use the same columns of this frame, so its one shuffle serves both
-    keyed = fingerprint_documents(keyed)
+    # both sides below use the same columns of this frame, so its one shuffle serves
+    # both; sketches are taken behind it and only the next document's travels
     # what each document hands to the one before it: its first characters, sketch and id
     given = keyed.join(before, ["k1", "k2"]).select(
         F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.expr("substring(text, 1, take)").alias("head"),
-        F.col("sketch").alias("next_sketch"), F.col("doc_id").alias("next_id")).dropDuplicates(["k1", "k2"])
+        sketch(F.col("text")).alias("next_sketch"), F.col("doc_id").alias("next_id")).dropDuplicates(["k1", "k2"])
     d = keyed.join(given, ["k1", "k2"]).withColumn("n", F.length("text"))
     cut = F.floor(F.col("n") / 3).cast("int")
     d = d.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n") - cut), "head"))
-    d = d.withColumn("edited_sketch", sketch(F.col("edited")))
+    d = d.withColumn("sketch", sketch(F.col("text"))).withColumn("edited_sketch", sketch(F.col("edited")))
     return d.select("doc_id", F.col("n").cast("long").alias("n_chars"),
                     F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                     render(F.col("sketch")).alias("fingerprint"),
                     render(F.col("edited_sketch")).alias("edited_fingerprint"),
                     likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-                    likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"), F.col("next_id"))
+                    likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"), F.col("next_id"),
+                    containment(F.col("sketch"), F.col("next_sketch")).alias("held_by_next"))

@@ -86,3 +86,25 @@ def test_merge_is_the_sketch_of_the_union(spark):
         fp.sketch(F.concat_ws(" ", "a", "b"), 1).alias("both"))
     for r in df.select(fp.merge(F.col("x"), F.col("y")).alias("merged"), "both").collect():
         assert r.merged == r.both
+
+
+def test_error_against_exact_likeness_short_texts_too(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        a = [f"w{rnd.randrange(5000)}" for _ in range(rnd.choice([10, 16, 23, 40, 53, 200, 600]))]
+        b = list(a)
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(b))
+            b[at:at + rnd.randint(1, max(len(b) // 10, 1))] = [f"v{rnd.randrange(5000)}"]
+        rows.append((i, " ".join(a), " ".join(b)))
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    shingles = lambda t: {tuple(t.split()[i:i + 5]) for i in range(max(len(t.split()) - 4, 1))}
+    errors = {}
+    for r in df.select("i", fp.likeness(fp.sketch(F.col("a")), fp.sketch(F.col("b"))).alias("near")).collect():
+        x, y = shingles(rows[r.i][1]), shingles(rows[r.i][2])
+        errors.setdefault(len(x) < 20, []).append(abs(r.near - len(x & y) / len(x | y)))
+    short, long = errors[True], errors[False]
+    assert len(short) > 200 and sum(short) / len(short) < 0.16
+    assert sum(e > 0.3 for e in short) < 0.12 * len(short)
+    assert sum(long) / len(long) < 0.07 and sum(e > 0.3 for e in long) < 0.01 * len(long)

@@ -63,7 +63,8 @@ def blocks(data: bytes) -> list[bytes]:
 
 
 def dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary; too little text serves as its own raw dictionary."""
+    """A trained dictionary.  Where the library finds too little text to train on, the
+    text itself is the dictionary (its last bytes, as content without tables)."""
     import zstandard
 
     parts = [b for t in texts for b in blocks(t)]
@@ -115,7 +116,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
           max_chars: int = MAX_CHARS) -> CompressionModel:
     """Fit on labelled rows outside the held-out fold.  Rows without a label or
-    a text are no examples; at most ``2 * per_class`` texts reach the driver."""
+    a text are no examples; at most ``2 * per_class`` texts reach the driver.
+
+    Every second text of a class goes into its dictionary, the others calibrate; the
+    only text of a class is halved for that.  Without texts of both classes nothing can
+    be told apart: the model has no weights and every score is 0.5.
+    """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     counts = known.agg(F.count("*").alias("n"), F.sum("quality").alias("good")).first()
     base = min(max((counts.good or 0) / counts.n, 0.01), 0.99) if counts.n else 0.5
@@ -128,8 +134,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
         rows = (texts.join(F.broadcast(ids), "doc_id").select("h", "text")
                 .orderBy("h", "text").limit(per_class).collect())
         sample[quality] = [r.text.encode() for r in rows]
-    if min(len(v) for v in sample.values()) < 4:
+    if not all(sample.values()):
         return CompressionModel(b"", b"", None)
+    for quality, known_texts in sample.items():
+        if len(known_texts) == 1:
+            only, = known_texts
+            sample[quality] = [only[:(len(only) + 1) // 2], only[len(only) // 2:]]
     model = CompressionModel(dictionary(sample[1][0::2]), dictionary(sample[0][0::2]), None)
     good, bad = model.compressors()
     rest = [(t, q) for q in (0, 1) for t in sample[q][1::2]]

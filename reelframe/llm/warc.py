@@ -24,6 +24,7 @@ from reelframe.llm.common import join_checked, scratch, stored, table
 
 REVISIT_BYTES = 100  # smaller payloads are always written in full
 RECORDS_PER_FILE = 4000
+SMALL = 1 << 14  # bytes; a file holds RECORDS_PER_FILE records up to this size, a quarter for each factor of 4
 CRLF = "\r\n"
 CHUNK = 1 << 16
 READ_SCHEMA = ("path string, offset long, length long, kind string, reason string, record_type string, "
@@ -61,7 +62,10 @@ def _page_uri(col: str) -> Column:
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
-    """Write one record per row of ``with_revisits`` into plain WARC files."""
+    """Write one record per row of ``with_revisits`` into plain WARC files of at most
+    64 MB (headers apart), or of one record if that is larger.  Small records come into
+    the folder itself, others into its folder ``large``: there each task sorts
+    its records by size class and numbers them, and the numbers of a class make volumes."""
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("payload_bytes").cast("string"), F.lit(CRLF + CRLF))
@@ -80,8 +84,18 @@ def write_warc(pages: DataFrame, path: str) -> None:
         _header("Content-Type", F.lit("application/http; msgtype=response")),
         _header("Content-Length", F.octet_length("body").cast("string")),
         F.lit(CRLF))
-    out = pages.withColumn("body", body).select(F.concat(head, F.col("body")).alias("value"))
-    (out.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    # a line end of the url is written as three characters
+    size = F.coalesce(3 * F.octet_length("url"), F.lit(0)) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
+    pages = pages.withColumn("size", size)
+    value = F.concat(head, F.col("body")).alias("value")
+    (pages.where(F.col("size") <= SMALL).withColumn("body", body).select(value)
+     .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    large = pages.where(F.col("size") > SMALL).withColumn("class", F.ceil(F.log(4.0, F.col("size") / SMALL)))
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # inside the task
+    each = F.greatest(F.lit(1), F.floor(RECORDS_PER_FILE / F.pow(F.lit(4.0), F.col("class"))))
+    (large.sortWithinPartitions("class").withColumn("volume", F.concat_ws("-", "class", F.floor(row / each)))
+     .withColumn("body", body).select(value, "volume")
+     .write.partitionBy("volume").option("lineSep", CRLF + CRLF).text(f"{path}/large"))
 
 
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -238,7 +252,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records and gaps of all archives under ``path`` (one row each; ``kind`` is
     record or gap).  A file is read whole by one task; the writer keeps files to
-    4000 records.  Empty files give no rows."""
+    64 MB.  Empty files give no rows."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select("path", "content"))
     return files.mapInArrow(_read, READ_SCHEMA)

@@ -1,6 +1,8 @@
 import gzip
 import hashlib
 
+from pyspark.sql import functions as F
+
 from reelframe.llm import warc
 from reelframe.llm.common import scratch
 
@@ -164,3 +166,20 @@ def test_header_of_any_length(spark):
         "<urn:page:1>": url, "<urn:page:2>": "http://a/"}
     a = record("first")
     assert kinds(b"WARC/1.1\r\nX: y\r\n" + a) == [("gap", 0, 16), ("record", 16, len(a))]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    """Pages of 1 MB in one task, short ones between them and one of 70 MB."""
+    sizes = F.when(F.col("id") == 7, 70 << 20).when(F.col("id") % 3 == 0, 100).otherwise(1 << 20)
+    pages = spark.range(0, 150, 1, 1).select(
+        F.col("id").alias("page_id"), F.lit("http://a/").alias("url"),
+        F.rpad(F.col("id").cast("string"), sizes.cast("int"), "x").alias("html"))
+    path = tmp_path / "warc"
+    warc.write_warc(warc.with_revisits(pages), str(path))
+    files = [f.stat().st_size for f in path.rglob("part-*")]
+    assert sum(size > (65 << 20) for size in files) == 1
+    assert len(files) == 1 + 7 + 1  # 99 records a little above 1 MB, at most 15 to a file
+    got = warc.read_warc(spark, str(path)).select("kind", "record_id", "payload_digest", F.sha2("payload", 256).alias("h"))
+    rows = got.collect()
+    assert {r.kind for r in rows} == {"record"} and all(r.payload_digest == r.h for r in rows)
+    assert sorted(r.record_id for r in rows) == sorted(f"<urn:page:{i}>" for i in range(150))

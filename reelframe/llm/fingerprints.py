@@ -30,15 +30,15 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
     codes = F.transform(words(text), lambda w: F.xxhash64(w))
     # a one-element transform names the word hashes once for the steps below
     hashes = F.transform(F.array(codes), lambda c: F.when(F.size(c) == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - (shingle - 1), F.lit(1))),
-                    lambda i: F.xxhash64(F.slice(c, i, shingle)))))
+        F.transform(F.sequence(F.lit(0), F.greatest(F.size(c) - shingle, F.lit(0))),
+                    lambda i: F.xxhash64(*[F.get(c, i + j) for j in range(shingle)]))))  # skips words that are not there
     kept = F.transform(hashes, lambda h: F.when(F.array_min(h) >= bound, F.array(F.array_min(h)))
                        .otherwise(F.filter(h, lambda x: x < bound)))
     return F.sort_array(F.array_distinct(F.coalesce(F.element_at(kept, 1), F.array().cast("array<bigint>"))))
 
 
 def render(s: Column) -> Column:
-    return F.array_join(F.transform(s, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), " ")
+    return F.lower(F.array_join(F.transform(s, lambda h: F.lpad(F.hex(h), 16, "0")), " "))
 
 
 def merge(a: Column, b: Column, scale: int = SCALE) -> Column:

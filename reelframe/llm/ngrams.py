@@ -286,15 +286,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 def _components(d: DataFrame, k: int, num: int, den: int, block_docs: int) -> DataFrame:
     sets = stored(d.mapInArrow(_sets(k, num, den), SETS), "sets")
     named = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                                   F.first("sigs").alias("sigs")), "classes")
-    keyed = classes.select("rep", "n", F.explode("sigs").alias("key"))
-    # the smallest id of a signature is the star's centre; written, so that the join
-    # may split the ids of a signature that very many sets share
-    least = keyed.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi")
-    least = stored(least.select("key", "lo"), "signatures")
-    stars = keyed.join(least, "key").where("rep != lo")
-    stars = stored(stars.select("lo", F.col("rep").alias("id"), "n").distinct(), "stars")
+    ids = stored(named.groupBy("d1", "d2", "doc_id").agg(F.count("*").alias("held")), "ids")
+    classes = stored(ids.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
+    # signatures are most of the volume: they stay with the sets, and only rows that are
+    # no class of their own are looked up
+    key = ["d1", "d2", "doc_id"]
+    aside = stored(ids.join(classes, ["d1", "d2"]).where("doc_id != rep OR held > 1"), "aside")
+    again = join_checked(named, aside.where("doc_id = rep").select(key), key, "left_semi").dropDuplicates(key)
+    single = join_checked(named, aside.select(key), key, "left_anti")
+    keyed = single.select(*sets.columns).union(again.select(*sets.columns)).select(
+        "n_shingles", F.col("doc_id").alias("id"), F.explode("sigs").alias("key"))
+    # the smallest id of a signature is the star's centre; one shuffle finds it and
+    # hands it to the others
+    least = F.first("id").over(W.partitionBy("key").orderBy("id").rowsBetween(W.unboundedPreceding, 0))
+    stars = keyed.withColumn("lo", least).where("id != lo")
+    stars = stored(stars.select("lo", "id", F.col("n_shingles").alias("n")).distinct(), "stars")
     parts = F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     size = stars.groupBy("lo").agg(parts.alias("blocks"))
     # written, so that the join below may split the members of a very large star

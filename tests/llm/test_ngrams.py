@@ -96,3 +96,22 @@ def test_odd_and_empty_tables(spark):
     assert got == [(0, 0, None), (0, 1, None), (1, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 0, 4),
                    (5, 0, 5), (6, 29_996, 6), (7, 1, 7)]
     assert ng.jaccard_components(empty_docs(spark)).count() == 0
+
+
+def test_signatures_are_written_once_and_shuffled_once(spark, monkeypatch):
+    """They are most of the volume: the sets hold them, and one exchange by signature
+    finds the stars; copies and repeated rows take no part."""
+    seen = {}
+
+    def stored(df, name):
+        seen[name] = (df.columns, df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    kept = ng.stored
+    monkeypatch.setattr(ng, "stored", stored)
+    texts = {i: " ".join(f"w{j}" for j in range(30)) + f" end{i // 2}" for i in range(8)}
+    rows = [*texts.items(), *texts.items(), (9, "a text of its own words")]
+    got = {tuple(r) for r in ng.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [n for n, (columns, _) in seen.items() if "sigs" in columns] == ["sets"]
+    assert seen["stars"][1].count("Exchange hashpartitioning(key#") == 1
+    assert got == {(i, 27, 0) for i in texts} | {(9, 2, 9)}

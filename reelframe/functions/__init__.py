@@ -1,6 +1,7 @@
 """Column-expression helpers; all JVM-side built-ins, no Python UDFs."""
 
 from reelframe.functions.exprs import (
+    dealt,
     decade_floor,
     decade_intdiv,
     decade_label,
@@ -16,6 +17,6 @@ from reelframe.functions.exprs import (
 )
 
 __all__ = [
-    "decade_floor", "decade_intdiv", "decade_label", "escape_like", "header_clean",
+    "dealt", "decade_floor", "decade_intdiv", "decade_label", "escape_like", "header_clean",
     "histogram_bucket", "name_contains", "name_matches", "one_row", "pct", "repeat_each", "safe_ratio",
 ]

@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from reelframe.functions import dealt
 from reelframe.schema import PRIMARY_KEYS, SCHEMAS
 
 UNPARSABLE = "unparsable"  # set by the CSV typing: the first column whose text is no value of its type
@@ -105,11 +106,11 @@ def valid_rows(table: str, df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c != UNPARSABLE]
     passed = df.filter(reject_reason(table, df.columns).isNull()).select(*cols)
     if table == "characters":
-        return passed.distinct()
+        return dealt(passed, *cols).distinct()
     pk = [k for k in PRIMARY_KEYS.get(table, []) if k in cols]
     if not pk:
         return passed
-    keys = passed.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in cols if c not in pk])
+    keys = dealt(passed, *pk).groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in cols if c not in pk])
     return keys.filter(F.col("_n") == 1).select(*cols)
 
 
@@ -141,7 +142,7 @@ def quarantine(tables: dict[str, DataFrame]) -> DataFrame:
         pk = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns]
         # without a key no row conflicts
         keys = pk or [c for c in df.columns if c != UNPARSABLE]
-        counted = (df.withColumn(REASON, reject_reason(name, df.columns)).groupBy(*keys, REASON)
+        counted = (dealt(df.withColumn(REASON, reject_reason(name, df.columns)), *keys).groupBy(*keys, REASON)
                    .agg(F.count(F.lit(1)).alias("_n")))
         if name == "characters":
             surplus, conflict = F.col("_n") - 1, "duplicate_row"
@@ -164,7 +165,7 @@ def load_report(tables: dict[str, DataFrame]) -> DataFrame:
     for name, df in tables.items():
         pk = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns] or df.columns
         passed = F.col(REASON).isNull()
-        keys = (df.withColumn(REASON, reject_reason(name, df.columns)).groupBy(*pk)
+        keys = (dealt(df.withColumn(REASON, reject_reason(name, df.columns)), *pk).groupBy(*pk)
                 .agg(F.count(F.lit(1)).alias("n"), F.count_if(passed).alias("k")))
         kept = (F.col("k") > 0) if name == "characters" else (F.col("k") == 1)
         parts.append(keys.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_read"),

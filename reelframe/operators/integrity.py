@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from reelframe.functions import dealt
 from reelframe.schema import (AUDITED_MOVIE_CHILDREN, AUDITED_PERSON_CHILDREN, FOREIGN_KEYS, PRIMARY_KEYS,
                               ForeignKey)
 
@@ -33,7 +34,7 @@ def pk_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for name, df in tables.items():
         pk = [k for k in PRIMARY_KEYS.get(name, []) if k in df.columns] or df.columns
-        per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
+        per_key = dealt(df, *pk).groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
         parts.append(per_key.agg(F.sum("_n").cast("bigint").alias("total_rows"),
                                  F.count(F.lit(1)).alias("distinct_keys"))
                      .select(F.lit(name).alias("table_name"), "total_rows", "distinct_keys"))

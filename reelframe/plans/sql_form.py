@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelframe.functions import decade_intdiv, decade_label, name_contains, repeat_each
+from reelframe.functions import dealt, decade_intdiv, decade_label, name_contains, repeat_each
 
 
 def _matching_people(persons: DataFrame, actor_name: str) -> DataFrame:
@@ -68,7 +68,7 @@ def q2_top_films(movies: DataFrame, genres: DataFrame, ratings: DataFrame, genre
 def q3_multi_role(characters: DataFrame, persons: DataFrame, movies: DataFrame) -> DataFrame:
     """People who played more than one distinct character in the same film."""
     # one shuffle by film serves the distinct count and the join to movies
-    per_pair = (characters.select("movie_id", "person_id", "name").repartition("movie_id")
+    per_pair = (dealt(characters.select("movie_id", "person_id", "name"), "movie_id")
                 .groupBy("movie_id", "person_id")
                 .agg(F.count_distinct("name").alias("nombre_roles"))
                 .filter(F.col("nombre_roles") > 1))

@@ -5,9 +5,9 @@ rule.  Rules C1-C6 are the loader's cleaning rules; the remaining declared
 constraints (NOT NULL, CHECK, primary key) are enforced the same way instead of
 failing the whole table append.
 
-Primary-key conflicts are found with an aggregate on the key (partial
-aggregation, so a hot key never travels whole) that is joined back once and gives
-every row its status; every row of a conflicting key is quarantined.  Exact duplicate characters are
+Primary-key conflicts are found with an aggregate on the key that is joined back once
+and gives every row its status; every row of a conflicting key is quarantined.  Both
+sides are dealt by the key.  Exact duplicate characters are
 collapsed to one row and the surplus copies are quarantined.
 """
 
@@ -81,17 +81,17 @@ def tag_rows(table: str, df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c != UNPARSABLE]
     tagged = df.withColumn(REASON, reject_reason(table, df.columns)).select(*cols, REASON)
     if table == "characters":
-        counted = tagged.groupBy(*cols, REASON).agg(F.count(F.lit(1)).alias("_n"))
+        counted = dealt(tagged, *cols).groupBy(*cols, REASON).agg(F.count(F.lit(1)).alias("_n"))
         copy = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))
         again = F.when(F.col(REASON).isNull() & (F.col("_copy") > 1), F.lit("duplicate_row"))
         return counted.withColumn("_copy", copy).select(*cols, F.coalesce(REASON, again).alias(REASON))
     pk = [k for k in PRIMARY_KEYS.get(table, []) if k in cols]
     if not pk:
         return tagged
-    conflicts = (tagged.filter(F.col(REASON).isNull()).groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
-                 .filter(F.col("_n") > 1))
+    conflicts = (dealt(tagged.filter(F.col(REASON).isNull()), *pk).groupBy(*pk)
+                 .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
     again = F.when(F.col("_n").isNotNull(), F.lit("duplicate_key"))
-    return tagged.join(conflicts, pk, "left").select(*cols, F.coalesce(REASON, again).alias(REASON))
+    return dealt(tagged, *pk).join(conflicts, pk, "left").select(*cols, F.coalesce(REASON, again).alias(REASON))
 
 
 def clean_table(table: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ import io
 import pytest
 
 from reelframe import registry
+from reelframe.operators import cleaning
 from reelframe.operators.nesting import build_from_catalog
 from reelframe.sources.catalog import Catalog
 from reelframe.sources.raw_views import RawCatalog
@@ -100,3 +101,16 @@ def test_wide_keys_are_dealt_over_all_partitions(cat, key):
     text = registry.data_quality()[key](RawCatalog(cat))._jdf.queryExecution().executedPlan().toString()
     dealt = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "person_id#" in line]
     assert dealt and all("REPARTITION_BY_NUM" in line for line in dealt if "job_name#" not in line)
+
+
+def exchanges(df) -> list[str]:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_status_of_rows_is_found_over_all_partitions(cat):
+    """Neither the rows nor the conflicts of a load read merged partitions."""
+    raw = RawCatalog(cat)
+    for name in ["principals", "characters", "movies"]:
+        found = exchanges(cleaning.tag_rows(name, raw.table(name)))
+        assert found and all("REPARTITION_BY_NUM" in line for line in found if "p_partkey" not in line), name

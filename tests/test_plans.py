@@ -114,3 +114,10 @@ def test_status_of_rows_is_found_over_all_partitions(cat):
     for name in ["principals", "characters", "movies"]:
         found = exchanges(cleaning.tag_rows(name, raw.table(name)))
         assert found and all("REPARTITION_BY_NUM" in line for line in found if "p_partkey" not in line), name
+
+
+def test_counts_of_values_are_spread_by_a_hash(cat):
+    """The bytes of a partition of counted values bound their number."""
+    text = exchanges(registry.data_quality()["profile_numeric"](RawCatalog(cat)))
+    counted = [line for line in text if "_column#" in line and "value#" in line]
+    assert counted and all("_hash#" in line for line in counted)

@@ -185,7 +185,7 @@ def q8_breakthrough(principals: DataFrame, persons: DataFrame, ratings: DataFram
     t = threshold_votes
     votes = ratings.select("movie_id", "num_votes", "average_rating")
     # person-film pairs by film: the join, the pairs and the votes share one shuffle
-    pairs = (principals.select("movie_id", "person_id").join(votes.select("movie_id", "num_votes"), "movie_id")
+    pairs = (dealt(principals.select("movie_id", "person_id"), "movie_id").join(votes.select("movie_id", "num_votes"), "movie_id")
              .groupBy("movie_id", "person_id").agg(F.first("num_votes").alias("num_votes")))
     career = (pairs.groupBy("person_id")
               .agg(F.count_if(F.col("num_votes") <= t).alias("films_avant"),

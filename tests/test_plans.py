@@ -121,3 +121,9 @@ def test_counts_of_values_are_spread_by_a_hash(cat):
     text = exchanges(registry.data_quality()["profile_numeric"](RawCatalog(cat)))
     counted = [line for line in text if "_column#" in line and "value#" in line]
     assert counted and all("_hash#" in line for line in counted)
+
+
+def test_breakthrough_pairs_are_dealt_by_film(cat):
+    """Pairs of people and films are grouped on partitions that are not merged."""
+    found = exchanges(registry.questions()["q8_sql"](cat))
+    assert any("REPARTITION_BY_NUM" in line and "movie_id#" in line for line in found)

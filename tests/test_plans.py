@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -119,11 +120,20 @@ def test_status_of_rows_is_found_over_all_partitions(cat):
 def test_counts_of_values_are_spread_by_a_hash(cat):
     """The bytes of a partition of counted values bound their number."""
     text = exchanges(registry.data_quality()["profile_numeric"](RawCatalog(cat)))
-    counted = [line for line in text if "_column#" in line and "value#" in line]
-    assert counted and all("_hash#" in line for line in counted)
+    counted = [line for line in text if re.search(r"hashpartitioning\(_column#\d+, value#", line)]
+    assert counted and all(re.search(r"\(_column#\d+, value#\d+, \w+#\d+L, ", line) for line in counted)
 
 
 def test_breakthrough_pairs_are_dealt_by_film(cat):
     """Pairs of people and films are grouped on partitions that are not merged."""
     found = exchanges(registry.questions()["q8_sql"](cat))
     assert any("REPARTITION_BY_NUM" in line and "movie_id#" in line for line in found)
+
+
+def test_credits_are_dealt_by_film_only(cat):
+    """The documents need no join of credits with characters, and no second shuffle of
+    what is dealt by film."""
+    found = exchanges(build_from_catalog(cat))
+    by_film = [line for line in found if re.search(r"hashpartitioning\(movie_id#\d+L?, \d+\)", line)]
+    assert by_film and all("REPARTITION_BY_NUM" in line for line in by_film if "l_orderkey" not in line)
+    assert not [line for line in found if "ENSURE_REQUIREMENTS" in line and "person_id#" in line and "movie_id#" in line]

@@ -35,9 +35,11 @@ def film_full_nested(docs: DataFrame, title: str) -> DataFrame:
 
 def compare_documents(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows only in ``left``, only in ``right`` (multiset difference) and equality."""
-    a, b = render_documents(left), render_documents(right)
-    diff = (a.exceptAll(b).select(F.lit("l").alias("side"))
-            .unionByName(b.exceptAll(a).select(F.lit("r").alias("side"))))
-    return (diff.agg(F.count_if(F.col("side") == "l").alias("flat_only"),
-                     F.count_if(F.col("side") == "r").alias("nested_only"))
+    sides = [render_documents(docs) for docs in (left, right)]
+    columns = sides[0].columns
+    # each side is derived once: how often an equal row is more on the one than on the other
+    rows = sides[0].withColumn("_more", F.lit(1)).unionByName(sides[1].withColumn("_more", F.lit(-1)))
+    surplus = rows.groupBy(*columns).agg(F.sum("_more").alias("_more"))
+    return (surplus.agg(F.coalesce(F.sum(F.greatest("_more", F.lit(0))), F.lit(0)).cast("bigint").alias("flat_only"),
+                        F.coalesce(F.sum(F.greatest(-F.col("_more"), F.lit(0))), F.lit(0)).cast("bigint").alias("nested_only"))
             .withColumn("same", (F.col("flat_only") == 0) & (F.col("nested_only") == 0)))

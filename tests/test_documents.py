@@ -1,5 +1,7 @@
 """Documents from rows with repeated and missing keys, and their comparison."""
 
+import re
+
 from reelframe.operators.nesting import build_documents, render_documents
 from reelframe.plans.film import compare_documents
 
@@ -41,4 +43,4 @@ def test_comparison_counts_surplus_rows_and_derives_each_side_once(spark):
     assert tuple(compare_documents(docs.limit(0), docs.limit(0)).first()) == (0, 0, True)
     marked = docs.withColumn("year", docs.year + 1)
     plan = compare_documents(marked, docs.limit(0))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("(year#") == 1
+    assert len(re.findall(r"year#\d+ \+ 1\)", plan)) == 1
